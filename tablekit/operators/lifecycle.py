@@ -326,7 +326,8 @@ def convert_verified(spark: SparkSession, source: DataFrame, path: str, fmt: str
     partition_by = partition_by or []
     write_partitioned(source, path, partition_by, fmt)
     reader = spark.read.schema(source.schema) if fmt == "csv" else spark.read
-    copied = reader.format(fmt).load(path)
+    with text_partition_keys(spark):  # "01" must come back as "01"; typed keys are cast below
+        copied = reader.format(fmt).load(path)
     typed = copied.select(*[F.col(f"`{c}`").cast(source.schema[c].dataType).alias(c) for c in source.columns])
     before = schemas.columns_of(spark, {("src", "t"): source})
     after = schemas.columns_of(spark, {("src", "t"): typed if partition_by else copied})

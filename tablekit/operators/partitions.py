@@ -151,7 +151,7 @@ def term_predicate(term: Term, spec: Column | str = "spec") -> Column:
 
 def select_partitions(partitions: DataFrame, expression: str | None, keys=TABLE_KEYS,
                       order_by: str = "spec", strict: bool = True) -> DataFrame:
-    """Partitions that match any term of the filter; all of them for an empty filter.
+    """Partitions that match any term of the filter, each once; all of them for an empty filter.
 
     ``last_n_partitions`` counts per table from the end of ``order_by``. Row conditions stay one
     narrow filter; only a last-n term adds a (salted) top-n.
@@ -168,10 +168,14 @@ def select_partitions(partitions: DataFrame, expression: str | None, keys=TABLE_
         return partitions.where(hit)
     keys = list(keys)
     order = [F.col(order_by).desc(), F.col("spec").desc()]
-    tail = ordered.top_n(partitions.select(*keys, *dict.fromkeys([order_by, "spec"])).distinct(), keys, order, last)
-    tail = tail.select(*keys, "spec").withColumn("_tail", F.lit(True))
-    marked = partitions.join(tail, [*keys, "spec"], "left")
-    return marked.where(hit | F.col("_tail").isNotNull()).drop("_tail").select(*partitions.columns)
+    named = list(dict.fromkeys([*keys, "spec", order_by]))
+    distinct = partitions.select(*named).distinct()
+    chosen = ordered.top_n(distinct, keys, order, last)
+    if len(terms) > sum(t.kind == "last" for t in terms):
+        chosen = chosen.unionByName(distinct.where(hit)).distinct()
+    if set(named) == set(partitions.columns):
+        return chosen.select(*partitions.columns)
+    return partitions.join(chosen.select(*keys, "spec").distinct(), [*keys, "spec"], "left_semi")
 
 
 def filter_is_active(selected_count: Column, total_count: Column) -> Column:

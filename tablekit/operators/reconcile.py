@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import percent_difference
 from ..functions.paths import col
+from ..session import materialize
 from . import partitions as parts
 
 # Verdicts of a comparison.
@@ -31,7 +32,9 @@ def scoped_counts(tables: dict[str, tuple[DataFrame, list[str]]], selected: Data
     """Row count of each table within its selected partitions; 0 when none was selected.
 
     ``tables`` maps a name to its frame and partition columns, ``selected`` has ``tbl`` and ``spec``.
+    The selection is stored once, as every table's count reads it; each count then prunes its own table.
     """
+    selected = materialize(selected.select("tbl", "spec").distinct(), "selected")
     return count_tables({
         name: parts.restrict(df, selected.where(F.col("tbl") == name), columns)
         for name, (df, columns) in tables.items()

@@ -251,26 +251,48 @@ def with_presence(tables: DataFrame, presence: DataFrame, keys: list[str]) -> Da
 
 def run_outcome(states: DataFrame, flow: str, keys: list[str] | None = None, status: str = "status") -> DataFrame:
     """Totals by outcome and the run's status, per run. Without keys an empty run is one FAILED row."""
+    counted = states.withColumn("_one", F.lit(1))
+    return _outcome(counted, flow, keys or [], F.col(status), F.col("_one"))
+
+
+def outcomes_by_flow(counted: DataFrame, flows: list[str], keys: list[str]) -> DataFrame:
+    """Outcomes of the same items under several flows, from their counts ``n`` per key and status."""
+    rows = counted.withColumn("flow", F.explode(F.array(*[F.lit(f) for f in flows])))
+    value, n = F.col("status"), F.col("n")
+
+    def total(kind: str) -> Column:
+        test = F.lit(False)
+        for flow in flows:
+            test = test | ((F.col("flow") == flow) & value.isin(*FLOWS[flow][kind]))
+        return F.coalesce(F.sum(F.when(test, n)), F.lit(0))
+
+    out = rows.groupBy("flow", *keys).agg(
+        F.sum(n).alias("total"), total("successful").alias("successful"), total("failed").alias("failed"),
+        total("missing").alias("missing"),
+        F.coalesce(F.sum(F.when(value.isin("SKIPPED", "SKIPPED_VIEW"), n)), F.lit(0)).alias("skipped"))
+    word = F.lit(None).cast("string")
+    for flow in flows:
+        word = F.when(F.col("flow") == flow, F.lit(FLOWS[flow]["with_failures"])).otherwise(word)
+    return out.withColumn("run_status", _run_status(word))
+
+
+def _outcome(counted: DataFrame, flow: str, keys: list[str], value: Column, n: Column) -> DataFrame:
     rules = FLOWS[flow]
-    value = F.col(status)
 
-    def one_of(names) -> Column:
-        return F.count_if(value.isin(*names)) if names else F.lit(0).cast("bigint")
+    def total(names) -> Column:
+        return F.coalesce(F.sum(F.when(value.isin(*names), n)), F.lit(0)) if names else F.lit(0).cast("bigint")
 
-    counted = states.groupBy(*(keys or [])).agg(
-        F.count(F.lit(1)).alias("total"),
-        one_of(rules["successful"]).alias("successful"),
-        one_of(rules["failed"]).alias("failed"),
-        one_of(rules["missing"]).alias("missing"),
-        F.count_if(value.isin("SKIPPED", "SKIPPED_VIEW")).alias("skipped"),
-    )
-    run_status = (
-        F.when(F.col("total") == 0, F.lit("FAILED"))
-        .when(F.col("failed") > 0, F.lit(rules["with_failures"]))
-        .when(F.col("missing") > 0, F.lit("COMPLETED_WITH_MISSING"))
-        .otherwise(F.lit("COMPLETED"))
-    )
-    return counted.withColumn("run_status", run_status)
+    out = counted.groupBy(*keys).agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("total"), total(rules["successful"]).alias("successful"),
+        total(rules["failed"]).alias("failed"), total(rules["missing"]).alias("missing"),
+        total(("SKIPPED", "SKIPPED_VIEW")).alias("skipped"))
+    return out.withColumn("run_status", _run_status(F.lit(rules["with_failures"])))
+
+
+def _run_status(with_failures: Column) -> Column:
+    return (
+        F.when(F.col("total") == 0, F.lit("FAILED")).when(F.col("failed") > 0, with_failures)
+        .when(F.col("missing") > 0, F.lit("COMPLETED_WITH_MISSING")).otherwise(F.lit("COMPLETED")))
 
 
 def head_counts(states: DataFrame, flow: str, keys: list[str] | None = None) -> DataFrame:

@@ -105,47 +105,50 @@ def without_leftover_ending(name) -> Column:
 
 
 def match_tokens(tokens: DataFrame, catalog: DataFrame) -> DataFrame:
-    """(db, token, table) for every token and the tables it names, letter case aside.
-
-    Plain names meet by equality. A glob meets only the tables that share its anchor: its first
-    characters if it starts with a literal, else its last ones, else three characters from its
-    longest inner literal. Globs made of wildcards alone meet a database's tables directly; they
-    reduce to a few name-length conditions per database.
-    """
+    """(db, token, tbl) for every token and the tables it names, letter case aside."""
     names = catalog.select("db", "tbl", F.lower("tbl").alias("_name")).distinct()
     toks = tokens.select("db", "token", F.lower("token").alias("_tok")).distinct()
     wild = F.col("_tok").rlike(r"[*?]")
-    plain = toks.where(~wild).join(names, (toks["db"] == names["db"]) & (toks["_tok"] == names["_name"])).select(
-        toks["db"], "token", "tbl")
+    plain = toks.where(~wild).withColumnRenamed("_tok", "_name").join(names, ["db", "_name"])
+    globbed = match_globs(toks.where(wild), names)
+    return plain.select("db", "token", "tbl").unionByName(globbed.select("db", "token", "tbl"))
+
+
+def match_globs(globs: DataFrame, names: DataFrame) -> DataFrame:
+    """Globs (db, _tok, ...) with the names (db, _name, ...) they match.
+
+    A glob meets only the names that share its anchor: its first characters if it starts with a
+    literal, else its last ones, else three characters from its longest inner literal. Globs made of
+    wildcards alone meet a database's names directly; they reduce to a few length conditions.
+    """
     head, tail = F.regexp_extract("_tok", r"^[^*?]+", 0), F.regexp_extract("_tok", r"[^*?]+$", 0)
     inner = F.filter(F.split("_tok", r"[*?]+"), lambda x: x != "")
     longest = F.array_max(F.transform(inner, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))["x"]
+
+    def lead(kind: str, text: Column) -> Column:
+        return F.concat(F.lit(kind), text)
+
     anchor = (
-        F.when(head != "", F.struct(F.lit("head").alias("kind"), F.substring(head, 1, 3).alias("text")))
-        .when(tail != "", F.struct(F.lit("tail").alias("kind"), F.substring(tail, -3, 3).alias("text")))
-        .when(F.size(inner) > 0, F.struct(F.lit("gram").alias("kind"), F.substring(longest, 1, 3).alias("text")))
-        .otherwise(F.struct(F.lit("any").alias("kind"), F.lit("").alias("text")))
+        F.when(head != "", lead("head:", F.substring(head, 1, 3)))
+        .when(tail != "", lead("tail:", F.substring(tail, -3, 3)))
+        .when(F.size(inner) > 0, lead("gram:", F.substring(longest, 1, 3)))
+        .otherwise(F.lit("any:"))
     )
-    globs = toks.where(wild).withColumn("_anchor", anchor)
-    anchored = globs.join(_anchors(names), ["db", "_anchor"]).where(F.rlike("_name", glob_regex("_tok")))
-    return plain.unionByName(anchored.select("db", "token", "tbl"))
-
+    left = globs.withColumn("_anchor", anchor)
+    right = names.withColumn("_anchor", F.explode(_anchors("_name")))
+    hits = left.join(right, ["db", "_anchor"]).where(F.rlike("_name", glob_regex("_tok")))
+    return hits.drop("_anchor")
 
-def _anchors(names: DataFrame) -> DataFrame:
-    """Every anchor a table name can be met by: heads, tails and inner grams of up to three characters."""
-    def entry(kind: str, text: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), text.alias("text"))
 
-    name = F.col("_name")
-    grams = F.flatten(F.transform(
-        F.sequence(F.lit(1), F.length(name)),
-        lambda i: F.array(*[entry("gram", F.substring(name, i, F.lit(n))) for n in (1, 2, 3)])))
-    ends = F.array(
-        *[entry("head", F.substring(name, 1, n)) for n in (1, 2, 3)],
-        *[entry("tail", F.substring(name, -n, n)) for n in (1, 2, 3)],
-        entry("any", F.lit("")))
-    return names.where(F.length(name) > 0).select(
-        "db", "tbl", "_name", F.explode(F.array_distinct(F.concat(ends, grams))).alias("_anchor"))
+def _anchors(name: str) -> Column:
+    """Every anchor a name can be met by: heads, tails and inner grams of up to three characters."""
+    return F.expr(f"""array_distinct(concat(
+        array('any:', concat('head:', substring({name}, 1, 1)), concat('head:', substring({name}, 1, 2)),
+              concat('head:', substring({name}, 1, 3)), concat('tail:', substring({name}, -1, 1)),
+              concat('tail:', substring({name}, -2, 2)), concat('tail:', substring({name}, -3, 3))),
+        transform(sequence(1, length({name})), i -> concat('gram:', substring({name}, i, 1))),
+        transform(sequence(1, length({name})), i -> concat('gram:', substring({name}, i, 2))),
+        transform(sequence(1, length({name})), i -> concat('gram:', substring({name}, i, 3)))))""")
 
 
 def resolve_tables(manifest: DataFrame, catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -154,21 +157,29 @@ def resolve_tables(manifest: DataFrame, catalog: DataFrame) -> tuple[DataFrame,
     ``manifest`` has db, role and token. Excluded tables are taken out whichever token named them;
     a plain include that names no table, and is not excluded itself, is missing, and so is every
     include of an unknown database.
+
+    Plain tokens and tables meet in one aggregate by name; only globs are joined.
     """
-    include = manifest.where(F.col("role") == "include").select("db", "token").distinct()
-    exclude = manifest.where(F.col("role") == "exclude").select("db", "token").distinct()
-    named = match_tokens(include, catalog).select("db", "tbl").distinct()
-    dropped = match_tokens(exclude, catalog).select("db", "tbl").distinct()
-    resolved = named.join(dropped, ["db", "tbl"], "left_anti")
+    toks = manifest.select("db", "role", "token", F.lower("token").alias("_tok")).distinct()
+    wild = F.col("_tok").rlike(r"[*?]")
+    nothing = F.lit(None).cast("string")
+    plain = toks.where(~wild).select("db", F.col("_tok").alias("_name"), nothing.alias("tbl"),
+                                     F.when(F.col("role") == "include", F.col("token")).alias("token"), "role")
+    tables = catalog.select("db", F.lower("tbl").alias("_name"), "tbl", nothing.alias("token"), nothing.alias("role"))
+    named = plain.unionByName(tables)
+    globs = toks.where(wild).select("db", "role", "_tok").distinct()
+    hits = match_globs(globs, named.where(F.col("_name") != "").select("db", "_name").distinct())
+    rows = named.unionByName(hits.select("db", "_name", nothing.alias("tbl"), nothing.alias("token"), "role"))
+    judged = rows.groupBy("db", "_name").agg(
+        F.max("tbl").alias("tbl"), F.max("token").alias("token"),
+        F.coalesce(F.max(F.col("role") == "include"), F.lit(False)).alias("_in"),
+        F.coalesce(F.max(F.col("role") == "exclude"), F.lit(False)).alias("_out"))
+    resolved = judged.where(F.col("tbl").isNotNull() & F.col("_in") & ~F.col("_out")).select("db", "tbl")
+    absent = judged.where(F.col("tbl").isNull() & F.col("token").isNotNull() & ~F.col("_out")).select("db", "token")
     databases = catalog.select("db").distinct()
-    no_database = include.join(databases, "db", "left_anti")
-    plain = include.join(databases, "db", "left_semi").where(~F.col("token").rlike(r"[*?]"))
-    have = catalog.select("db", F.lower("tbl").alias("_name")).distinct()
-    absent = plain.withColumn("_name", F.lower("token")).join(have, ["db", "_name"], "left_anti").drop("_name")
-    excluded = match_tokens(exclude, absent.select("db", F.col("token").alias("tbl")))
-    absent = absent.join(excluded.select("db", F.col("tbl").alias("token")), ["db", "token"], "left_anti")
-    missing = absent.withColumn("error_type", F.lit("TABLE_NOT_FOUND")).unionByName(
-        no_database.withColumn("error_type", F.lit("DATABASE_NOT_FOUND")))
+    missing = absent.join(databases, "db", "left_semi").withColumn("error_type", F.lit("TABLE_NOT_FOUND")).unionByName(
+        toks.where(F.col("role") == "include").join(databases, "db", "left_anti").select(
+            "db", "token", F.lit("DATABASE_NOT_FOUND").alias("error_type")).distinct())
     return resolved, missing
 
 
