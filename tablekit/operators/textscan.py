@@ -83,8 +83,9 @@ def scannable(path: Column | str, endings=SCANNED_ENDINGS, skipped=SKIPPED_NAMES
     names = F.split(path, "/")
     exact = [s for s in skipped if not s.startswith("*")]
     skip = F.exists(names, lambda n: n.isin(*exact))
-    for ending in (s[1:] for s in skipped if s.startswith("*")):
-        skip = skip | F.exists(names, lambda n, e=ending: n.endswith(e))
+    endings_skipped = [s[1:] for s in skipped if s.startswith("*")]
+    if endings_skipped:
+        skip = skip | F.exists(names, lambda n: _ends_with(n, endings_skipped))
     return _ends_with(path, endings) & ~skip
 
 
@@ -95,12 +96,26 @@ def _ends_with(path: Column, endings) -> Column:
     return hit
 
 
+# Line breaks as Python's splitlines knows them, and surrounding white space as its strip does.
+LINE_BREAK = r"\r\n|[\n\r\x0B\f\x1C-\x1E\x85\u2028\u2029]"
+OUTER_SPACE = r"(?U)^\s+|\s+$"
+INDENT = r"(?U)^\s*"
+
+
+def strip(line: Column | str) -> Column:
+    return F.regexp_replace(line, OUTER_SPACE, "")
+
+
+def split_lines(text: Column | str) -> Column:
+    """Lines of a text; a final line break opens no further line."""
+    return F.split(F.regexp_replace(text, rf"(?:{LINE_BREAK})\z", ""), LINE_BREAK)
+
+
 def file_lines(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
-    """(path, line_no from 1, line). A final line break opens no further line."""
-    body = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), r"\n$", "")
+    """(path, line_no from 1, line) of every line of every file."""
     keep = [c for c in files.columns if c not in (path, text)]
     rows = files.where(F.coalesce(F.col(text), F.lit("")) != "").select(
-        path, *keep, F.posexplode(F.split(body, "\n")).alias("_pos", "line"))
+        path, *keep, F.posexplode(split_lines(text)).alias("_pos", "line"))
     return rows.select(path, *keep, (F.col("_pos") + 1).cast("int").alias("line_no"), "line")
 
 
@@ -125,7 +140,7 @@ def scan_lines(lines: DataFrame, rules: list[Rule], path: str = "path") -> DataF
     hits = F.array_compact(F.array(*tests))
     return lines.where(some).select(
         F.col(path).alias("path"), F.explode(hits).alias("rule_id"), "line_no",
-        F.substring(F.trim("line"), 1, EXCERPT_CHARS).alias("excerpt"), F.lit(1).alias("pass"))
+        F.substring(strip("line"), 1, EXCERPT_CHARS).alias("excerpt"), F.lit(1).alias("pass"))
 
 
 def scan_multiline(files: DataFrame, rules: list[Rule], path: str = "path", text: str = "text",
@@ -259,7 +274,7 @@ def suggest_fixes(lines: DataFrame, fixes: list[Fix], path: str = "path", commen
 
     Blank lines and comment lines are left alone, and so is a line the rule would not change.
     """
-    stripped = F.trim("line")
+    stripped = strip("line")
     by_family: dict[str, list[tuple[int, Fix]]] = {}
     for order, fix in enumerate(fixes):
         by_family.setdefault(fix.family or f"#{order}", []).append((order, fix))
@@ -295,10 +310,10 @@ def apply_fixes(lines: DataFrame, fixes: DataFrame, path: str = "path") -> DataF
     """Lines with fixes put in where the trimmed line still is the old code; indentation stays."""
     joined = lines.join(
         fixes.select(F.col("path").alias(path), "line_no", "old_code", "new_code"), [path, "line_no"], "left")
-    same = F.coalesce(F.trim("line") == F.col("old_code"), F.lit(False))
-    indent = F.regexp_extract("line", r"^\s*", 0)
-    return joined.withColumn("line", F.when(same, F.concat(indent, F.col("new_code"))).otherwise(F.col("line"))) \
-        .withColumn("applied", same).drop("old_code", "new_code")
+    same = F.coalesce(strip("line") == F.col("old_code"), F.lit(False))
+    indent = F.regexp_extract("line", INDENT, 0)
+    fixed = F.when(same, F.concat(indent, F.col("new_code"))).otherwise(F.col("line"))
+    return joined.withColumns({"applied": same, "line": fixed}).drop("old_code", "new_code")
 
 
 def fixed_files(files: DataFrame, fixes: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
@@ -309,12 +324,12 @@ def fixed_files(files: DataFrame, fixes: DataFrame, path: str = "path", text: st
     """
     todo = fixes.groupBy(F.col("path").alias(path)).agg(
         F.map_from_entries(F.collect_list(F.struct("line_no", F.struct("old_code", "new_code")))).alias("_todo"))
-    lines = F.split(F.regexp_replace(text, r"\n$", ""), "\n")
+    lines = split_lines(text)
 
     def rebuilt(line: Column, i: Column) -> Column:
         fix = F.try_element_at("_todo", (i + 1).cast("int"))
-        hit = F.coalesce(fix["old_code"] == F.trim(line), F.lit(False))
-        body = F.when(hit, F.concat(F.regexp_extract(line, r"^\s*", 0), fix["new_code"])).otherwise(line)
+        hit = F.coalesce(fix["old_code"] == strip(line), F.lit(False))
+        body = F.when(hit, F.concat(F.regexp_extract(line, INDENT, 0), fix["new_code"])).otherwise(line)
         return F.struct(body.alias("line"), hit.alias("hit"))
 
     done = files.join(todo, path).withColumn("_lines", F.transform(lines, rebuilt))

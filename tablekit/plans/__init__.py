@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import moving
+from . import copying, governing, moving, scanning, tracking
 
-MODULES = (moving,)
+MODULES = (moving, copying, tracking, governing, scanning)
 
 
 def all_queries() -> dict:
