@@ -47,6 +47,7 @@ class Rule:
     multiline: bool = False
     code_only: bool = False
     ignore_case: bool = False
+    needs: str = ""  # text every match contains; lets other lines skip the pattern
 
     def java(self) -> str:
         return ("(?i)" if self.ignore_case else "") + self.pattern
@@ -96,33 +97,46 @@ def _ends_with(path: Column, endings) -> Column:
     return hit
 
 
-# Line breaks as Python's splitlines knows them, and surrounding white space as its strip does.
+# Line breaks and white space as Python's splitlines and strip know them.
 LINE_BREAK = r"\r\n|[\n\r\x0B\f\x1C-\x1E\x85\u2028\u2029]"
-OUTER_SPACE = r"(?U)^\s+|\s+$"
+RARE_BREAKS = ("\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029")
+SPACE = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+         "\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 INDENT = r"(?U)^\s*"
 
 
 def strip(line: Column | str) -> Column:
-    return F.regexp_replace(line, OUTER_SPACE, "")
+    return F.btrim(line, F.lit(SPACE))
 
 
 def split_lines(text: Column | str) -> Column:
-    """Lines of a text; a final line break opens no further line."""
-    return F.split(F.regexp_replace(text, rf"(?:{LINE_BREAK})\z", ""), LINE_BREAK)
+    """Pieces of a text between line breaks; text that ends with a break has an empty last piece.
+
+    Texts whose only break is the line feed, nearly all, take the plain split.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    rare = F.lit(False)
+    for mark in RARE_BREAKS:
+        rare = rare | text.contains(mark)
+    return F.when(rare, F.split(text, LINE_BREAK)).otherwise(F.split(text, "\n"))
 
 
 def file_lines(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
-    """(path, line_no from 1, line) of every line of every file."""
+    """(path, line_no from 1, line) of every line of every file; a final break opens no further line."""
     keep = [c for c in files.columns if c not in (path, text)]
-    rows = files.where(F.coalesce(F.col(text), F.lit("")) != "").select(
-        path, *keep, F.posexplode(split_lines(text)).alias("_pos", "line"))
+    # The outer form keeps the optimizer from testing the array's size first, which would split twice.
+    pieces = files.where(F.coalesce(F.col(text), F.lit("")) != "").select(
+        path, *keep, split_lines(text).alias("_lines"))
+    rows = pieces.select(path, *keep, F.size("_lines").alias("_n"), F.posexplode_outer("_lines").alias("_pos", "line"))
+    rows = rows.where((F.col("line") != "") | (F.col("_pos") < F.col("_n") - 1))
     return rows.select(path, *keep, (F.col("_pos") + 1).cast("int").alias("line_no"), "line")
 
 
 def scan_lines(lines: DataFrame, rules: list[Rule], path: str = "path") -> DataFrame:
     """Issues of the single-line rules: one row per line and matching rule.
 
-    Rules are one array expression over the line, so a line is read once whatever their number. A
+    Rules are one array expression over the line, so a line is read once whatever their number, and the
+    text a rule ``needs`` keeps most lines away from its pattern. A
     ``code_only`` rule needs the line's ``is_code`` flag when the lines carry one.
     """
     rules = [r for r in check_rules(rules) if not r.multiline]
@@ -131,18 +145,23 @@ def scan_lines(lines: DataFrame, rules: list[Rule], path: str = "path") -> DataF
     has_code = "is_code" in lines.columns
     tests = []
     for rule in rules:
-        test = F.col("line").rlike(rule.java()) & _ends_with(F.col(path), rule.endings)
+        test = _holds(F.col("line"), rule.needs, rule.ignore_case) & _ends_with(F.col(path), rule.endings)
+        test = test & F.col("line").rlike(rule.java())
         if rule.code_only and has_code:
             test = test & F.coalesce("is_code", F.lit(True))
         tests.append(F.when(test, F.lit(rule.rule_id)))
-    # One alternation throws out most lines before the rules are tried one by one.
-    some = F.col("line").rlike("|".join(f"(?:{r.java()})" for r in rules))
     hits = F.array_compact(F.array(*tests))
-    return lines.where(some).select(
-        F.col(path).alias("path"), F.explode(hits).alias("rule_id"), "line_no",
+    return lines.where(F.coalesce(*tests).isNotNull()).select(
+        F.col(path).alias("path"), F.explode_outer(hits).alias("rule_id"), "line_no",
         F.substring(strip("line"), 1, EXCERPT_CHARS).alias("excerpt"), F.lit(1).alias("pass"))
 
 
+def _holds(line: Column, needed: str, ignore_case: bool = False) -> Column:
+    if not needed:
+        return F.lit(True)
+    return F.lower(line).contains(needed.lower()) if ignore_case else line.contains(needed)
+
+
 def scan_multiline(files: DataFrame, rules: list[Rule], path: str = "path", text: str = "text",
                    limit_bytes: int = MULTILINE_LIMIT_BYTES) -> DataFrame:
     """Issues of the multi-line rules, whose dot also matches line breaks; larger files are left out.
@@ -267,6 +286,7 @@ class Fix:
     severity: str = "DEPRECATED"
     whole_line: bool = False
     fixable: bool = True
+    needs: str = ""
 
 
 def suggest_fixes(lines: DataFrame, fixes: list[Fix], path: str = "path", comment: str = "#") -> DataFrame:
@@ -288,13 +308,13 @@ def suggest_fixes(lines: DataFrame, fixes: list[Fix], path: str = "path", commen
             row = F.struct(
                 F.lit(fix.rule_id).alias("rule_id"), F.lit(order).alias("rule_order"), new.alias("new_code"),
                 F.lit(fix.fixable).alias("fixable"))
-            test = stripped.rlike(pattern)
+            test = _holds(stripped, fix.needs) & stripped.rlike(pattern)
             choice = F.when(test, row) if choice is None else choice.when(test, row)
         options.append(choice)
     hits = F.array_compact(F.array(*options))
-    some = stripped.rlike("|".join(f"(?:{f.pattern})" for f in fixes))
+    some = F.coalesce(*options).isNotNull()
     found = lines.where((stripped != "") & ~stripped.startswith(comment) & some).select(
-        F.col(path).alias("path"), "line_no", stripped.alias("old_code"), F.explode(hits).alias("_h"))
+        F.col(path).alias("path"), "line_no", stripped.alias("old_code"), F.explode_outer(hits).alias("_h"))
     return found.select("path", "line_no", "_h.rule_id", "_h.rule_order", "old_code", "_h.new_code",
                         "_h.fixable").where(F.col("new_code") != F.col("old_code"))
 
@@ -324,7 +344,6 @@ def fixed_files(files: DataFrame, fixes: DataFrame, path: str = "path", text: st
     """
     todo = fixes.groupBy(F.col("path").alias(path)).agg(
         F.map_from_entries(F.collect_list(F.struct("line_no", F.struct("old_code", "new_code")))).alias("_todo"))
-    lines = split_lines(text)
 
     def rebuilt(line: Column, i: Column) -> Column:
         fix = F.try_element_at("_todo", (i + 1).cast("int"))
@@ -332,8 +351,8 @@ def fixed_files(files: DataFrame, fixes: DataFrame, path: str = "path", text: st
         body = F.when(hit, F.concat(F.regexp_extract(line, INDENT, 0), fix["new_code"])).otherwise(line)
         return F.struct(body.alias("line"), hit.alias("hit"))
 
-    done = files.join(todo, path).withColumn("_lines", F.transform(lines, rebuilt))
-    return done.select(
-        path,
-        F.concat(F.array_join(F.transform("_lines", lambda x: x["line"]), "\n"), F.lit("\n")).alias(text),
-        F.size(F.filter("_lines", lambda x: x["hit"])).alias("applied"))
+    pieces = files.join(todo, path).select(path, "_todo", split_lines(text).alias("_lines"))
+    done = pieces.select(path, F.transform("_lines", rebuilt).alias("_lines"))
+    body = F.array_join(F.transform("_lines", lambda x: x["line"]), "\n")
+    ended = F.when(body.endswith("\n"), body).otherwise(F.concat(body, F.lit("\n")))
+    return done.select(path, ended.alias(text), F.size(F.filter("_lines", lambda x: x["hit"])).alias("applied"))

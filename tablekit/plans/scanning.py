@@ -25,12 +25,15 @@ def query(oracle: str | None = None):
 
 TEXT = (".txt",)
 LINE_RULES = [
-    Rule("MAIL-1", r"[a-z0-9]+\.[0-9]+@[a-z0-9]+\.[a-z]+", "high", "personal", "mail address", "remove it", TEXT),
-    Rule("TEL-1", r"\([0-9]{3}\) [0-9]{3}-[0-9]{4}", "high", "personal", "telephone number", "remove it", TEXT),
-    Rule("LIC-1", r"license", "low", "legal", "license line", "keep it", TEXT, ignore_case=True),
+    Rule("MAIL-1", r"[a-z0-9]+\.[0-9]+@[a-z0-9]+\.[a-z]+", "high", "personal", "mail address", "remove it", TEXT,
+         needs="@"),
+    Rule("TEL-1", r"\([0-9]{3}\) [0-9]{3}-[0-9]{4}", "high", "personal", "telephone number", "remove it", TEXT,
+         needs=") "),
+    Rule("LIC-1", r"license", "low", "legal", "license line", "keep it", TEXT, ignore_case=True,
+         needs="license"),
     Rule("NUM-1", r"[0-9]{12,}", "critical", "secret", "key-like number", "replace it", TEXT),
     Rule("NOISE-1", r"[%#$*]{3}", "info", "quality", "noise", "clean it", TEXT),
-    Rule("HEAD-1", r"^The\b", "medium", "style", "line head", "none", TEXT),
+    Rule("HEAD-1", r"^The\b", "medium", "style", "line head", "none", TEXT, needs="The"),
 ]
 MULTI_RULES = [
     Rule("BREAK-1", r"[a-z]+\.\n[A-Z][a-z]*", "medium", "style", "sentence over a break", "join", TEXT, multiline=True),
@@ -144,11 +147,11 @@ def pick_files(spark, d):
 # ------------------------------------------------------------------ fixes
 
 FIXES = [
-    Fix("BOLD-1", r"<b>([A-Z][a-z]*)", r"<strong>$1", family="tag"),
-    Fix("PARA-1", r"<p>", r"<p class=x>", family="tag"),
-    Fix("AMP-1", r"&amp;(&amp;)+", r"&amp;", family="amp"),
-    Fix("CLOSE-1", r"</body>", r"END", family="close", whole_line=True),
-    Fix("NAV-1", r"<nav>", r"MANUAL", family="nav", fixable=False),
+    Fix("BOLD-1", r"<b>([A-Z][a-z]*)", r"<strong>$1", family="tag", needs="<b>"),
+    Fix("PARA-1", r"<p>", r"<p class=x>", family="tag", needs="<p>"),
+    Fix("AMP-1", r"&amp;(&amp;)+", r"&amp;", family="amp", needs="&amp;&amp;"),
+    Fix("CLOSE-1", r"</body>", r"END", family="close", whole_line=True, needs="</body>"),
+    Fix("NAV-1", r"<nav>", r"MANUAL", family="nav", fixable=False, needs="<nav>"),
 ]
 PAGE_LINES = """
 WITH d AS (SELECT page_id||'.html' AS path, string_split(regexp_replace(html, '\\n$', ''), chr(10)) AS ls FROM pages WHERE html <> ''),
