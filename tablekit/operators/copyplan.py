@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import metrics
 from ..functions.keys import identity
 from ..functions.paths import ancestors, col
+from ..session import materialize
 from . import ordered
 
 # Markers in a copy job's log and the texts of a memory kill.
@@ -94,28 +95,24 @@ def pack_batches(tables: DataFrame, cap: float, max_tables: int = 25, group: str
     that are packed on their own, so a task sees a bounded number of tables; each extra shard can leave
     one more part-filled batch. A table above the cap gets its own batch; none is dropped.
     """
-    sizes = tables.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    shards = F.ceil(F.col("_n") / F.lit(shard_tables)).cast("bigint")
-    sharded = (
-        tables.join(sizes, group, "left")
-        .withColumn("_shard", F.pmod(F.xxhash64(group, name), shards))
-        .drop("_n")
-    )
-    schema = f"{group} string, {name} string, _shard bigint, _bin bigint"
+    # One small row per table, stored because it is read for the sizes and again for the packing.
+    slim = materialize(tables.select(
+        F.col(group).cast("string").alias(group), F.col(name).cast("string").alias(name),
+        F.col(cost).cast("double").alias(cost)), "pack-in")
+    sizes = slim.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_tables)).cast("bigint").alias("_shards"))
+    sharded = slim.join(sizes, group).select(
+        group, name, cost, F.pmod(F.xxhash64(name), F.col("_shards")).alias("_shard"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([cost, name], ascending=[False, True], kind="stable")
-        pdf["_bin"] = first_fit(pdf[cost].to_numpy(dtype=float), cap, max_tables)
-        return pdf[[group, name, "_shard", "_bin"]]
+        return pdf.assign(_bin=first_fit(pdf[cost].to_numpy(dtype=float), cap, max_tables))
 
-    slim = sharded.select(F.col(group).cast("string").alias(group), F.col(name).cast("string").alias(name),
-                          "_shard", F.col(cost).cast("double").alias(cost))
-    placed = slim.groupBy(group, "_shard").applyInPandas(pack, schema)
+    placed = sharded.groupBy(group, "_shard").applyInPandas(
+        pack, f"`{group}` string, `{name}` string, `{cost}` double, _shard bigint, _bin bigint")
     batch = F.concat_ws("/", group, F.col("_shard").cast("string"), F.col("_bin").cast("string"))
-    members = slim.join(placed, [group, name, "_shard"]).withColumn("batch", batch)
+    members = materialize(placed.select(group, name, cost, batch.alias("batch")), "pack-out")
     batches = members.groupBy("batch").agg(F.sum(cost).alias("batch_cost"), F.count(F.lit(1)).alias("batch_tables"))
-    ranked = rank_batches(batches, cap)
-    return members.select(group, name, cost, "batch").join(ranked, "batch")
+    return members.join(rank_batches(batches, cap), "batch")
 
 
 def first_fit(costs: np.ndarray, cap: float, max_items: int) -> np.ndarray:
