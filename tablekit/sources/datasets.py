@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 # Default field delimiter and null marker of delimited text tables.
@@ -36,19 +38,35 @@ def read_parquet_tree(spark: SparkSession, path: str) -> DataFrame:
 
 def read_delimited(spark: SparkSession, path: str, schema: str, delimiter: str = FIELD_DELIMITER,
                    escape: str = "\\", null_marker: str = NULL_MARKER) -> DataFrame:
-    """Delimited text without header or quoting."""
-    return (
-        spark.read.schema(schema).option("sep", delimiter).option("escape", escape).option("quote", "")
-        .option("nullValue", null_marker).option("emptyValue", "").csv(path)
-    )
+    """Delimited text without header or quoting, one record per line.
+
+    An empty field is an empty string in a text column and NULL in any other; the CSV reader cannot tell
+    it from the null marker, so lines are split here.
+    """
+    lines = spark.read.text(path, lineSep="\n")
+    between = f"(?<!{re.escape(escape)}){re.escape(delimiter)}" if escape else re.escape(delimiter)
+    split = lines.withColumn("_f", F.split("value", between))
+    columns = []
+    for i, field in enumerate(T.StructType.fromDDL(schema).fields):
+        raw = F.get("_f", F.lit(i))
+        text = F.regexp_replace(raw, f"{re.escape(escape)}(.)", "$1") if escape else raw
+        value = F.when(raw != null_marker, text)
+        columns.append(value.try_cast(field.dataType).alias(field.name))
+    partition_columns = [c for c in lines.columns if c != "value"]
+    return split.select(*columns, *partition_columns)
 
 
 def write_delimited(df: DataFrame, path: str, delimiter: str = FIELD_DELIMITER, escape: str = "\\",
                     null_marker: str = NULL_MARKER, partition_by: list[str] | None = None) -> None:
-    (
-        df.write.option("sep", delimiter).option("escape", escape).option("quote", "\u0000")
-        .option("nullValue", null_marker).option("emptyValue", "").partitionBy(*(partition_by or [])).csv(path)
-    )
+    """Write records as delimited lines; delimiters and escapes inside a value are escaped."""
+    partition_by = partition_by or []
+    special = f"([{re.escape(delimiter)}{re.escape(escape)}])"
+    mark = re.escape(escape).replace("$", "\\$")
+    fields = [
+        F.coalesce(F.regexp_replace(F.col(c).cast("string"), special, f"{mark}$1"), F.lit(null_marker))
+        for c in df.columns if c not in partition_by
+    ]
+    df.select(F.concat_ws(delimiter, *fields).alias("value"), *partition_by).write.partitionBy(*partition_by).text(path)
 
 
 def read_dataset(spark: SparkSession, fmt: str, path: str, **options) -> DataFrame:

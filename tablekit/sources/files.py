@@ -72,5 +72,5 @@ def tables_with_metadata(files: DataFrame) -> DataFrame:
 
 def read_sources(spark: SparkSession, root: str) -> DataFrame:
     """Source files under a root as (path, text), one row per file."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(root)
+    files = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))

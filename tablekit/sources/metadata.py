@@ -40,10 +40,10 @@ def current_metadata_files(files: DataFrame, hints: DataFrame | None = None) ->
 
 def version_hints(spark: SparkSession, root: str) -> DataFrame:
     """Version hints of the tables under a root."""
-    text = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option(
-        "pathGlobFilter", "version-hint.text").text(root)
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "version-hint.text").text(
+        root, wholetext=True)
     folder = F.regexp_extract("_metadata.file_path", r"([^/]+)/metadata/[^/]+$", 1)
-    return text.select(F.lit(root).alias("root"), folder.alias("tbl"), F.trim("value").alias("version"))
+    return text.select(F.lit(root).alias("root"), folder.alias("tbl"), F.regexp_replace("value", r"\s+", "").alias("version"))
 
 
 def read_documents(spark: SparkSession, root: str) -> DataFrame:
