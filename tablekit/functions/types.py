@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import broadcast_if_small
 from .paths import col
 
 # SQL type of each primitive in a table-format schema.
@@ -82,10 +83,11 @@ def _sql_type(node) -> str:
 
 
 def with_sql_type(df: DataFrame, json_type: str, out: str) -> DataFrame:
-    """Add the SQL type of a JSON type column; each distinct type is converted once."""
+    """Add the SQL type of a JSON type column; each distinct type is converted once, and joined back
+    by broadcast as long as there are few."""
     @F.pandas_udf(T.StringType())
     def convert(values: pd.Series) -> pd.Series:
         return values.map(sql_type_of)
 
     types = df.select(json_type).distinct().withColumn(out, convert(F.col(json_type)))
-    return df.join(types, json_type, "left")
+    return df.join(broadcast_if_small(types), json_type, "left")

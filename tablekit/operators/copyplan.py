@@ -100,7 +100,8 @@ def pack_batches(tables: DataFrame, cap: float, max_tables: int = 25, group: str
         F.col(group).cast("string").alias(group), F.col(name).cast("string").alias(name),
         F.col(cost).cast("double").alias(cost)), "pack-in")
     sizes = slim.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_tables)).cast("bigint").alias("_shards"))
-    sharded = slim.join(sizes, group).select(
+    # Salted, so that the shards of one large database do not meet in one task again.
+    sharded = ordered.salted_join(slim, sizes, [group]).select(
         group, name, cost, F.pmod(F.xxhash64(name), F.col("_shards")).alias("_shard"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -133,15 +134,20 @@ def first_fit(costs: np.ndarray, cap: float, max_items: int) -> np.ndarray:
 
 
 def rank_batches(batches: DataFrame, cap: float, steps: int = 4096) -> DataFrame:
-    """Number batches from the most expensive, ties by name. Batches of one cost level make one piece."""
+    """Number batches from the most expensive, ties in an arbitrary but fixed order.
+
+    Cost levels, then equal costs, then hash ranges of the names, so that many batches of one cost
+    are numbered by many tasks.
+    """
     level = F.least(F.lit(steps), F.floor(F.col("batch_cost") / F.lit(max(cap, 1e-9)) * F.lit(steps)))
-    order = [F.col("batch_cost").desc(), F.col("batch")]
-    return ordered.number_rows(batches, F.lit(steps) - level, order, "batch_rank")
+    key = F.xxhash64("batch")
+    bins = [F.lit(steps) - level, -F.col("batch_cost"), F.shiftright(key, 56)]
+    return ordered.number_rows(batches, bins, [F.col("batch_cost").desc(), key, F.col("batch")], "batch_rank")
 
 
 def batch_members(batch_keys: DataFrame, tables: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(table rows of the batch keys, keys no table row answers to)."""
-    return batch_keys.join(tables, keys), batch_keys.join(tables.select(*keys), keys, "left_anti")
+    return batch_keys.join(tables, keys), batch_keys.join(tables.select(*keys).distinct(), keys, "left_anti")
 
 
 def split_folders(files: DataFrame, depth: int = 1, max_units: int = 1000, max_loose: int = 200,

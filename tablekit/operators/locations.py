@@ -10,13 +10,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import ancestors, drop_trailing_slash, is_inside, plain_path
+from . import ordered
 
 
 def overlap_pairs(destinations: DataFrame, path: str = "dest") -> DataFrame:
     """Distinct (``outer``, ``inner``) destination pairs where one lies above the other."""
     dests = destinations.select(drop_trailing_slash(path).alias("inner")).distinct()
     levels = dests.select("inner", F.explode(ancestors("inner")).alias("outer"))
-    return levels.join(dests.select(F.col("inner").alias("outer")), "outer", "left_semi").select("outer", "inner")
+    # Nearly all paths share their first levels: find the levels that are destinations at all, then salt.
+    used = levels.select("outer").distinct().join(dests.select(F.col("inner").alias("outer")), "outer", "left_semi")
+    return ordered.salted_join(levels, used, ["outer"], "left_semi").select("outer", "inner")
 
 
 def overlaps(destinations: DataFrame, keys: list[str], path: str = "dest") -> DataFrame:
@@ -29,16 +32,10 @@ def overlaps(destinations: DataFrame, keys: list[str], path: str = "dest") -> Da
     owned = destinations.select(*keys, drop_trailing_slash(path).alias("dest")).where(F.col("dest") != "").distinct()
     owners = owned.groupBy("dest").agg(F.count(F.lit(1)).alias("_owners"))
     pairs = overlap_pairs(owned)
-    above = (
-        pairs.join(owners, pairs["outer"] == owners["dest"])
-        .groupBy(F.col("inner").alias("dest"))
-        .agg(F.sum("_owners").alias("above"), F.max("outer").alias("nearest_above"))
-    )
-    below = (
-        pairs.join(owners, pairs["inner"] == owners["dest"])
-        .groupBy(F.col("outer").alias("dest"))
-        .agg(F.sum("_owners").alias("below"))
-    )
+    above = ordered.salted_join(pairs, owners.select(F.col("dest").alias("outer"), F.col("_owners").alias("_n")), ["outer"]) \
+        .groupBy(F.col("inner").alias("dest")).agg(F.sum("_n").alias("above"), F.max("outer").alias("nearest_above"))
+    below = pairs.join(owners.withColumnRenamed("dest", "inner").withColumnRenamed("_owners", "_n"), "inner") \
+        .groupBy(F.col("outer").alias("dest")).agg(F.sum("_n").alias("below"))
     sizes = owners.join(above, "dest", "left").join(below, "dest", "left").select(
         "dest",
         (F.col("_owners") - 1).alias("same"),
@@ -61,8 +58,11 @@ def overlap_message() -> Column:
 
 def outside_root(located: DataFrame, roots: DataFrame, keys: list[str], location: str = "location",
                  root: str = "root") -> DataFrame:
-    """Partitions whose location is not the table's root or below it; tables without a root are left out."""
-    return located.join(roots.select(*keys, root), keys).where(~is_inside(location, root))
+    """Partitions whose location is not the table's root or below it; tables without a root are left out.
+
+    Salted, as one table may own a large share of all partitions.
+    """
+    return ordered.salted_join(located, roots.select(*keys, root), keys).where(~is_inside(location, root))
 
 
 def outside_summary(outside: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:

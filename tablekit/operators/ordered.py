@@ -30,6 +30,17 @@ def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, shards: i
     )
 
 
+def salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", salts: int = 32) -> DataFrame:
+    """Join in which a key that holds much of ``big`` is spread over ``salts`` tasks.
+
+    ``small`` has few rows per key and is repeated once per salt. The result is not partitioned by the
+    keys alone, so a following group-by on more columns gets a shuffle of its own.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(salts))
+    spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    return big.withColumn("_salt", salt).join(spread, [*keys, "_salt"], how).drop("_salt")
+
+
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One whole row per key: the one with the greatest order value. A plain aggregate, so hot keys
     are combined before the shuffle."""
@@ -72,19 +83,30 @@ def carry_forward(df: DataFrame, keys: list[str], index: str, values: dict[str,
     return filled.drop("_chunk", *[f"_start_{v}" for v in values])
 
 
-def number_rows(df: DataFrame, bins: Column, order: list[Column], out: str, start: int = 0) -> DataFrame:
-    """Global row numbers. ``bins`` is an integer that never decreases along ``order`` and cuts the
-    rows into pieces that each fit a task; only the bin sizes are added up in one place."""
-    df = df.withColumn("_bin", bins.cast("bigint"))
-    sizes = df.groupBy("_bin").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bin", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_bin").orderBy(*order)
+def number_rows(df: DataFrame, bins: list[Column], order: list[Column], out: str, start: int = 0) -> DataFrame:
+    """Global row numbers without a global sort.
+
+    ``bins`` cut the rows step by step along ``order`` (each ascending within the one before), the last
+    ones into pieces that fit a task. Only the sizes of bins are added up, siblings together.
+    """
+    names = [f"_bin{i}" for i in range(len(bins))]
+    df = df.withColumns(dict(zip(names, bins)))
+    sizes = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes
+    for depth in range(len(names)):
+        level = sizes.groupBy(*names[:depth + 1]).agg(F.sum("_n").alias("_n"))
+        before = Window.partitionBy(*names[:depth]).orderBy(names[depth]).rowsBetween(Window.unboundedPreceding, -1)
+        level = level.select(*names[:depth + 1], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(f"_o{depth}"))
+        offsets = offsets.join(level, names[:depth + 1])
+    total = F.lit(start)
+    for depth in range(len(names)):
+        total = total + F.col(f"_o{depth}")
+    within = Window.partitionBy(*names).orderBy(*order)
     return (
-        df.withColumn("_rn", F.row_number().over(within))
-        .join(offsets, "_bin")
-        .withColumn(out, F.col("_offset") + F.col("_rn") - 1 + F.lit(start))
-        .drop("_bin", "_rn", "_offset")
+        df.withColumn("_rn", F.row_number().over(within) - 1)
+        .join(offsets.select(*names, total.alias("_offset")), names)
+        .withColumn(out, (F.col("_offset") + F.col("_rn")).cast("bigint"))
+        .drop(*names, "_rn", "_offset")
     )
 
 
@@ -96,12 +118,7 @@ def text_lists(df: DataFrame, keys: list[str], values: list[str], sep: str = ",
     ``parts``), so no row or task holds an unbounded list; nothing is cut off.
     """
     distinct = df.select(*keys, *values).distinct()
-    sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    parts = F.ceil(F.col("_n") / F.lit(part_size)).cast("bigint")
-    sharded = (
-        distinct.join(sizes, keys)
-        .withColumn("parts", parts)
-        .withColumn("part", F.pmod(F.xxhash64(*values), F.col("parts")))
-    )
+    sizes = distinct.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(part_size)).cast("bigint").alias("parts"))
+    sharded = salted_join(distinct, sizes, keys).withColumn("part", F.pmod(F.xxhash64(*values), F.col("parts")))
     lists = [F.array_join(F.sort_array(F.collect_set(v)), sep).alias(v) for v in values]
     return sharded.groupBy(*keys, "part", "parts").agg(*lists)

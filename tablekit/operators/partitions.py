@@ -30,7 +30,8 @@ class FilterError(ValueError):
 def decode_value(c) -> Column:
     """URL-decoded partition value; a plus sign stays, a broken escape is left as written."""
     c = col(c)
-    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    decoded = F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    return F.when(c.contains("%"), decoded).otherwise(c)
 
 
 def spec_entries(spec) -> Column:
@@ -58,8 +59,10 @@ def _last(entries: Column, name: Column) -> Column:
 
 
 def spec_value(spec, name: str) -> Column:
-    """Value of one partition key, NULL when the spec lacks it."""
-    return _last(spec_entries(spec), F.lit(name))
+    """Value of one partition key, NULL when the spec lacks it; of a key given twice the last one."""
+    key = rf"\s{{0,8}}{re.escape(name)}\s{{0,8}}="
+    raw = F.regexp_substr(col(spec), F.lit(rf"(?<=(?:^|/){key})[^/]*(?!.*/{key})"))
+    return decode_value(F.btrim(F.trim(raw), F.lit("'\"")))
 
 
 def make_spec(*names: str) -> Column:

@@ -205,8 +205,8 @@ def merge_latest(old: DataFrame, new: DataFrame, keys: list[str], keep_when_blan
 
 def unreported(expected: DataFrame, seen: DataFrame, keys: list[str], code: str = "TASK_DID_NOT_PROCESS",
                status: str = "FAILED") -> DataFrame:
-    """Expected items nobody reported on, as FAILED rows."""
-    return expected.join(seen.select(*keys), keys, "left_anti").withColumn("status", F.lit(status)).withColumn(
+    """Expected items nobody reported on, as FAILED rows. Reports are reduced to their keys first."""
+    return expected.join(seen.select(*keys).distinct(), keys, "left_anti").withColumn("status", F.lit(status)).withColumn(
         "error_message", F.lit(f"[{code}] no result was reported"))
 
 

@@ -420,4 +420,4 @@ def rank_by_size(spark, d):
     counted = read(spark, d, "lineitem").groupBy("l_returnflag", month_spec("l_shipdate").alias("spec")).agg(
         F.count(F.lit(1)).alias("n"))
     order = [F.col("n").desc(), F.col("l_returnflag"), F.col("spec")]
-    return ordered.number_rows(counted, -F.col("n"), order, "rank")
+    return ordered.number_rows(counted, [-F.col("n"), F.col("l_returnflag")], order, "rank")

@@ -29,7 +29,8 @@ def test_top_n_of_a_hot_group(spark):
 
 def test_number_rows(spark):
     frame = spark.range(500).select((F.col("id") % 7).alias("size"), "id")
-    out = ordered.number_rows(frame, -F.col("size"), [F.col("size").desc(), F.col("id")], "rank")
+    bins = [-F.col("size"), F.floor(F.col("id") / 100)]
+    out = ordered.number_rows(frame, bins, [F.col("size").desc(), F.col("id")], "rank")
     want = sorted(((i % 7, i) for i in range(500)), key=lambda x: (-x[0], x[1]))
     assert [(r["size"], r["id"]) for r in out.orderBy("rank").collect()] == want
     assert [r["rank"] for r in out.orderBy("rank").collect()] == list(range(500))
@@ -48,3 +49,10 @@ def test_latest_and_earliest(spark):
     frame = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("b", 5, "y")], "k string, n int, v string")
     assert rows(ordered.latest(frame, ["k"], [F.col("n")])) == [("a", 2, "x"), ("b", 5, "y")]
     assert rows(ordered.earliest(frame, ["k"], [F.col("n")])) == [("a", 1, None), ("b", 5, "y")]
+
+
+def test_salted_join_is_a_plain_join(spark):
+    big = spark.range(1000).select(F.when(F.col("id") < 900, 0).otherwise(F.col("id") % 5).alias("k"), "id")
+    small = spark.createDataFrame([(0, "a"), (1, "b")], "k int, v string")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        assert rows(ordered.salted_join(big, small, ["k"], how, salts=4)) == rows(big.join(small, ["k"], how))
