@@ -273,8 +273,8 @@ def scan_totals(lines: DataFrame, issues: DataFrame, path: str = "path") -> Data
 class Fix:
     """A replacement of matching line text.
 
-    ``whole_line`` replaces a line that starts with the pattern by the replacement, else every match is
-    replaced. ``$1`` names a group. Only the first rule of a ``family`` applies to a line. A fix
+    ``whole_line`` replaces a line that starts with the pattern by the replacement, else every match of
+    the target is replaced. ``$1`` names a group. Only the first rule of a ``family`` applies to a line. A fix
     that is not ``fixable`` is only reported.
     """
 
@@ -286,7 +286,8 @@ class Fix:
     severity: str = "DEPRECATED"
     whole_line: bool = False
     fixable: bool = True
-    needs: str = ""
+    needs: str = ""  # text every match contains; lets other lines skip the pattern
+    target: str = ""  # what is replaced, if not the pattern itself
 
 
 def suggest_fixes(lines: DataFrame, fixes: list[Fix], path: str = "path", comment: str = "#") -> DataFrame:
@@ -303,7 +304,7 @@ def suggest_fixes(lines: DataFrame, fixes: list[Fix], path: str = "path", commen
         choice = None
         for order, fix in members:
             pattern = f"^(?:{fix.pattern})" if fix.whole_line else fix.pattern
-            target = f"{pattern}.*$" if fix.whole_line else pattern
+            target = f"{pattern}.*$" if fix.whole_line else (fix.target or pattern)
             new = F.regexp_replace(stripped, target, fix.replacement)
             row = F.struct(
                 F.lit(fix.rule_id).alias("rule_id"), F.lit(order).alias("rule_order"), new.alias("new_code"),

@@ -6,6 +6,7 @@ import pytest
 from helpers import rows
 from tablekit.operators import textscan as t
 from tablekit.operators.textscan import Fix, Rule
+from tablekit.rules import spark_upgrade_rules, workflow_fixes
 
 SOURCE = '"""doc red\n"""\n\nx = 1  # red\n# red comment\ndef f(\n    a,\n):\n    return "red"\n'
 
@@ -114,3 +115,42 @@ def test_fixes(spark):
     stale = first.replace("y = dummy(dummy)", "other", ["old_code"])
     changed = t.apply_fixes(t.file_lines(source), stale).where("path = 'a.py'").orderBy("line_no").collect()
     assert [r["applied"] for r in changed] == [True, False, False, False, False, True] and changed[1]["line"] == "  y = dummy(dummy)"
+
+
+@pytest.mark.parametrize("line, new", [
+    ("from airflow.decorators import dag, task", "from airflow.sdk import dag, task"),
+    ("from airflow import DAG", "from airflow.sdk import DAG"),
+    ("from airflow.operators.python import get_current_context", "from airflow.sdk import get_current_context"),
+    ("from airflow.operators.python import PythonOperator, x", "from airflow.providers.standard.operators.python import PythonOperator"),
+    ("from airflow.operators.python import ShortCircuitOperator", "from airflow.providers.standard.operators.python import ShortCircuitOperator"),
+    ("from airflow.utils.dates import days_ago", "# REMOVED: days_ago - use pendulum.today('UTC').add(days=-N) instead"),
+    ("    schedule_interval='@daily',", "schedule='@daily',"),
+    ("x = context['execution_date']", "x = context['logical_date']"),
+    ("x = context.get('prev_ds')", "# MANUAL FIX REQUIRED: prev_ds removed; compute manually"),
+    ("t = DummyOperator(task_id='x')", "t = EmptyOperator(task_id='x')"),
+    ("rule = TriggerRule.DUMMY", "rule = TriggerRule.ALWAYS"),
+    ("def run(spark, sc, x):", "def run(spark, x):"),
+    ("start = days_ago(3)", "start = pendulum.today('UTC').add(days=-3)"),
+    ("d = Dataset('x')", "d = Asset('x')"),
+    ("op(x, use_dill=True)", "op(x)"),
+    ("h = s.get_hook()", "h = s.hook"),
+    ("sla=timedelta(hours=1),", "# REMOVED: SLAs removed in Airflow 3; use custom monitoring or Deadline Alerts"),
+    ("runs = DagRun.find(x)", "# MANUAL FIX REQUIRED: DagRun.find() blocked in tasks; use REST API client; use REST API"),
+    ("from mine import Dataset", None),
+    ("# from airflow import DAG", None),
+])
+def test_workflow_fixes(spark, line, new):
+    fixes = workflow_fixes()
+    # Only the fixes that could apply, to keep the expression of a test small.
+    fixes = [f for f in fixes if not f.needs or f.needs in line]
+    found = t.suggest_fixes(t.file_lines(files(spark, a_py=line)), fixes).orderBy("rule_order").collect() if fixes else []
+    assert [r["new_code"] for r in found] == ([new] if new else [])
+
+
+def test_shipped_rules_work_together(spark):
+    source = files(spark, a_py="df = sqlContext.sql('x')\ndf.registerTempTable(\n 't')\nfor k in d.iteritems(): pass\n# udf(\n", b_py="print 'x'\n")
+    found = t.scan(source, spark_upgrade_rules())
+    assert rows(found, "path", "line_no", "rule_id") == [
+        ("a.py", 1, "API-SQLCONTEXT"), ("a.py", 2, "API-TEMPTABLE"), ("a.py", 4, "PY2-ITER"), ("b.py", 1, "PY2-PRINT")]
+    everything = t.suggest_fixes(t.file_lines(files(spark, a_py="from airflow import DAG\nx = 1\n")), workflow_fixes())
+    assert rows(everything, "line_no", "rule_id") == [(1, "IMPORT-01")]
