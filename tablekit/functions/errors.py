@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .paths import col
+from .paths import bind_once, col
 
 # Reason codes with the phrases (lower case) that mean them, in the order they are tried.
 NO_DATABASE = ("nosuchdatabaseexception", "schema_not_found", "database not found", "unknown database")
@@ -79,7 +79,10 @@ NO_REASON = "No reason recorded"
 
 def mentions(text: Column, phrases) -> Column:
     """True when the text holds one of the phrases, letter case aside."""
-    low = F.lower(F.coalesce(text, F.lit("")))
+    return bind_once(F.lower(F.coalesce(text, F.lit(""))), lambda low: _holds_one(low, phrases))
+
+
+def _holds_one(low: Column, phrases) -> Column:
     hit = F.lit(False)
     for phrase in phrases:
         hit = hit | low.contains(phrase)
@@ -87,11 +90,14 @@ def mentions(text: Column, phrases) -> Column:
 
 
 def first_code(text, codes, default: str) -> Column:
-    text, out = col(text), None
-    for code, phrases in codes:
-        test = mentions(text, phrases)
-        out = F.when(test, F.lit(code)) if out is None else out.when(test, F.lit(code))
-    return out.otherwise(F.lit(default))
+    def choose(low: Column) -> Column:
+        out = None
+        for code, phrases in codes:
+            test = _holds_one(low, phrases)
+            out = F.when(test, F.lit(code)) if out is None else out.when(test, F.lit(code))
+        return out.otherwise(F.lit(default))
+
+    return bind_once(F.lower(F.coalesce(col(text), F.lit(""))), choose)
 
 
 def migration_code(text) -> Column:
@@ -128,8 +134,10 @@ def is_permanent(text, markers=PERMANENT_MARKERS) -> Column:
 
 def reason_label(code: Column) -> Column:
     """Report label of a code; an unknown code is shown as words."""
-    out = None
-    for key, label in REASON_LABELS.items():
-        out = F.when(code == key, F.lit(label)) if out is None else out.when(code == key, F.lit(label))
-    words = F.lower(F.regexp_replace(code, "_", " "))
-    return out.otherwise(F.concat(F.upper(F.substring(words, 1, 1)), F.substring(words, 2, 1000)))
+    def label(c: Column) -> Column:
+        known = F.create_map(*[F.lit(x) for pair in REASON_LABELS.items() for x in pair])
+        words = F.lower(F.replace(c, F.lit("_"), F.lit(" ")))
+        spelled = F.concat(F.upper(F.substring(words, 1, 1)), F.substring(words, 2, 1000))
+        return F.coalesce(F.try_element_at(known, c), spelled)
+
+    return bind_once(code, label)

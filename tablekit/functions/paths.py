@@ -14,6 +14,15 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind_once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row, however often ``use`` mentions it.
+
+    The optimizer copies a column's expression into every mention when it moves a filter below a
+    projection; a lambda variable is not copied.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def drop_trailing_slash(c: Column | str) -> Column:
     return F.regexp_replace(col(c), "/+$", "")
 
@@ -54,15 +63,17 @@ def is_inside(path: Column | str, root: Column | str) -> Column:
 
     A scheme or authority missing on one side is taken as equal; an empty path is never inside.
     """
-    p, r = location_parts(path), location_parts(root)
+    def under(both: Column) -> Column:
+        p, r = both["p"], both["r"]
+
+        def differs(field: str) -> Column:
+            return (p[field] != "") & (r[field] != "") & (p[field] != r[field])
 
-    def differs(field: str) -> Column:
-        a, b = p[field], r[field]
-        return (a != "") & (b != "") & (a != b)
+        below = p["path"].startswith(F.concat(drop_trailing_slash(r["path"]), F.lit("/")))
+        inside = (p["path"] == r["path"]) | below
+        return (p["path"] != "") & (r["path"] != "") & ~differs("scheme") & ~differs("authority") & inside
 
-    p_path, r_path = p["path"], r["path"]
-    under = (p_path == r_path) | p_path.startswith(F.concat(drop_trailing_slash(r_path), F.lit("/")))
-    return (p_path != "") & (r_path != "") & ~differs("scheme") & ~differs("authority") & under
+    return bind_once(F.struct(location_parts(path).alias("p"), location_parts(root).alias("r")), under)
 
 
 def destination_path(location, database, table, bucket, source_prefix, dest_prefix) -> Column:

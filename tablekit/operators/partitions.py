@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.paths import col
+from ..functions.paths import bind_once, col
 from ..functions.text import glob_regex
 from . import ordered
 
@@ -29,9 +29,11 @@ class FilterError(ValueError):
 
 def decode_value(c) -> Column:
     """URL-decoded partition value; a plus sign stays, a broken escape is left as written."""
-    c = col(c)
-    decoded = F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
-    return F.when(c.contains("%"), decoded).otherwise(c)
+    def decoded(v: Column) -> Column:
+        plain = F.coalesce(F.try_url_decode(F.replace(v, F.lit("+"), F.lit("%2B"))), v)
+        return F.when(v.contains("%"), plain).otherwise(v)
+
+    return bind_once(col(c), decoded)
 
 
 def spec_entries(spec) -> Column:
@@ -139,11 +141,14 @@ def compare_value(value: Column, op: str, literal: str) -> Column:
         ">": lambda a, b: a > b, ">=": lambda a, b: a >= b,
         "<": lambda a, b: a < b, "<=": lambda a, b: a <= b,
     }
-    as_text = tests[op](value, F.lit(literal))
-    if re.match(_NUMBER, literal):
-        as_number = tests[op](F.trim(value).try_cast("double"), F.lit(float(literal)))
-        as_text = F.when(value.rlike(_NUMBER), as_number).otherwise(as_text)
-    return F.coalesce(as_text, F.lit(False))
+    if not re.match(_NUMBER, literal):
+        return F.coalesce(tests[op](value, F.lit(literal)), F.lit(False))
+
+    def compare(v: Column) -> Column:
+        as_number = tests[op](F.trim(v).try_cast("double"), F.lit(float(literal)))
+        return F.when(v.rlike(_NUMBER), as_number).otherwise(tests[op](v, F.lit(literal)))
+
+    return F.coalesce(bind_once(value, compare), F.lit(False))
 
 
 def term_predicate(term: Term, spec: Column | str = "spec") -> Column:
