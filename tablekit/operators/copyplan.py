@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -104,11 +106,28 @@ def pack_batches(tables: DataFrame, cap: float, max_tables: int = 25, group: str
     sharded = ordered.salted_join(slim, sizes, [group]).select(
         group, name, cost, F.pmod(F.xxhash64(name), F.col("_shards")).alias("_shard"))
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([cost, name], ascending=[False, True], kind="stable")
-        return pdf.assign(_bin=first_fit(pdf[cost].to_numpy(dtype=float), cap, max_tables))
-
-    placed = sharded.groupBy(group, "_shard").applyInPandas(
+    def bins_of(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        costs, ends = pdf[cost].to_numpy(dtype=float), [*starts[1:], len(pdf)]
+        return pdf.assign(_bin=np.concatenate([first_fit(costs[i:j], cap, max_tables) for i, j in zip(starts, ends)]))
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_shard = None  # the last shard of a batch may go on in the next one
+        for pdf in batches:
+            if open_shard is not None:
+                pdf = pd.concat([open_shard, pdf], ignore_index=True)
+            if pdf.empty:
+                continue
+            new = pdf[group].ne(pdf[group].shift()) | pdf["_shard"].ne(pdf["_shard"].shift())
+            starts = np.flatnonzero(new.to_numpy())
+            open_shard = pdf.iloc[starts[-1]:]
+            if starts[-1] > 0:
+                yield bins_of(pdf.iloc[:starts[-1]], starts[:-1])
+        if open_shard is not None:
+            yield bins_of(open_shard, np.array([0]))
+
+    # Whole shards meet in one task each, sorted by Spark; a task keeps one shard at a time.
+    ready = sharded.repartition(group, "_shard").sortWithinPartitions(group, "_shard", F.col(cost).desc(), name)
+    placed = ready.mapInPandas(
         pack, f"`{group}` string, `{name}` string, `{cost}` double, _shard bigint, _bin bigint")
     batch = F.concat_ws("/", group, F.col("_shard").cast("string"), F.col("_bin").cast("string"))
     members = materialize(placed.select(group, name, cost, batch.alias("batch")), "pack-out")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.text import (
     blank_to_null, list_cell, mapping_name, mapping_principal, mapping_role, permission_list, policy_name,
 )
+from ..session import materialize
 from . import ordered
 
 # Item types, and the access types that stand behind each permission word.
@@ -358,9 +359,9 @@ def spread_ids(objects: DataFrame, applied: DataFrame) -> DataFrame:
         return known.select(name.alias("_name"), "policy_name", "policy_id").where(F.col("_name") != "").distinct()
 
     object_name = F.col("object_name")
-    mappings = _assign(of("mapping"), by_person, mapping_principal("object_name"))
+    mappings = materialize(_assign(of("mapping"), by_person, mapping_principal("object_name")), "mappings")
     by_role = names_from(mappings, mapping_role("object_name"))
-    roles = _assign(of("role"), by_role, object_name)
+    roles = materialize(_assign(of("role"), by_role, object_name), "roles")
     role_groups = _assign(of("ranger_group"), by_person, object_name)
     role_groups = _assign(role_groups, names_from(roles, object_name), object_name)
     directory = _assign(of("keycloak_group"), by_person, object_name)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import paths
 from ..operators import locations, partitions, reconcile, schemas, tokens
 from ..functions.types import comparable_type, hive_type_to_ddl, partition_transform
+from ..session import materialize
 from .base import month_spec, read, text
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -39,7 +40,9 @@ def line_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def line_partitions(spark: SparkSession, d: str) -> DataFrame:
-    return line_items(spark, d).select("db", "tbl", partitions.make_spec("year", "month").alias("spec")).distinct()
+    """The partition list, stored like a catalog's: else the filter would run on every row below the distinct."""
+    specs = line_items(spark, d).select("db", "tbl", partitions.make_spec("year", "month").alias("spec")).distinct()
+    return materialize(specs, "specs")
 
 
 LINE_PARTS = f"SELECT DISTINCT 'sales' AS db, 'line_'||l_returnflag AS tbl, {LINE_MONTHS} AS spec FROM lineitem"
@@ -88,6 +91,7 @@ def partition_filter_predicate(spark, d):
         F.lit("sales").alias("db"), F.lit("orders").alias("tbl"),
         F.concat(F.lit("prio="), F.replace("o_orderpriority", F.lit(" "), F.lit("%20")), F.lit("/"),
                  month_spec("o_orderdate")).alias("spec")).distinct()
+    found = materialize(found, "specs")
     wanted = ("year>=1998 AND month<4 OR month=12, year=1996/month=7, prio='4-NOT SPECIFIED' AND year!=1997, "
               "prio>'4' AND prio<=5-LOW AND year<=1996.5")
     return partitions.select_partitions(found, wanted)
