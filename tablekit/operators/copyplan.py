@@ -185,6 +185,7 @@ def split_folders(files: DataFrame, depth: int = 1, max_units: int = 1000, max_l
         .groupBy(root, "unit", "role")
         .agg(F.count(F.lit(1)).alias("file_count"), F.sum("_size").alias("size_bytes"))
     )
+    units = materialize(units, "units")  # a row per folder, read several times below
     if depth > 1:
         # Files in a folder that has no subfolders are that folder, not loose.
         parents = units.where(F.col("unit") != "").select(

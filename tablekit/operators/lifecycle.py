@@ -14,7 +14,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions.paths import col, drop_trailing_slash, object_store_uri, sibling_target
 from ..functions.types import hive_type_to_ddl
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources.catalog import table_location
 from ..sources.datasets import FIELD_DELIMITER, NULL_MARKER, read_parquet_tree, text_partition_keys
 from . import partitions as parts
@@ -77,11 +77,12 @@ def copy_partitions(source: DataFrame, selected: DataFrame, path: str, partition
 
     Returns the selected specs with ``copied`` (false for a partition without rows).
     """
+    selected = materialize(selected.select("spec").distinct(), "selected")  # read by the copy and by the report
     rows = parts.restrict(source, selected, partition_by)
     write_partitioned(rows, path, partition_by)
     full = rows.select(*partition_by).distinct().select(parts.make_spec(*partition_by).alias("spec"))
     full = full.withColumn("_full", F.lit(True))
-    return selected.select("spec").distinct().join(full, "spec", "left").select(
+    return selected.join(full, "spec", "left").select(
         "spec", F.coalesce("_full", F.lit(False)).alias("copied"))
 
 

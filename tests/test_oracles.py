@@ -36,6 +36,8 @@ def canonical(names, data):
 def test_query(spark, duck, name):
     frame = job.queries()[name](spark, FOLDER)
     got = frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if name not in ORACLES:
         assert got
         return

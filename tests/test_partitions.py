@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,3 +89,37 @@ def test_compare_partitions(spark):
     got = rows(p.compare_partitions(left, right), "spec", "state", "padded_as")
     assert got == [("m=01", "PADDING", "m=1"), ("m=02", "MATCH", None), ("m=1", "PADDING", "m=01"),
                    ("m=3", "EMPTY", None), ("m=4", "UNREGISTERED", None), ("m=9", "MATCH", None)]
+
+
+def brute(kv, expression):
+    """A plain evaluation of OR-of-AND comparisons."""
+    import operator as o
+
+    tests = {"=": o.eq, "!=": o.ne, ">": o.gt, ">=": o.ge, "<": o.lt, "<=": o.le}
+
+    def one(clause):
+        name, op, literal = clause
+        actual = kv.get(name)
+        if actual is None:
+            return False
+        try:
+            return tests[op](float(actual), float(literal))
+        except ValueError:
+            return tests[op](actual, literal)
+
+    return any(all(one(c) for c in choice) for choice in expression)
+
+
+def test_random_conditions_match_a_plain_evaluation(spark):
+    rng = random.Random(11)
+    words = ["1", "01", "2", "10", "9", "1e1", "a", "b", "-3", "2.5", "10x"]
+    specs = sorted({f"k={rng.choice(words)}/m={rng.choice(words)}" for _ in range(80)})
+    expressions = [
+        [[(rng.choice("kmz"), rng.choice(["=", "!=", ">", ">=", "<", "<="]), rng.choice(words)) for _ in range(rng.randint(1, 3))]
+         for _ in range(rng.randint(1, 3))] for _ in range(40)]
+    texts = [" OR ".join(" AND ".join(f"{n}{op}'{v}'" for n, op, v in choice) for choice in e) for e in expressions]
+    frame = spark.createDataFrame([(s,) for s in specs], "spec string")
+    flags = [p.term_predicate(p.parse_filter(t)[0]).alias(f"f{i}") for i, t in enumerate(texts)]
+    for row in frame.select("spec", *flags).collect():
+        kv = dict(part.split("=", 1) for part in row["spec"].split("/"))
+        assert [row[f"f{i}"] for i in range(len(texts))] == [brute(kv, e) for e in expressions], row["spec"]
