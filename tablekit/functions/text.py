@@ -9,8 +9,8 @@ from .paths import col
 
 # Words a sheet uses for "no value", and for true and false.
 BLANK_WORDS = ("", "nan", "null", "none")
-TRUE_WORDS = ("true", "1", "yes", "y", "on")
-FALSE_WORDS = ("false", "0", "no", "n", "off")
+TRUE_WORDS = ("true", "t", "1", "1.0", "yes", "y", "on")
+FALSE_WORDS = ("false", "f", "0", "0.0", "no", "n", "off")
 # Fixed value: what a grant without permissions means.
 DEFAULT_PERMISSION = "read"
 

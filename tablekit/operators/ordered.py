@@ -11,23 +11,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, shards: int = 64) -> DataFrame:
+def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, shards: int = 64,
+          rank: str | None = None) -> DataFrame:
     """First ``n`` rows of each group under ``order``, which must be a total order within a group.
 
+    ``rank`` names a column for the place within the group, counted from 1.
+
     A first pass keeps ``n`` rows per (group, shard), so the second pass sorts at most
     ``shards * n`` rows of any group.
     """
     shard = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(shards))
     near = Window.partitionBy(*keys, "_shard").orderBy(*order)
     far = Window.partitionBy(*keys).orderBy(*order)
-    return (
+    found = (
         df.withColumn("_shard", shard)
         .withColumn("_rn", F.row_number().over(near))
         .where(F.col("_rn") <= n)
         .withColumn("_rn", F.row_number().over(far))
         .where(F.col("_rn") <= n)
-        .drop("_shard", "_rn")
+        .drop("_shard")
     )
+    return found.withColumnRenamed("_rn", rank) if rank else found.drop("_rn")
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", salts: int = 32) -> DataFrame:

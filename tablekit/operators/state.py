@@ -344,9 +344,9 @@ def failure_preview(failures: DataFrame, keys: list[str], item: str, order: list
     Only ``shown`` rows of a group are ever put together.
     """
     counted = failures.groupBy(*keys).agg(F.count(F.lit(1)).alias("failures"))
-    first = ordered.top_n(failures.select(*keys, item), keys, order, shown)
-    texts = first.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(F.col(item).cast("string"))), "; ")
-                                     .alias("_head"))
+    first = ordered.top_n(failures.select(*keys, item), keys, order, shown, rank="_rank")
+    ranked = F.array_sort(F.collect_list(F.struct("_rank", F.col(item).cast("string").alias("text"))))
+    texts = first.groupBy(*keys).agg(F.array_join(F.transform(ranked, lambda x: x["text"]), "; ").alias("_head"))
     rest = F.col("failures") - F.lit(shown)
     more = F.concat("_head", F.lit(" (+"), rest.cast("string"), F.lit(" more)"))
     return counted.join(texts, keys).select(

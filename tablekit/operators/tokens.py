@@ -8,13 +8,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import drop_trailing_slash, object_store_uri
-from ..functions.text import blank_to_null, glob_regex, list_cell
+from ..functions.paths import drop_trailing_slash, folder_target, object_store_uri
+from ..functions.text import bad_boolean_word, blank_to_null, boolean_word, glob_regex, list_cell
 from . import ordered
 
-# Name endings of backups and staging copies; the lead of an exclusion cell.
+# Name endings of backups and staging copies, the lead of an exclusion cell, the ending of a
+# converted database.
 LEFTOVER_ENDINGS = ("_backup_", "__backup__", "__ice_staging")
 EXCLUDE_LEAD = "exclude:"
+CONVERTED_ENDING = "_iceberg"
+MOVE_KEYS = ("src_db", "source_prefix", "dest_prefix")
 GROUP_KEYS = ("src_db", "dest_db", "bucket", "endpoint", "partition_filter")
 
 
@@ -92,6 +95,56 @@ def registration_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, rejected
 
 
+def conversion_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversion sheet as (valid, rejected with a reason).
+
+    A blank flag means not in place; the destination defaults to the source database in place, else to
+    the source database with an ending.
+    """
+    src, in_place = blank_to_null("database"), boolean_word("inplace_migration", default=False)
+    judged = rows.select(
+        "row_index", src.alias("src_db"), F.coalesce(blank_to_null("table"), F.lit("*")).alias("table_cell"),
+        in_place.alias("in_place"),
+        F.coalesce(blank_to_null("destination_iceberg_database"),
+                   F.when(in_place, src).otherwise(F.concat(src, F.lit(CONVERTED_ENDING)))).alias("dest_db"),
+        F.when(src.isNull(), F.lit("missing database"))
+        .when(bad_boolean_word("inplace_migration"), F.lit("invalid in-place flag")).alias("reason"))
+    return judged.where(F.col("reason").isNull()).drop("reason"), judged.where(F.col("reason").isNotNull())
+
+
+def catalog_move_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Catalog-move sheet as (valid, rejected with a reason).
+
+    A blank source prefix means the data already lies under the destination prefix. The valid rows can be
+    grouped with ``group_manifest(valid, keys=MOVE_KEYS)``.
+    """
+    def prefix(name: str) -> Column:
+        return drop_trailing_slash(object_store_uri(blank_to_null(name)))
+
+    src, dest = blank_to_null("database"), prefix("dest_s3_prefix")
+    judged = rows.select(
+        "row_index", src.alias("src_db"), F.coalesce(prefix("source_s3_prefix"), dest).alias("source_prefix"),
+        dest.alias("dest_prefix"), F.coalesce(blank_to_null("table"), F.lit("*")).alias("table_cell"),
+        F.when(src.isNull(), F.lit("missing database")).when(dest.isNull(), F.lit("missing dest_s3_prefix")).alias("reason"))
+    return judged.where(F.col("reason").isNull()).drop("reason"), judged.where(F.col("reason").isNotNull())
+
+
+def folder_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Folder-copy sheet as (valid, rejected with a reason), buckets and folders cleaned.
+
+    ``split_subfolders`` stays NULL when blank, so that a general setting can decide.
+    """
+    path, bucket = blank_to_null("source_path"), blank_to_null("target_bucket")
+    target = folder_target("source_path", "target_bucket", blank_to_null("dest_folder"))
+    split = F.when(blank_to_null("split_subfolders").isNotNull(), F.coalesce(boolean_word("split_subfolders"), F.lit(False)))
+    judged = rows.select(
+        "row_index", path.alias("source_path"), target["dest_bucket"].alias("dest_bucket"),
+        target["dest_folder"].alias("dest_folder"), F.coalesce(blank_to_null("endpoint"), F.lit("")).alias("endpoint"),
+        split.alias("split_subfolders"),
+        F.when(path.isNull(), F.lit("missing source_path")).when(bucket.isNull(), F.lit("missing target_bucket")).alias("reason"))
+    return judged.where(F.col("reason").isNull()).drop("reason"), judged.where(F.col("reason").isNotNull())
+
+
 def is_leftover(name) -> Column:
     """Names of backups and staging copies."""
     text = F.lower(F.trim(F.col(name) if isinstance(name, str) else name))

@@ -258,7 +258,7 @@ def table_performance(spark, d):
 
 @query("""
 WITH f AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders WHERE o_orderstatus = 'F')
-SELECT o_custkey, max(n)::BIGINT AS failures, string_agg(o_orderkey::VARCHAR, '; ' ORDER BY o_orderkey::VARCHAR) FILTER (rn <= 3)||CASE WHEN max(n) > 3 THEN ' (+'||(max(n) - 3)||' more)' ELSE '' END AS preview FROM f GROUP BY 1""")
+SELECT o_custkey, max(n)::BIGINT AS failures, string_agg(o_orderkey::VARCHAR, '; ' ORDER BY o_orderkey) FILTER (rn <= 3)||CASE WHEN max(n) > 3 THEN ' (+'||(max(n) - 3)||' more)' ELSE '' END AS preview FROM f GROUP BY 1""")
 def preview_failures(spark, d):
     failed = read(spark, d, "orders").where(F.col("o_orderstatus") == "F").select("o_custkey", "o_orderkey")
     return state.failure_preview(failed, ["o_custkey"], "o_orderkey", [F.col("o_orderkey")], shown=3)

@@ -166,3 +166,28 @@ def test_group_manifest(spark):
         ("d", "s3a://x", "", "exclude", "z"), ("d", "s3a://x", "", "exclude", "y"), ("d", "s3a://x", "", "include", "b"), ("d", "s3a://x", "", "include", "a"),
         ("d", "s3a://x", "", "include", "c"), ("e", "s3a://dflt", "", "exclude", "q"), ("e", "s3a://dflt", "", "include", "*"),
         ("f", "s3a://k", "dt=1", "include", "*")]
+
+
+def test_conversion_rows(spark):
+    sheet = spark.createDataFrame([(1, "d", None, "T", None), (2, "d", "a,b", None, ""), (3, "d", "a", "maybe", None), (4, "", "a", "F", None), (5, "d", "a", "no", "x")],
+                                  "row_index long, database string, table string, inplace_migration string, destination_iceberg_database string")
+    valid, rejected = tokens.conversion_rows(sheet)
+    assert rows(valid, "row_index", "table_cell", "in_place", "dest_db") == [(1, "*", True, "d"), (2, "a,b", False, "d_iceberg"), (5, "a", False, "x")]
+    assert rows(rejected, "row_index", "reason") == [(3, "invalid in-place flag"), (4, "missing database")]
+
+
+def test_folder_rows(spark):
+    sheet = spark.createDataFrame([(1, "/data/in/", "s3: bkt", None, None, "yes"), (2, "/d", "nan", None, None, None), (3, None, "b", None, None, None), (4, "/d/x", "b/y", "y", "e", "what")],
+                                  "row_index long, source_path string, target_bucket string, dest_folder string, endpoint string, split_subfolders string")
+    valid, rejected = tokens.folder_rows(sheet)
+    assert rows(valid, "dest_bucket", "dest_folder", "endpoint", "split_subfolders") == [("s3a://b", "y", "e", False), ("s3a://bkt", "in", "", True)]
+    assert rows(rejected, "row_index", "reason") == [(2, "missing target_bucket"), (3, "missing source_path")]
+
+
+def test_catalog_move_rows(spark):
+    sheet = spark.createDataFrame([(1, "d", "a,b", "s3://o/", "s3n://n/"), (2, "d", "a", None, "n"), (3, "d", "*", "s3a://o", "s3a://n"), (4, "d", "x", "o", " ")],
+                                  "row_index long, database string, table string, source_s3_prefix string, dest_s3_prefix string")
+    valid, rejected = tokens.catalog_move_rows(sheet)
+    assert rows(rejected, "row_index", "reason") == [(4, "missing dest_s3_prefix")]
+    grouped = tokens.group_manifest(valid, keys=tokens.MOVE_KEYS)
+    assert rows(grouped, "source_prefix", "dest_prefix", "token") == [("s3a://n", "s3a://n", "a"), ("s3a://o", "s3a://n", "*")]
