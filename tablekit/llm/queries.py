@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import line_dedup, mixing, sentencepiece_bpe
+from tablekit.llm import line_dedup, mixing, quality, sentencepiece_bpe
 
 #: Where the vocabulary lies; the same path on every machine.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -84,9 +84,17 @@ SELECT doc_id, size, source_size, target, whole + extra::BIGINT AS copies, size
 FROM placed
 """
 
+
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return (quality.judge(_docs(spark, folder))
+            .select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                    "base_failed", "kept", "quality"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_line_dedup": op2_line_dedup,
     "op7_source_mix": op7_source_mix,
+    "op8_quality_rules": op8_quality_rules,
 }
 ORACLE = {"op2_line_dedup": OP2_SQL, "op7_source_mix": OP7_SQL}
