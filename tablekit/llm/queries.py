@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import line_dedup, mixing, quality, sentencepiece_bpe
+from tablekit.llm import line_dedup, mixing, order_minhash, quality, sentencepiece_bpe
 
 #: Where the vocabulary lies; the same path on every machine.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -85,6 +85,16 @@ FROM placed
 """
 
 
+def op6_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    probe = order_minhash.edit_probe(_docs(spark, folder))
+    return probe.select(
+        F.col("id").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        order_minhash.fingerprint_text("signature").alias("fingerprint"),
+        order_minhash.fingerprint_text("edited_signature").alias("edited_fingerprint"),
+        order_minhash.likeness("signature", "edited_signature").alias("near_edited"),
+        order_minhash.likeness("signature", "next_signature").alias("near_next"))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return (quality.judge(_docs(spark, folder))
             .select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -94,6 +104,7 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_line_dedup": op2_line_dedup,
+    "op6_order_minhash": op6_order_minhash,
     "op7_source_mix": op7_source_mix,
     "op8_quality_rules": op8_quality_rules,
 }
