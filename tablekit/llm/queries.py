@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import line_dedup, mixing, order_minhash, quality, sentencepiece_bpe
+from tablekit.llm import jaccard_join, line_dedup, mixing, order_minhash, quality, sentencepiece_bpe
 
 #: Where the vocabulary lies; the same path on every machine.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -85,6 +85,32 @@ FROM placed
 """
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_groups(_docs(spark, folder)).withColumnRenamed("id", "doc_id")
+
+
+OP4_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ')
+                               ELSE array_to_string(w[i:i + 3], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+links AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+                    FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.b) AS component_id
+FROM documents d JOIN reach r ON r.a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 def op6_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     probe = order_minhash.edit_probe(_docs(spark, folder))
     return probe.select(
@@ -104,8 +130,9 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_line_dedup": op2_line_dedup,
+    "op4_jaccard_join": op4_jaccard_join,
     "op6_order_minhash": op6_order_minhash,
     "op7_source_mix": op7_source_mix,
     "op8_quality_rules": op8_quality_rules,
 }
-ORACLE = {"op2_line_dedup": OP2_SQL, "op7_source_mix": OP7_SQL}
+ORACLE = {"op2_line_dedup": OP2_SQL, "op4_jaccard_join": OP4_SQL, "op7_source_mix": OP7_SQL}
