@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import jaccard_join, line_dedup, mixing, order_minhash, quality, sentencepiece_bpe
+from tablekit.llm import jaccard_join, line_dedup, mixing, order_minhash, quality, sentencepiece_bpe, substring_dedup
 
 #: Where the vocabulary lies; the same path on every machine.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -85,6 +85,29 @@ FROM placed
 """
 
 
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = substring_dedup.dedup_substrings(_docs(spark, folder))
+    return done.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP3_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM windows)
+  WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later)
+SELECT d.doc_id, any_value(len(d.w)) AS n_words, count(g.i) AS n_removed,
+       sha256(coalesce(string_agg(p.word, ' ' ORDER BY p.i) FILTER (WHERE g.i IS NULL), '')) AS kept_sha256
+FROM words d LEFT JOIN placed p ON p.doc_id = d.doc_id LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.i = p.i
+GROUP BY d.doc_id
+"""
+
+
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_groups(_docs(spark, folder)).withColumnRenamed("id", "doc_id")
 
@@ -130,9 +153,10 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_line_dedup": op2_line_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_jaccard_join": op4_jaccard_join,
     "op6_order_minhash": op6_order_minhash,
     "op7_source_mix": op7_source_mix,
     "op8_quality_rules": op8_quality_rules,
 }
-ORACLE = {"op2_line_dedup": OP2_SQL, "op4_jaccard_join": OP4_SQL, "op7_source_mix": OP7_SQL}
+ORACLE = {"op2_line_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_jaccard_join": OP4_SQL, "op7_source_mix": OP7_SQL}
