@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import jaccard_join, line_dedup, mixing, order_minhash, quality, sentencepiece_bpe, substring_dedup
+from tablekit.llm import jaccard_join, line_dedup, mixing, order_minhash, quality, sentencepiece_bpe, substring_dedup, suffix_dedup
 
 #: Where the vocabulary lies; the same path on every machine.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -150,6 +150,12 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
                     "base_failed", "kept", "quality"))
 
 
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = suffix_dedup.dedup_bytes(_docs(spark, folder))
+    return done.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_line_dedup": op2_line_dedup,
@@ -158,5 +164,6 @@ QUERIES = {
     "op6_order_minhash": op6_order_minhash,
     "op7_source_mix": op7_source_mix,
     "op8_quality_rules": op8_quality_rules,
+    "op9_suffix_dedup": op9_suffix_dedup,
 }
 ORACLE = {"op2_line_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_jaccard_join": OP4_SQL, "op7_source_mix": OP7_SQL}
