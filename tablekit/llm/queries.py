@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import jaccard_join, line_dedup, mixing, order_minhash, quality, sentencepiece_bpe, substring_dedup, suffix_dedup
+from tablekit.llm import html_main, jaccard_join, line_dedup, mixing, order_minhash, quality, sentencepiece_bpe, substring_dedup, suffix_dedup
 
 #: Where the vocabulary lies; the same path on every machine.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -134,6 +134,11 @@ FROM documents d JOIN reach r ON r.a = d.doc_id LEFT JOIN sizes s ON s.doc_id =
 """
 
 
+def op5_html_main(spark: SparkSession, folder: str) -> DataFrame:
+    done = html_main.extract_main(spark.read.parquet(f"{folder}/pages.parquet"))
+    return done.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     probe = order_minhash.edit_probe(_docs(spark, folder))
     return probe.select(
@@ -161,6 +166,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_html_main": op5_html_main,
     "op6_order_minhash": op6_order_minhash,
     "op7_source_mix": op7_source_mix,
     "op8_quality_rules": op8_quality_rules,
