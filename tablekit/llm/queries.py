@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import html_main, jaccard_join, line_dedup, mixing, order_minhash, quality, sentencepiece_bpe, substring_dedup, suffix_dedup
+from tablekit.llm import html_main, jaccard_join, line_dedup, mixing, order_minhash, quality, sentencepiece_bpe, substring_dedup, suffix_dedup, toxicity
 
 #: Where the vocabulary lies; the same path on every machine.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -161,6 +161,11 @@ def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score_toxicity(_docs(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+    return scored.select(F.col("id").alias("doc_id"), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_line_dedup": op2_line_dedup,
@@ -171,5 +176,6 @@ QUERIES = {
     "op7_source_mix": op7_source_mix,
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE = {"op2_line_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_jaccard_join": OP4_SQL, "op7_source_mix": OP7_SQL}
