@@ -153,7 +153,7 @@ def words(text: str, restorer: Restorer) -> set[str]:
 
 
 #: Lengths of the stems of a word; the whole word is a stem too.
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 
 
 def stems(word: str) -> list[str]:
