@@ -105,21 +105,13 @@ def _previous(buckets: DataFrame) -> DataFrame:
             .select("bucket", F.coalesce("inside", "before").alias("previous")))
 
 
-def with_next(docs: DataFrame, value_cols: list[str]) -> DataFrame:
-    """(id, value columns, next_<value> columns): each row beside the next in ascending id, the last beside the first.
-
-    ``docs`` has id and the value columns. Rows are put in order within buckets of ids; the first row of each bucket is
-    also given to the bucket before it. Rows with the same id are put in the order of their first value column.
-    """
+def with_guests(docs: DataFrame) -> DataFrame:
+    """(id, text, bucket, guest): the rows of ``docs`` and, as a guest at the end of each bucket, the next one's first."""
     own = docs.withColumn("bucket", _bucket(F.col("id"))).withColumn("guest", F.lit(0))
-    value = F.struct("id", *value_cols)
-    order = F.struct(F.col("id").isNull(), F.col("id"), F.col(value_cols[0]))
-    heads = own.groupBy("bucket").agg(F.min_by(value, order).alias("head"))
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("text"))
+    heads = own.groupBy("bucket").agg(F.min_by(F.struct("id", "text"), order).alias("head"))
     moved = heads.join(_previous(heads.select("bucket")).withColumnRenamed("bucket", "from"), F.col("bucket") == F.col("from"))
-    guests = moved.select("head.*", F.col("previous").alias("bucket"), F.lit(1).alias("guest"))
-    in_order = Window.partitionBy("bucket").orderBy("guest", F.col("id").asc_nulls_last(), value_cols[0])
-    return (own.unionByName(guests).withColumn("next", F.lead(F.struct(*value_cols)).over(in_order))
-            .where("guest = 0").select("id", *value_cols, *[F.col("next")[c].alias(f"next_{c}") for c in value_cols]))
+    return own.unionByName(moved.select("head.*", F.col("previous").alias("bucket"), F.lit(1).alias("guest")))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -135,7 +127,12 @@ def edit_probe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     is followed by the first; a single one by itself. Rows without id come last, rows with the same id in the order of
     their texts.
     """
-    paired = with_next(fingerprints(docs, id_col, text_col), ["text", "signature"])
+    base = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    in_order = Window.partitionBy("bucket").orderBy("guest", F.col("id").asc_nulls_last(), "text")
+    paired = (with_signature(with_guests(base), "text", "signature")
+              .withColumn("next", F.lead(F.struct("text", "signature")).over(in_order)).where("guest = 0")
+              .select("id", "text", "signature", F.col("next.text").alias("next_text"),
+                      F.col("next.signature").alias("next_signature")))
     chars = F.length("text")
     quarter = F.floor(chars / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), chars - quarter), F.substring("next_text", F.lit(1), quarter))
