@@ -14,7 +14,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions.paths import col, drop_trailing_slash, object_store_uri, sibling_target
 from ..functions.types import hive_type_to_ddl
-from ..session import materialize, scratch_path
+from ..session import materialize
 from ..sources.catalog import table_location
 from ..sources.datasets import FIELD_DELIMITER, NULL_MARKER, read_parquet_tree, text_partition_keys
 from . import partitions as parts
@@ -29,36 +29,33 @@ BACKUP_ENDING = "_backup_"
 
 
 def fingerprint(df: DataFrame, keys: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
-    """Row count and an order-free checksum of the contents, whole or per key, in one aggregate."""
-    columns = sorted(columns or df.columns)
-    nested_map = any(_has_map(df.schema[c].dataType) for c in columns)
-    whole = F.struct(*[F.col(f"`{c}`") for c in columns])
-    row_hash = F.xxhash64(F.to_json(whole)) if nested_map else F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+    """Row count and an order-free checksum of the contents, whole or per key, in one aggregate.
+
+    A hash skips NULLs, so each value goes in with its null flag; nested values go in as JSON that names them.
+    """
+    parts_of_hash: list[Column] = []
+    for c in sorted(columns or df.columns):
+        value = F.col(f"`{c}`")
+        if isinstance(df.schema[c].dataType, (T.MapType, T.ArrayType, T.StructType)):
+            parts_of_hash.append(F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"}))
+        else:
+            parts_of_hash += [value.isNull(), value]
     return df.groupBy(*(keys or [])).agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(F.sum(row_hash.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("checksum"))
-
-
-def _has_map(kind: T.DataType) -> bool:
-    if isinstance(kind, T.MapType):
-        return True
-    if isinstance(kind, T.ArrayType):
-        return _has_map(kind.elementType)
-    if isinstance(kind, T.StructType):
-        return any(_has_map(f.dataType) for f in kind.fields)
-    return False
+        F.coalesce(F.sum(F.xxhash64(*parts_of_hash).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("checksum"))
 
 
 def compare_contents(source: DataFrame, dest: DataFrame, keys: list[str]) -> DataFrame:
-    """Per key: counts and checksums of both sides and whether the contents are the same."""
+    """Per key: counts and checksums of both sides and whether the contents are the same. A NULL key is a key."""
     shared = [c for c in source.columns if c in dest.columns]
-    left = fingerprint(source, keys, shared).withColumnsRenamed(
-        {"row_count": "source_rows", "checksum": "_s"})
-    right = fingerprint(dest, keys, shared).withColumnsRenamed({"row_count": "dest_rows", "checksum": "_d"})
-    joined = left.join(right, keys, "full_outer")
-    same = F.coalesce((F.col("source_rows") == F.col("dest_rows")) & (F.col("_s") == F.col("_d")), F.lit(False))
-    return joined.select(*keys, F.coalesce("source_rows", F.lit(0)).alias("source_rows"),
-                         F.coalesce("dest_rows", F.lit(0)).alias("dest_rows"), same.alias("same_content"))
+    left = fingerprint(source, keys, shared).alias("l")
+    right = fingerprint(dest, keys, shared).alias("r")
+    joined = left.join(right, parts.same_values("l", "r", keys), "full_outer")
+    same = F.coalesce((F.col("l.row_count") == F.col("r.row_count")) & (F.col("l.checksum") == F.col("r.checksum")),
+                      F.lit(False))
+    return joined.select(*[F.coalesce(f"l.`{k}`", f"r.`{k}`").alias(k) for k in keys],
+                         F.coalesce("l.row_count", F.lit(0)).alias("source_rows"),
+                         F.coalesce("r.row_count", F.lit(0)).alias("dest_rows"), same.alias("same_content"))
 
 
 # ------------------------------------------------------------------ copying
@@ -75,15 +72,15 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str], fmt: st
 def copy_partitions(source: DataFrame, selected: DataFrame, path: str, partition_by: list[str]) -> DataFrame:
     """Copy the selected partitions, leaving the destination's others alone.
 
-    Returns the selected specs with ``copied`` (false for a partition without rows).
+    Returns the selected specs with ``copied`` (false for a partition without rows, or with a value of another type).
     """
     selected = materialize(selected.select("spec").distinct(), "selected")  # read by the copy and by the report
     rows = parts.restrict(source, selected, partition_by)
     write_partitioned(rows, path, partition_by)
-    full = rows.select(*partition_by).distinct().select(parts.make_spec(*partition_by).alias("spec"))
-    full = full.withColumn("_full", F.lit(True))
-    return selected.join(full, "spec", "left").select(
-        "spec", F.coalesce("_full", F.lit(False)).alias("copied"))
+    full = rows.select(*partition_by).distinct().withColumn("_full", F.lit(True)).alias("r")
+    asked = parts.typed_values(selected, {c: source.schema[c].dataType for c in partition_by}).alias("l")
+    hit = asked.join(full, parts.same_values("l", "r", partition_by), "left_semi").select("spec", F.lit(True).alias("_full"))
+    return selected.join(hit, "spec", "left").select("spec", F.coalesce("_full", F.lit(False)).alias("copied"))
 
 
 # ------------------------------------------------------------------ decisions
@@ -206,20 +203,23 @@ def register_external(spark: SparkSession, specs: DataFrame, recreate: bool = Fa
             action, reason = _register_one(spark, row, name, recreate)
             results.append((row["db"], row["tbl"], "FAILED" if action == "REFUSE" else "COMPLETED", action, reason))
         except AnalysisException as err:
-            results.append((row["db"], row["tbl"], "FAILED", "ERROR", str(err)[:500]))
+            results.append((row["db"], row["tbl"], "FAILED", "ERROR", str(err)))
     return spark.createDataFrame(results, "db string, tbl string, status string, action string, error string")
 
 
 def _register_one(spark: SparkSession, row, name: str, recreate: bool) -> tuple[str, str | None]:
     exists = spark.catalog.tableExists(name)
-    if exists and not recreate:
-        there = _plain(table_location(spark, name))
-        if there and there != _plain(row["location"]):
-            return "REFUSE", f"the table lies at {there}, the copy at {_plain(row['location'])}"
+    here = table_location(spark, name) if exists else None
+    asked = spark.createDataFrame([(exists, recreate, None, _plain(here), _plain(row["location"]))],
+                                  "e boolean, r boolean, f string, l string, c string")
+    action, reason = asked.select(creation_decision("e", "r", "f", "l", "c").alias("d")).select("d.*").first()
+    if action == "REFUSE":
+        return action, reason
+    if action == "REPAIR":
         if _is_partitioned(spark, name):
             sync_partitions(spark, name)
         spark.sql(f"REFRESH TABLE {name}")
-        return "REPAIR", None
+        return action, None
     columns = [(c["name"], c["type"]) for c in row["columns"] or []]
     keys = [(c["name"], c["type"]) for c in row["partition_columns"] or []]
     if not columns:
@@ -232,7 +232,7 @@ def _register_one(spark: SparkSession, row, name: str, recreate: bool) -> tuple[
     spark.sql(external_ddl(row["db"], row["tbl"], columns, keys, row["location"], row["format"]))
     if keys:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-    return ("RECREATE" if exists else "CREATE"), None
+    return action, None
 
 
 def _plain(location: str | None) -> str:
@@ -368,8 +368,10 @@ def convert_in_place(spark: SparkSession, db: str, tbl: str, fmt: str = "parquet
                      partition_by: list[str] | None = None, keep_backup: bool = True) -> DataFrame:
     """Copy a table to a new format under its own name; the original stays as a backup.
 
-    The copy is checked while the original is still live, so a bad copy changes nothing.
+    The copy is checked twice while the original is still live: the files against the source, then the rows that the
+    staging table really gives. Names are swapped only when both agree, so a bad copy changes nothing.
     """
+    partition_by = list(partition_by or [])
     live, staging = quoted(db, tbl), quoted(db, tbl + STAGING_ENDING)
     backup = quoted(db, tbl + BACKUP_ENDING)
     source = spark.table(live)
@@ -379,29 +381,37 @@ def convert_in_place(spark: SparkSession, db: str, tbl: str, fmt: str = "parquet
         F.sum("source_rows").alias("source_rows"), F.sum("dest_rows").alias("dest_rows"),
         F.coalesce(F.bool_and("same_content"), F.lit(True)).alias("same_content"),
         F.coalesce(F.bool_and("schema_match"), F.lit(True)).alias("schema_match")).first()
-    passed = summary["same_content"] and summary["schema_match"]
+    same, dest_rows = summary["same_content"], summary["dest_rows"]
+    passed = same and summary["schema_match"]
     if passed:
-        keys = set(partition_by or [])
-        typed = [(f.name, f.dataType.simpleString()) for f in source.schema.fields]
-        spark.sql(external_ddl(db, tbl + STAGING_ENDING, [c for c in typed if c[0] not in keys],
-                               [c for c in typed if c[0] in keys], place, fmt))
-        if keys:
+        typed = {f.name: f.dataType.simpleString() for f in source.schema.fields}
+        # directories lie in the order of partition_by, whatever the order of the columns
+        spark.sql(external_ddl(db, tbl + STAGING_ENDING, [c for c in typed.items() if c[0] not in partition_by],
+                               [(k, typed[k]) for k in partition_by], place, fmt))
+        if partition_by:
             spark.sql(f"ALTER TABLE {staging} RECOVER PARTITIONS")
-        spark.sql(f"ALTER TABLE {live} RENAME TO {backup}")
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {live}")
-        if not keep_backup:
-            spark.sql(f"DROP TABLE IF EXISTS {backup}")
+        through = compare_contents(source.withColumn("_all", F.lit(1)),
+                                   spark.table(staging).withColumn("_all", F.lit(1)), ["_all"]).first()
+        dest_rows = through["dest_rows"] if through else 0
+        same = through["same_content"] if through else True  # no row on either side
+        passed = same
+        if passed:
+            spark.sql(f"ALTER TABLE {live} RENAME TO {backup}")
+            spark.sql(f"ALTER TABLE {staging} RENAME TO {live}")
+            if not keep_backup:
+                spark.sql(f"DROP TABLE IF EXISTS {backup}")
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {staging}")
     return spark.createDataFrame(
-        [(db, tbl, "COMPLETED" if passed else "FAILED", summary["source_rows"], summary["dest_rows"],
-          summary["same_content"], summary["schema_match"])],
+        [(db, tbl, "COMPLETED" if passed else "FAILED", summary["source_rows"], dest_rows, same, summary["schema_match"])],
         "db string, tbl string, status string, source_rows bigint, dest_rows bigint, same_content boolean, "
         "schema_match boolean")
 
 
-def sibling_path(spark: SparkSession, location: str | None) -> str:
-    """Place of a converted copy: next to an object-store location, else in the shared folder."""
+def sibling_path(spark: SparkSession, location: str) -> str:
+    """Place of a converted copy: next to the original, on whatever storage that is."""
     row = spark.createDataFrame([(location,)], "location string").select(sibling_target("location").alias("p")).first()
-    return row["p"] or scratch_path(spark, "converted")
+    return row["p"] or location.rstrip("/") + STAGING_ENDING
 
 
 def cleanup_tables(spark: SparkSession, names: list[str], is_converted, dry_run: bool = True) -> DataFrame:
@@ -422,7 +432,7 @@ def cleanup_tables(spark: SparkSession, names: list[str], is_converted, dry_run:
                 spark.sql(f"DROP TABLE IF EXISTS {row['name']}")
                 _delete(spark, row["location"].rstrip("/") + "/metadata")
             except Exception as err:  # noqa: BLE001 - one bad table must not stop the others
-                status, error = "FAILED", str(err)[:500]
+                status, error = "FAILED", str(err)
         done.append((row["name"], row["location"], status, error))
     return spark.createDataFrame(done, "name string, location string, status string, error string")
 

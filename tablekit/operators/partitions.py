@@ -62,19 +62,29 @@ def _last(entries: Column, name: Column) -> Column:
 
 def spec_value(spec, name: str) -> Column:
     """Value of one partition key, NULL when the spec lacks it; of a key given twice the last one."""
-    key = rf"\s{{0,8}}{re.escape(name)}\s{{0,8}}="
-    raw = F.regexp_substr(col(spec), F.lit(rf"(?<=(?:^|/){key})[^/]*(?!.*/{key})"))
+    mine = F.filter(F.split(col(spec), "/"), lambda x: x.contains("=") & (F.trim(F.substring_index(x, "=", 1)) == name))
+    raw = F.regexp_replace(F.try_element_at(mine, F.lit(-1)), "^[^=]*=", "")
     return decode_value(F.btrim(F.trim(raw), F.lit("'\"")))
 
 
-def make_spec(*names: str) -> Column:
-    """Spec text from partition columns, values escaped the way Spark writes directory names."""
-    def part(name: str) -> Column:
-        value = F.col(name).cast("string")
-        escaped = F.regexp_replace(F.replace(value, F.lit("%"), F.lit("%25")), "/", "%2F")
-        return F.concat(F.lit(f"{name}="), F.coalesce(escaped, F.lit("__HIVE_DEFAULT_PARTITION__")))
+# The directory name of a missing value, and the characters Spark escapes in directory names.
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+_ESCAPED = r"""[\x01-\x1F\x7F"#%'*/:=?\\{\[\]^]"""
+
+
+def escape_value(value: Column) -> Column:
+    """A partition value as Spark writes it in directory names."""
+    def escaped(v: Column) -> Column:
+        one = F.transform(F.split(v, ""), lambda c: F.when(c.rlike(_ESCAPED), F.concat(F.lit("%"), F.lpad(F.hex(c), 2, "0")))
+                          .otherwise(c))
+        return F.when(v.rlike(_ESCAPED), F.array_join(one, "")).otherwise(v)
+
+    return F.coalesce(bind_once(F.nullif(value, F.lit("")), escaped), F.lit(DEFAULT_PARTITION))
+
 
-    return F.concat_ws("/", *[part(n) for n in names])
+def make_spec(*names: str) -> Column:
+    """Spec text from partition columns, as Spark names the directories."""
+    return F.concat_ws("/", *[F.concat(F.lit(f"{n}="), escape_value(F.col(n).cast("string"))) for n in names])
 
 
 @dataclass(frozen=True)
@@ -191,16 +201,41 @@ def filter_is_active(selected_count: Column, total_count: Column) -> Column:
     return selected_count < total_count
 
 
+def typed_values(partitions: DataFrame, kinds: dict[str, T.DataType]) -> DataFrame:
+    """The specs' values as columns of these types; the default partition's value is NULL.
+
+    Specs with a value that its type cannot hold are left out.
+    """
+    read, sound = {}, F.lit(True)
+    for name, kind in kinds.items():
+        value = F.nullif(spec_value("spec", name), F.lit(DEFAULT_PARTITION))
+        read[name] = value.try_cast(kind)
+        sound = sound & (read[name].isNotNull() == value.isNotNull()) & spec_value("spec", name).isNotNull()
+    return partitions.where(sound).withColumns(read)
+
+
 def restrict(df: DataFrame, partitions: DataFrame, columns: list[str]) -> DataFrame:
     """Rows of ``df`` in the listed partitions; an empty list gives no rows.
 
     A left semi join on the partition columns in their own types, so file-based tables are pruned
-    at run time and a repeated spec changes nothing.
+    at run time and a repeated spec changes nothing. Rows of default partitions (a NULL among the
+    columns) are met apart, null-safe, so that the join of all others stays one Spark can prune.
     """
-    wanted = partitions.select(*[
-        spec_value("spec", c).try_cast(df.schema[c].dataType).alias(c) for c in columns
-    ]).distinct()
-    return df.join(wanted, columns, "left_semi")
+    wanted = typed_values(partitions, {c: df.schema[c].dataType for c in columns}).select(*columns).distinct()
+    missing = F.lit(False)
+    for c in columns:
+        missing = missing | F.col(c).isNull()
+    some = df.where(missing).alias("l").join(
+        wanted.where(missing).alias("r"), same_values("l", "r", columns), "left_semi")
+    return df.join(wanted, columns, "left_semi").unionByName(some)
+
+
+def same_values(left: str, right: str, columns: list[str]) -> Column:
+    """Null-safe equality of columns of two aliased frames."""
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`"))
+    return same
 
 
 def specs_predicate(specs: list[str]) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from tablekit.operators import lifecycle as life
+from tablekit.operators import partitions as parts
 from tablekit.sources import catalog, files
 
 
@@ -164,3 +165,59 @@ def test_copy_keeps_other_partitions(spark, tmp_path):
     assert rows(life.copy_partitions(data, chosen, path, ["m"])) == [("m=01", True), ("m=99", False)]
     got = spark.read.parquet(path).groupBy("m").agg(F.max("id").alias("x"))
     assert {r["m"]: r["x"] for r in got.collect()} == {0: -1, 1: 7, 2: -1}
+
+
+def test_convert_in_place_with_partitions_in_another_order(spark, db, tmp_path):
+    path = str(tmp_path / "src")
+    spark.createDataFrame([(i, 2020 + i % 3, i % 2) for i in range(10)], "id int, year int, month int").write.orc(path)
+    spark.sql(f"CREATE TABLE {db}.t USING orc LOCATION '{path}'")
+    before = rows(spark.table(f"{db}.t"), "id", "year", "month")
+    row = life.convert_in_place(spark, db, "t", "parquet", ["month", "year"]).first()
+    assert (row["status"], row["source_rows"], row["dest_rows"]) == ("COMPLETED", 10, 10)
+    assert rows(spark.table(f"{db}.t"), "id", "year", "month") == before
+    assert [r["spec"] for r in catalog.partitions(spark, db, "t").collect()][0].startswith("month=")
+
+
+def test_convert_in_place_keeps_the_original_when_the_table_differs(spark, db, tmp_path, monkeypatch):
+    path = str(tmp_path / "src")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string").write.orc(path)
+    spark.sql(f"CREATE TABLE {db}.t USING orc LOCATION '{path}'")
+    ddl = life.external_ddl
+    monkeypatch.setattr(life, "external_ddl", lambda *a, **k: ddl(*a[:4], str(tmp_path / "elsewhere"), *a[5:], **k))
+    row = life.convert_in_place(spark, db, "t", "parquet").first()
+    assert (row["status"], row["dest_rows"], row["same_content"]) == ("FAILED", 0, False)
+    assert spark.table(f"{db}.t").count() == 2 and [t.name for t in spark.catalog.listTables(db)] == ["t"]
+
+
+def test_checksum_tells_where_a_null_stands(spark):
+    def frame(*data):
+        return spark.createDataFrame(list(data), "a string, b string, s struct<x:int,y:int>, k int")
+
+    one = frame(("x", None, (1, None), 1))
+    assert life.compare_contents(one, one, ["k"]).first()["same_content"]
+    assert not life.compare_contents(one, frame((None, "x", (1, None), 1)), ["k"]).first()["same_content"]
+    assert not life.compare_contents(one, frame(("x", None, (None, 1), 1)), ["k"]).first()["same_content"]
+
+
+def test_null_partition_is_copied_and_verified(spark, tmp_path):
+    data = spark.createDataFrame([(1, "a"), (2, None)], "id int, p string")
+    chosen = data.select(parts.make_spec("p").alias("spec"))
+    path = str(tmp_path / "dst")
+    assert rows(life.copy_partitions(data, chosen, path, ["p"])) == [("p=__HIVE_DEFAULT_PARTITION__", True), ("p=a", True)]
+    assert rows(spark.read.parquet(path), "id", "p") == [(1, "a"), (2, None)]
+    done = life.convert_verified(spark, data, str(tmp_path / "conv"), partition_by=["p"])
+    assert rows(done, "p", "source_rows", "dest_rows", "same_content") == [("a", 1, 1, True), (None, 1, 1, True)]
+
+
+def test_specs_are_named_as_spark_names_directories(spark, db, tmp_path):
+    odd = ["2024-01-01 10:00:00", "a/b", "50%", "x=y", "q?#*", "[z]^{", "plain é", "back\\slash", "quote\"'", "", None]
+    data = spark.createDataFrame([(i, v) for i, v in enumerate(odd)], "id int, p string")
+    path = str(tmp_path / "t")
+    data.write.partitionBy("p").parquet(path)
+    made = {r["spec"] for r in data.select(parts.make_spec("p").alias("spec")).collect()}
+    assert made == {d for d in os.listdir(path) if d.startswith("p=")}
+    spark.sql(life.external_ddl(db, "t", [("id", "int")], [("p", "string")], path))
+    spark.sql(f"ALTER TABLE {db}.t RECOVER PARTITIONS")
+    assert made == {r["spec"] for r in catalog.partitions(spark, db, "t").collect()}
+    back = parts.restrict(data, data.select(parts.make_spec("p").alias("spec")), ["p"])
+    assert back.count() == len(odd) - 1  # an empty text is written as a missing value
