@@ -7,29 +7,24 @@ lines are rows. There is no join of lines with rules.
 from __future__ import annotations
 
 import ast
-import bisect
 import json
 import re
 import warnings
-from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Severities from worst to mildest, excerpt length, size limit of the multi-line pass.
+# Severities from worst to mildest.
 SEVERITIES = ("critical", "high", "medium", "low", "info")
-EXCERPT_CHARS = 200
-MULTILINE_LIMIT_BYTES = 1024 * 1024
 # File name endings that are scanned, and names that are left out.
 SCANNED_ENDINGS = (".py", ".scala", ".java", ".sql", ".conf", ".properties", ".xml", ".yaml", ".yml", ".sbt",
                    ".gradle", ".hql")
 RULE_ENDINGS = (".py", ".scala", ".java", ".sql", ".conf", ".properties", ".xml", ".yaml", ".yml")
 SKIPPED_NAMES = ("__pycache__", ".git", "node_modules", ".venv", "venv", "target", "build", "dist", ".idea",
                  ".vscode", "*.pyc")
-MAX_RULES = 2000
 ISSUE_DDL = "path string, rule_id string, line_no int, excerpt string, pass int"
 
 
@@ -60,15 +55,14 @@ def load_rules(text: str) -> list[Rule]:
 
 
 def check_rules(rules: list[Rule]) -> list[Rule]:
-    """Refuse bad patterns, repeated ids, unknown severities and lists too long for an expression."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} fit one scan")
+    """Refuse bad patterns, repeated ids, unknown severities and multi-line patterns that match nothing at all."""
     if len({r.rule_id for r in rules}) != len(rules):
         raise ValueError("rule ids must be unique")
     for rule in rules:
         if rule.severity not in SEVERITIES:
             raise ValueError(f"unknown severity {rule.severity!r} in {rule.rule_id}")
-        re.compile(rule.pattern)
+        if re.compile(rule.pattern).match("") and rule.multiline:
+            raise ValueError(f"{rule.rule_id} matches the empty text")
     return rules
 
 
@@ -139,9 +133,28 @@ def scan_lines(lines: DataFrame, rules: list[Rule], path: str = "path") -> DataF
     text a rule ``needs`` keeps most lines away from its pattern. A
     ``code_only`` rule needs the line's ``is_code`` flag when the lines carry one.
     """
-    rules = [r for r in check_rules(rules) if not r.multiline]
-    if not rules:
+    tests = _line_tests(lines, rules, path)
+    if not tests:
         return lines.sparkSession.createDataFrame([], ISSUE_DDL)
+    hits = F.array_compact(F.array(*tests))
+    return lines.where(F.coalesce(*tests).isNotNull()).select(
+        F.col(path).alias("path"), F.explode_outer(hits).alias("rule_id"), "line_no",
+        strip("line").alias("excerpt"), F.lit(1).alias("pass"))
+
+
+def line_totals(lines: DataFrame, rules: list[Rule], path: str = "path") -> DataFrame:
+    """Files and lines scanned, files with issues, and issues of the single-line rules, in one pass over the lines."""
+    tests = _line_tests(lines, rules, path)
+    found = F.size(F.array_compact(F.array(*tests))) if tests else F.lit(0)
+    per_file = lines.groupBy(path).agg(F.count(F.lit(1)).alias("_lines"), F.sum(found).alias("_n"))
+    return per_file.agg(
+        F.count(F.lit(1)).alias("files_scanned"), F.coalesce(F.sum("_lines"), F.lit(0)).alias("lines_scanned"),
+        F.count_if(F.col("_n") > 0).alias("files_with_issues"), F.coalesce(F.sum("_n"), F.lit(0)).alias("issues"))
+
+
+def _line_tests(lines: DataFrame, rules: list[Rule], path: str) -> list[Column]:
+    """The id of each single-line rule where it matches the line, else NULL."""
+    rules = [r for r in check_rules(rules) if not r.multiline]
     has_code = "is_code" in lines.columns
     tests = []
     for rule in rules:
@@ -150,10 +163,7 @@ def scan_lines(lines: DataFrame, rules: list[Rule], path: str = "path") -> DataF
         if rule.code_only and has_code:
             test = test & F.coalesce("is_code", F.lit(True))
         tests.append(F.when(test, F.lit(rule.rule_id)))
-    hits = F.array_compact(F.array(*tests))
-    return lines.where(F.coalesce(*tests).isNotNull()).select(
-        F.col(path).alias("path"), F.explode_outer(hits).alias("rule_id"), "line_no",
-        F.substring(strip("line"), 1, EXCERPT_CHARS).alias("excerpt"), F.lit(1).alias("pass"))
+    return tests
 
 
 def _holds(line: Column, needed: str, ignore_case: bool = False) -> Column:
@@ -162,33 +172,33 @@ def _holds(line: Column, needed: str, ignore_case: bool = False) -> Column:
     return F.lower(line).contains(needed.lower()) if ignore_case else line.contains(needed)
 
 
-def scan_multiline(files: DataFrame, rules: list[Rule], path: str = "path", text: str = "text",
-                   limit_bytes: int = MULTILINE_LIMIT_BYTES) -> DataFrame:
-    """Issues of the multi-line rules, whose dot also matches line breaks; larger files are left out.
+def scan_multiline(files: DataFrame, rules: list[Rule], path: str = "path", text: str = "text") -> DataFrame:
+    """Issues of the multi-line rules, whose dot also matches line breaks, over whole texts.
 
-    Catalyst has no "offset of every match", so this pass runs in Python on Arrow batches of files.
+    A match starts after the line feeds of the pieces up to it and of the matches before it. Matches and pieces become
+    rows, and their line feeds are added up per file and rule.
     """
     rules = [r for r in check_rules(rules) if r.multiline]
-    specs = [(r.rule_id, r.pattern, r.ignore_case, r.endings) for r in rules]
-
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        compiled = [(i, re.compile(p, re.S | (re.I if ic else 0)), ends) for i, p, ic, ends in specs]
-        for pdf in batches:
-            rows = []
-            for name, body in zip(pdf["path"], pdf["text"]):
-                breaks = [m.start() for m in re.finditer("\n", body)]
-                for rule_id, pattern, ends in compiled:
-                    if name.endswith(ends):
-                        rows += [(name, rule_id, bisect.bisect_left(breaks, m.start()) + 1,
-                                  m.group().replace("\n", " ")[:EXCERPT_CHARS], 2) for m in pattern.finditer(body)]
-            yield pd.DataFrame(rows, columns=["path", "rule_id", "line_no", "excerpt", "pass"])
-
-    wanted = F.lit(False)
-    for ending in sorted({e for r in rules for e in r.endings}):
-        wanted = wanted | F.col("path").endswith(ending)
-    slim = files.select(F.col(path).alias("path"), F.col(text).alias("text")).where(
-        wanted & F.col("text").isNotNull() & (F.octet_length("text") <= limit_bytes))
-    return slim.mapInPandas(find, ISSUE_DDL)
+    if not rules:
+        return files.sparkSession.createDataFrame([], ISSUE_DDL)
+    slim = files.where(F.col(text).isNotNull()).select(F.col(path).alias("path"), F.col(text).alias("text"))
+    found = []
+    for rule in rules:
+        pattern = f"(?s{'i' if rule.ignore_case else ''})(?:{rule.pattern})"
+        hit = _ends_with(F.col("path"), rule.endings) & _holds(F.col("text"), rule.needs, rule.ignore_case)
+        zipped = F.arrays_zip(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("m"),
+                              F.split("text", pattern, -1).alias("p"))
+        found.append(F.when(hit & F.col("text").rlike(pattern), F.struct(F.lit(rule.rule_id).alias("rule_id"), zipped.alias("at"))))
+    each = slim.select("path", F.xxhash64("text").alias("file"), F.explode(F.array_compact(F.array(*found))).alias("r"))
+    rows = each.select("path", "file", "r.rule_id", F.posexplode("r.at").alias("k", "at")).where("at.m IS NOT NULL")
+    def feeds(part: str) -> Column:
+        return F.length(F.col(f"at.{part}")) - F.length(F.replace(F.col(f"at.{part}"), F.lit("\n")))
+
+    in_order = Window.partitionBy("path", "file", "rule_id").orderBy("k")
+    before = F.sum(feeds("p")).over(in_order.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce(
+        F.sum(feeds("m")).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.select("path", "rule_id", (before + 1).cast("int").alias("line_no"),
+                       F.replace(F.col("at.m"), F.lit("\n"), F.lit(" ")).alias("excerpt"), F.lit(2).alias("pass"))
 
 
 def one_per_line(issues: DataFrame) -> DataFrame:
@@ -240,8 +250,7 @@ def with_rule(issues: DataFrame, rules: list[Rule]) -> DataFrame:
             for r in map(asdict, rules)]
     details = issues.sparkSession.createDataFrame(
         rows, "rule_id string, severity string, severity_rank int, category string, title string, suggestion string")
-    # At most MAX_RULES rows, checked by check_rules.
-    return issues.join(F.broadcast(details), "rule_id")
+    return issues.join(F.broadcast(details), "rule_id")  # the rules are a list of the caller
 
 
 def summarise(issues: DataFrame) -> DataFrame:
@@ -320,6 +329,24 @@ def suggest_fixes(lines: DataFrame, fixes: list[Fix], path: str = "path", commen
                         "_h.fixable").where(F.col("new_code") != F.col("old_code"))
 
 
+def moved_imports(lines: DataFrame, moves: DataFrame, path: str = "path") -> DataFrame:
+    """Imported names that moved: (path, line_no, module, name, new_module, new_name), one row per name.
+
+    ``moves`` has module, name, new_module, new_name; the name ``*`` stands for every name of a module, and a NULL target
+    for one that is gone. A line is read as ``from module import name [as other], ...``, with or without parentheses.
+    """
+    parsed = F.regexp_extract(strip("line"), r"^from\s+([\w.]+)\s+import\s+\(?([^()#]*)", 1)
+    listed = F.regexp_extract(strip("line"), r"^from\s+([\w.]+)\s+import\s+\(?([^()#]*)", 2)
+    named = lines.where(F.col("line").contains("import")).select(
+        F.col(path).alias("path"), "line_no", parsed.alias("module"), F.explode(F.split(listed, ",")).alias("name"))
+    named = named.withColumn("name", F.regexp_extract("name", r"^\s*([\w*]+)", 1)).where((F.col("module") != "") & (F.col("name") != ""))
+    single = moves.where("name <> '*'").select("module", "name", "new_module", "new_name")
+    whole = moves.where("name = '*'").select("module", "new_module")
+    return named.join(single, ["module", "name"]).unionByName(
+        named.join(whole, "module").withColumn("new_name", F.col("name"))).select(
+        "path", "line_no", "module", "name", "new_module", "new_name")
+
+
 def first_fix_per_line(suggestions: DataFrame) -> DataFrame:
     """The first applicable fix of each line by rule order."""
     return suggestions.where("fixable").groupBy("path", "line_no").agg(

@@ -53,7 +53,7 @@ def _rules_sql(rules: list[Rule]) -> str:
 LINES = f"""
 WITH d AS (SELECT {DOC_PATH} AS path, string_split(regexp_replace(text, '\\n$', ''), chr(10)) AS ls FROM documents WHERE text <> ''),
 l AS (SELECT path, unnest(ls) AS line, generate_subscripts(ls, 1) AS line_no FROM d),
-i AS (SELECT path, rule_id, severity, category, line_no, substr(trim(line, ' ' || chr(9)), 1, 200) AS excerpt FROM l JOIN {_rules_sql(LINE_RULES)} ON regexp_matches(line, pattern))"""
+i AS (SELECT path, rule_id, severity, category, line_no, trim(line, ' ' || chr(9)) AS excerpt FROM l JOIN {_rules_sql(LINE_RULES)} ON regexp_matches(line, pattern))"""
 
 
 def document_files(spark: SparkSession, d: str) -> DataFrame:
@@ -88,8 +88,7 @@ def scan_summary(spark, d):
 SELECT (SELECT count(DISTINCT path) FROM l)::BIGINT AS files_scanned, (SELECT count(*) FROM l)::BIGINT AS lines_scanned,
   (SELECT count(DISTINCT path) FROM i)::BIGINT AS files_with_issues, (SELECT count(*) FROM i)::BIGINT AS issues""")
 def scan_totals(spark, d):
-    lines = textscan.file_lines(document_files(spark, d))
-    return textscan.scan_totals(lines, textscan.scan_lines(lines, LINE_RULES))
+    return textscan.line_totals(textscan.file_lines(document_files(spark, d)), LINE_RULES)
 
 
 def _multi_sql(rule: Rule) -> str:
@@ -98,12 +97,12 @@ def _multi_sql(rule: Rule) -> str:
 
 
 @query(f"""
-WITH f AS (SELECT {DOC_PATH} AS path, text FROM documents WHERE octet_length(encode(text)) <= 1048576),
+WITH f AS (SELECT {DOC_PATH} AS path, text FROM documents),
 m AS ({' UNION ALL '.join(_multi_sql(r) for r in MULTI_RULES)}),
 x AS (SELECT rule_id, path, unnest(ms) AS hit, generate_subscripts(ms, 1) AS k, ms, ps FROM m),
 y AS (SELECT rule_id, path, hit, k, 1 + list_sum(list_transform(ps[1:k], lambda s: length(s) - length(replace(s, chr(10), ''))))
   + coalesce(list_sum(list_transform(ms[1:k - 1], lambda s: length(s) - length(replace(s, chr(10), '')))), 0) AS line_no FROM x)
-SELECT path, rule_id, line_no::BIGINT AS line_no, min(substr(replace(hit, chr(10), ' '), 1, 200)) AS excerpt FROM y GROUP BY 1, 2, 3""")
+SELECT path, rule_id, line_no::BIGINT AS line_no, min(replace(hit, chr(10), ' ')) AS excerpt FROM y GROUP BY 1, 2, 3""")
 def scan_multiline(spark, d):
     found = textscan.one_per_line(textscan.scan_multiline(document_files(spark, d), MULTI_RULES))
     return found.select("path", "rule_id", F.col("line_no").cast("bigint").alias("line_no"), "excerpt")
@@ -144,6 +143,33 @@ def pick_files(spark, d):
     return docs.select(name.alias("path")).where(textscan.scannable("path", endings=(".txt", ".pyc")))
 
 
+# ------------------------------------------------------------------ moved imports
+
+# A source line per part: an import of several names, some moved, some renamed in the import, one module moved whole.
+MOVES = [("paint.base", "Red", "colour", "Crimson"), ("paint.base", "Blue", "colour", "Blue"), ("paint.old", "*", "paint.new", "*"),
+         ("paint.gone", "Wash", None, None)]
+NAMES = "['paint.base', 'paint.old', 'paint.gone', 'other']"
+
+
+@query(f"""
+WITH f AS (SELECT 'src/p'||p_partkey||'.py' AS path, {NAMES}[1 + p_partkey % 4] AS module,
+  [['Red', 'Blue as B', 'Green'], ['Wash', 'Red as R']][1 + (p_size % 2)::INT] AS names FROM part),
+n AS (SELECT path, module, unnest(list_transform(names, lambda x: split_part(x, ' ', 1))) AS name FROM f),
+m(module, name, new_module, new_name) AS (VALUES ('paint.base', 'Red', 'colour', 'Crimson'), ('paint.base', 'Blue', 'colour', 'Blue'),
+  ('paint.old', '*', 'paint.new', '*'), ('paint.gone', 'Wash', NULL, NULL))
+SELECT n.path, 2::BIGINT AS line_no, n.module, n.name, m.new_module, CASE WHEN m.new_name = '*' THEN n.name ELSE m.new_name END AS new_name
+FROM n JOIN m ON m.module = n.module AND m.name IN (n.name, '*')""")
+def moved_imports(spark, d):
+    modules = F.array(*[F.lit(x) for x in ("paint.base", "paint.old", "paint.gone", "other")])
+    names = F.when(F.col("p_size") % 2 == 0, F.lit("Red, Blue as B, Green")).otherwise(F.lit("(Wash,  Red as R)"))
+    line = F.concat(F.lit("  from "), F.get(modules, (F.col("p_partkey") % 4).cast("int")), F.lit(" import "), names)
+    sources = read(spark, d, "part").select(F.concat(F.lit("src/p"), text("p_partkey"), F.lit(".py")).alias("path"),
+                                            F.concat(F.lit("# from paint.base import Red\n"), line).alias("text"))
+    moves = spark.createDataFrame(MOVES, "module string, name string, new_module string, new_name string")
+    found = textscan.moved_imports(textscan.file_lines(sources), moves)
+    return found.withColumn("line_no", F.col("line_no").cast("bigint"))
+
+
 # ------------------------------------------------------------------ fixes
 
 FIXES = [

@@ -6,7 +6,7 @@ import pytest
 from helpers import rows
 from tablekit.operators import textscan as t
 from tablekit.operators.textscan import Fix, Rule
-from tablekit.rules import spark_upgrade_rules, workflow_fixes
+from tablekit.rules import spark_upgrade_rules, workflow_moves, workflow_removals, workflow_renames
 
 SOURCE = '"""doc red\n"""\n\nx = 1  # red\n# red comment\ndef f(\n    a,\n):\n    return "red"\n'
 
@@ -34,7 +34,7 @@ def test_scan_lines(spark):
     assert rows(t.scan_lines(lines, rules), "path", "rule_id", "line_no", "excerpt") == [
         ("a.py", "A", 1, "red1 x"), ("a.py", "B", 1, "red1 x"), ("a.py", "B", 2, "Red"), ("b.sql", "A", 2, "red1"), ("b.sql", "B", 2, "red1"), ("b.sql", "C", 1, "x")]
     long = t.scan_lines(t.file_lines(files(spark, a_py="red1" + "y" * 500)), rules[:1]).first()
-    assert len(long["excerpt"]) == 200
+    assert len(long["excerpt"]) == 504
 
 
 def test_multiline_matches_brute_force(spark):
@@ -47,7 +47,10 @@ def test_multiline_matches_brute_force(spark):
                 want.add((name.replace("_", "."), text.count("\n", 0, m.start()) + 1))
     got = t.one_per_line(t.scan_multiline(files(spark, **texts), [rule]))
     assert {(r["path"], r["line_no"]) for r in got.collect()} == want
-    assert t.scan_multiline(files(spark, **texts), [rule], limit_bytes=5).count() == 0
+    big = "x\n" * 700_000 + "foo(\n1)"
+    assert [r["line_no"] for r in t.scan_multiline(files(spark, a_py=big), [rule]).collect()] == [700_001]
+    with pytest.raises(ValueError):
+        t.scan_multiline(files(spark, **texts), [Rule("E", "x*", multiline=True)])
 
 
 def test_line_pass_goes_first(spark):
@@ -90,6 +93,7 @@ def test_summary_and_totals(spark):
     found = t.scan(source, rules)
     assert rows(t.summarise(found)) == [("category", "colour", 2), ("path", "a.py", 2), ("rule_id", "R", 2), ("severity", "high", 2)]
     assert tuple(t.scan_totals(lines, found).select("files_scanned", "lines_scanned", "files_with_issues", "issues").first()) == (2, 3, 1, 2)
+    assert tuple(t.line_totals(lines, rules).select("files_scanned", "lines_scanned", "files_with_issues", "issues").first()) == (2, 3, 1, 2)
     none = t.scan_totals(lines, found.limit(0)).select("files_scanned", "files_with_issues", "issues").first()
     assert tuple(none) == (2, 0, 0)
 
@@ -117,40 +121,37 @@ def test_fixes(spark):
     assert [r["applied"] for r in changed] == [True, False, False, False, False, True] and changed[1]["line"] == "  y = dummy(dummy)"
 
 
+def test_moved_imports(spark):
+    text = ("from airflow.decorators import dag, task as t\nfrom airflow import DAG\n  from airflow.operators.python import (PythonOperator, x)  # c\n"
+            "from airflow.utils.dates import days_ago\nfrom mine import Dataset\n# from airflow import DAG\nx = 1\nimport airflow\n")
+    found = t.moved_imports(t.file_lines(files(spark, a_py=text)), workflow_moves(spark))
+    sdk, python = "airflow.sdk", "airflow.providers.standard.operators.python"
+    assert set(rows(found, "line_no", "name", "new_module", "new_name")) >= {
+        (1, "dag", sdk, "dag"), (1, "task", sdk, "task"), (2, "DAG", sdk, "DAG"), (3, "PythonOperator", python, "PythonOperator"),
+        (3, "x", python, "x"), (4, "days_ago", None, None)}
+    assert {r["line_no"] for r in found.collect()} == {1, 2, 3, 4}
+
+
 @pytest.mark.parametrize("line, new", [
-    ("from airflow.decorators import dag, task", "from airflow.sdk import dag, task"),
-    ("from airflow import DAG", "from airflow.sdk import DAG"),
-    ("from airflow.operators.python import get_current_context", "from airflow.sdk import get_current_context"),
-    ("from airflow.operators.python import PythonOperator, x", "from airflow.providers.standard.operators.python import PythonOperator"),
-    ("from airflow.operators.python import ShortCircuitOperator", "from airflow.providers.standard.operators.python import ShortCircuitOperator"),
-    ("from airflow.utils.dates import days_ago", "# REMOVED: days_ago - use pendulum.today('UTC').add(days=-N) instead"),
     ("    schedule_interval='@daily',", "schedule='@daily',"),
     ("x = context['execution_date']", "x = context['logical_date']"),
-    ("x = context.get('prev_ds')", "# MANUAL FIX REQUIRED: prev_ds removed; compute manually"),
     ("t = DummyOperator(task_id='x')", "t = EmptyOperator(task_id='x')"),
     ("rule = TriggerRule.DUMMY", "rule = TriggerRule.ALWAYS"),
-    ("def run(spark, sc, x):", "def run(spark, x):"),
-    ("start = days_ago(3)", "start = pendulum.today('UTC').add(days=-3)"),
     ("d = Dataset('x')", "d = Asset('x')"),
-    ("op(x, use_dill=True)", "op(x)"),
-    ("h = s.get_hook()", "h = s.hook"),
-    ("sla=timedelta(hours=1),", "# REMOVED: SLAs removed in Airflow 3; use custom monitoring or Deadline Alerts"),
-    ("runs = DagRun.find(x)", "# MANUAL FIX REQUIRED: DagRun.find() blocked in tasks; use REST API client; use REST API"),
-    ("from mine import Dataset", None),
-    ("# from airflow import DAG", None),
+    ("my_schedule_interval = 1", None),
 ])
-def test_workflow_fixes(spark, line, new):
-    fixes = workflow_fixes()
-    # Only the fixes that could apply, to keep the expression of a test small.
-    fixes = [f for f in fixes if not f.needs or f.needs in line]
-    found = t.suggest_fixes(t.file_lines(files(spark, a_py=line)), fixes).orderBy("rule_order").collect() if fixes else []
+def test_renamed_identifiers(spark, line, new):
+    found = t.suggest_fixes(t.file_lines(files(spark, a_py=line)), workflow_renames()).collect()
     assert [r["new_code"] for r in found] == ([new] if new else [])
 
 
+def test_removed_context_is_only_reported(spark):
+    found = t.suggest_fixes(t.file_lines(files(spark, a_py="x = context.get('prev_ds')")), workflow_removals())
+    assert rows(found, "rule_id", "fixable") == [("GONE-prev_ds", False)]
+
+
 def test_shipped_rules_work_together(spark):
     source = files(spark, a_py="df = sqlContext.sql('x')\ndf.registerTempTable(\n 't')\nfor k in d.iteritems(): pass\n# udf(\n", b_py="print 'x'\n")
     found = t.scan(source, spark_upgrade_rules())
     assert rows(found, "path", "line_no", "rule_id") == [
         ("a.py", 1, "API-SQLCONTEXT"), ("a.py", 2, "API-TEMPTABLE"), ("a.py", 4, "PY2-ITER"), ("b.py", 1, "PY2-PRINT")]
-    everything = t.suggest_fixes(t.file_lines(files(spark, a_py="from airflow import DAG\nx = 1\n")), workflow_fixes())
-    assert rows(everything, "line_no", "rule_id") == [(1, "IMPORT-01")]
