@@ -31,9 +31,9 @@ def utc_text(ts) -> Column:
 
 
 def bounded_json(record: Column, long_field: str, limit: int = 4000) -> Column:
-    """JSON of a struct that always parses within ``limit`` characters.
+    """JSON of a struct that always parses, within ``limit`` characters if shortening one field can do it.
 
-    The field that can grow is shortened first, then dropped, then only a mark is left.
+    The field that can grow is shortened, then left empty; all other fields are always there.
     """
     def render(value: Column) -> Column:
         return F.to_json(record.withField(long_field, value), {"ignoreNullFields": "false"})
@@ -43,9 +43,4 @@ def bounded_json(record: Column, long_field: str, limit: int = 4000) -> Column:
     keep = F.length(text) - (F.length(whole) - F.lit(limit)) - F.lit(3)
     shorter = render(F.when(keep > 0, F.concat(F.substring(text, F.lit(1), keep), F.lit("..."))))
     without = render(F.lit(None).cast("string"))
-    return (
-        F.when(F.length(whole) <= limit, whole)
-        .when(F.length(shorter) <= limit, shorter)
-        .when(F.length(without) <= limit, without)
-        .otherwise(F.lit('{"truncated":true}'))
-    )
+    return F.when(F.length(whole) <= limit, whole).when(F.length(shorter) <= limit, shorter).otherwise(without)

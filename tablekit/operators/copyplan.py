@@ -25,8 +25,6 @@ MEMORY_KILL_EXIT = 137
 # Statuses that end a copy unit.
 TERMINAL = ("COMPLETED", "FAILED", "SKIPPED", "EMPTY_SOURCE", "SOURCE_NOT_FOUND")
 PASS_THROUGH = ("SOURCE_NOT_FOUND", "EMPTY_SOURCE", "SKIPPED")
-# Tables one packing task takes; a larger database is packed in several shards.
-PACK_SHARD_TABLES = 20_000
 
 
 def sync_plan(source: DataFrame, dest: DataFrame, keys: list[str] | None = None, path: str = "rel_path",
@@ -90,21 +88,17 @@ def resolve_cap(tables: DataFrame, lanes: int, backstop_seconds: float, cost: st
 
 
 def pack_batches(tables: DataFrame, cap: float, max_tables: int = 25, group: str = "db", name: str = "tbl",
-                 cost: str = "cost", shard_tables: int = PACK_SHARD_TABLES) -> DataFrame:
+                 cost: str = "cost", shards: int = 1) -> DataFrame:
     """Add ``batch`` (text id), ``batch_cost`` and ``batch_rank`` (0 = most expensive).
 
-    First-fit-decreasing within a database. A database above ``shard_tables`` is cut into hash shards
-    that are packed on their own, so a task sees a bounded number of tables; each extra shard can leave
-    one more part-filled batch. A table above the cap gets its own batch; none is dropped.
+    First-fit-decreasing within each of a database's ``shards``, cut by a hash of the table name; a task takes one
+    shard, a row of name and cost per table. A shard can leave one more part-filled batch. A table above the cap gets
+    its own batch; none is dropped.
     """
-    # One small row per table, stored because it is read for the sizes and again for the packing.
-    slim = materialize(tables.select(
+    sharded = tables.select(
         F.col(group).cast("string").alias(group), F.col(name).cast("string").alias(name),
-        F.col(cost).cast("double").alias(cost)), "pack-in")
-    sizes = slim.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_tables)).cast("bigint").alias("_shards"))
-    # Salted, so that the shards of one large database do not meet in one task again.
-    sharded = ordered.salted_join(slim, sizes, [group]).select(
-        group, name, cost, F.pmod(F.xxhash64(name), F.col("_shards")).alias("_shard"))
+        F.col(cost).cast("double").alias(cost),
+        F.pmod(F.xxhash64(F.col(name).cast("string")), F.lit(shards)).alias("_shard"))
 
     def bins_of(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
         costs, ends = pdf[cost].to_numpy(dtype=float), [*starts[1:], len(pdf)]
@@ -173,8 +167,8 @@ def split_folders(files: DataFrame, depth: int = 1, max_units: int = 1000, max_l
                   root: str = "root", path: str = "rel_path", size: str = "length") -> DataFrame:
     """Copy units of each root: its folders ``depth`` levels down, and the loose files above them.
 
-    A root with too many loose files in one folder, too many units, or no subfolder stays whole.
-    ``rel_path`` is relative to the root.
+    A root without subfolders stays whole. ``over_limit`` marks the units of roots with more units, or more loose files
+    in one folder, than asked for; they are kept all the same. ``rel_path`` is relative to the root.
     """
     pieces = F.split(F.col(path), "/")
     level = F.least(F.lit(depth), F.size(pieces) - 1)
@@ -201,15 +195,13 @@ def split_folders(files: DataFrame, depth: int = 1, max_units: int = 1000, max_l
         F.sum("file_count").alias("_files"),
         F.sum("size_bytes").alias("_bytes"),
     )
-    whole = (
-        (F.col("_folders") == 0) | (F.col("_units") > max_units)
-        | (F.coalesce("_loose", F.lit(0)) > max_loose)
-    )
-    kept = units.join(safety.where(~whole).select(root), root)
+    whole = F.col("_folders") == 0
+    over = (F.col("_units") > max_units) | (F.coalesce("_loose", F.lit(0)) > max_loose)
+    kept = units.join(safety.where(~whole).select(root, over.alias("over_limit")), root)
     wholes = safety.where(whole).select(
         root, F.lit("").alias("unit"), F.lit("whole").alias("role"),
-        F.col("_files").alias("file_count"), F.col("_bytes").alias("size_bytes"))
-    return kept.select(root, "unit", "role", "file_count", "size_bytes").unionByName(wholes)
+        F.col("_files").alias("file_count"), F.col("_bytes").alias("size_bytes"), over.alias("over_limit"))
+    return kept.select(root, "unit", "role", "file_count", "size_bytes", "over_limit").unionByName(wholes)
 
 
 def unit_outcome(error, source_exists, source_files, partitions_selected=None, copied_ok=None) -> Column:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, shards: int = 64,
           rank: str | None = None) -> DataFrame:
@@ -90,14 +92,21 @@ def carry_forward(df: DataFrame, keys: list[str], index: str, values: dict[str,
 def number_rows(df: DataFrame, bins: list[Column], order: list[Column], out: str, start: int = 0) -> DataFrame:
     """Global row numbers without a global sort.
 
-    ``bins`` cut the rows step by step along ``order`` (each ascending within the one before), the last
+    The first bins are dealt out by ranges, and only the ranges' sizes are added up in one task. ``bins`` cut the rows step by step along ``order`` (each ascending within the one before), the last
     ones into pieces that fit a task. Only the sizes of bins are added up, siblings together.
     """
     names = [f"_bin{i}" for i in range(len(bins))]
     df = df.withColumns(dict(zip(names, bins)))
     sizes = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes
-    for depth in range(len(names)):
+    first = sizes.groupBy(names[0]).agg(F.sum("_n").alias("_n")).repartitionByRange(names[0])
+    first = materialize(first.withColumn("_range", F.spark_partition_id()), "ranges")  # one dealing for both sums
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    starts = first.groupBy("_range").agg(F.sum("_n").alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_range").orderBy(names[0]).rowsBetween(Window.unboundedPreceding, -1)
+    level = first.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(starts, "_range")
+    offsets = sizes.join(level.select(names[0], (F.col("_start") + F.col("_in")).alias("_o0")), names[:1])
+    for depth in range(1, len(names)):
         level = sizes.groupBy(*names[:depth + 1]).agg(F.sum("_n").alias("_n"))
         before = Window.partitionBy(*names[:depth]).orderBy(names[depth]).rowsBetween(Window.unboundedPreceding, -1)
         level = level.select(*names[:depth + 1], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(f"_o{depth}"))

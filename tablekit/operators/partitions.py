@@ -196,11 +196,6 @@ def select_partitions(partitions: DataFrame, expression: str | None, keys=TABLE_
     return partitions.join(chosen.select(*keys, "spec").distinct(), [*keys, "spec"], "left_semi")
 
 
-def filter_is_active(selected_count: Column, total_count: Column) -> Column:
-    """A filter counts as active only when it leaves something out."""
-    return selected_count < total_count
-
-
 def typed_values(partitions: DataFrame, kinds: dict[str, T.DataType]) -> DataFrame:
     """The specs' values as columns of these types; the default partition's value is NULL.
 

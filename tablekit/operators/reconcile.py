@@ -154,16 +154,6 @@ def presence_verdict(path_exists, metadata_exists, file_count) -> Column:
     )
 
 
-def presence_message(dest_path, path_exists, metadata_exists, file_count) -> Column:
-    path = col(dest_path)
-    return (
-        F.when(~col(path_exists), F.concat(F.lit("Destination path does not exist: "), path))
-        .when(~F.coalesce(col(metadata_exists), F.lit(False)),
-              F.concat(F.lit("No metadata directory under "), path))
-        .when(F.coalesce(col(file_count), F.lit(0)) == 0, F.concat(F.lit("No files under "), path))
-    )
-
-
 def validation_summary(checked: DataFrame, partition_schema: str | None = None) -> DataFrame:
     """Counts of passed, failed and mismatching tables; unknown (NULL) checks count as neither."""
     rows, partitions, schema = F.col("row_count_match"), F.col("partition_count_match"), F.col("schema_match")

@@ -88,7 +88,9 @@ def compare_schemas(source: DataFrame, dest: DataFrame, keys=TABLE_KEYS, **optio
         F.col("_d").isNull().alias("schema_match"),
         F.size(lines).alias("difference_count"),
         F.array_join(lines, "; ").alias("differences"),
-        F.array_join(F.slice(lines, 1, 3), "; ").alias("first_differences"),
+        F.concat(F.array_join(F.slice(lines, 1, 3), "; "),
+                 F.when(F.size(lines) > 3, F.concat(F.lit(" (+"), (F.size(lines) - 3).cast("string"), F.lit(" more)")))
+                 .otherwise(F.lit(""))).alias("first_differences"),
     )
 
 
@@ -97,14 +99,3 @@ def compare_partition_columns(source: DataFrame, dest: DataFrame, keys=TABLE_KEY
     only = F.col("is_partition")
     return compare_schemas(source.where(only), dest.where(only), keys, noun="partition column",
                            pass_empty_source=True)
-
-
-def data_columns(catalog: DataFrame) -> DataFrame:
-    return catalog.where(~F.coalesce(F.col("is_partition"), F.lit(False)))
-
-
-def ddl_column(name: Column | str, type_text: Column | str) -> Column:
-    """Back-quoted column definition for a CREATE TABLE statement."""
-    quoted = F.replace(F.col(name) if isinstance(name, str) else name, F.lit("`"), F.lit("``"))
-    text = F.col(type_text) if isinstance(type_text, str) else type_text
-    return F.concat(F.lit("`"), quoted, F.lit("` "), text)

@@ -240,7 +240,3 @@ def unmatched_tokens(tokens: DataFrame, catalog: DataFrame) -> DataFrame:
     """Tokens that name no table, to be reported."""
     hits = match_tokens(tokens, catalog).select("db", "token").distinct()
     return tokens.select("db", "token").distinct().join(hits, ["db", "token"], "left_anti")
-
-
-def cells_to_tokens(df: DataFrame, cell: str, out: str = "token") -> DataFrame:
-    return df.withColumn(out, F.explode(list_cell(cell)))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import copying, governing, moving, scanning, tracking
+from . import copying, deciding, governing, moving, scanning, tracking
 
-MODULES = (moving, copying, tracking, governing, scanning)
+MODULES = (moving, copying, tracking, governing, scanning, deciding)
 
 
 def all_queries() -> dict:

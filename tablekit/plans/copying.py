@@ -153,9 +153,20 @@ def _packed(spark: SparkSession, d: str) -> DataFrame:
     return copyplan.pack_batches(costed, cap=ceiling / 10, max_tables=25)
 
 
-@query()
+# First-fit-decreasing stated step by step: the open batches' room and free places of a database are two lists.
+@query(f"""{VOLUMES.replace("WITH", "WITH RECURSIVE", 1)},
+o AS (SELECT db, tbl, cost, row_number() OVER (PARTITION BY db ORDER BY cost DESC, tbl) AS i FROM c),
+k AS (SELECT {metrics.BATCH_BUDGET_FRACTION} * 28800 / {metrics.BUDGET_SLACK} / 10 AS cap),
+r AS (SELECT DISTINCT db, 0::BIGINT AS i, []::DOUBLE[] AS room, []::BIGINT[] AS free, 0::BIGINT AS bin FROM c
+  UNION ALL SELECT db, i + 1, CASE WHEN j IS NULL THEN list_append(room, cap - cost) ELSE list_transform(room, lambda x, n: CASE WHEN n = j THEN x - cost ELSE x END) END,
+    CASE WHEN j IS NULL THEN list_append(free, 24) ELSE list_transform(free, lambda x, n: CASE WHEN n = j THEN x - 1 ELSE x END) END, coalesce(j - 1, len(room))
+  FROM (SELECT r.*, o.cost, k.cap, list_filter(range(1, len(r.room) + 1), lambda n: r.room[n] >= o.cost AND r.free[n] > 0)[1] AS j
+        FROM r JOIN o ON o.db = r.db AND o.i = r.i + 1, k)),
+p AS (SELECT o.db, o.tbl, o.cost, r.bin FROM o JOIN r ON r.db = o.db AND r.i = o.i)
+SELECT db||'/0/'||bin AS batch, db, tbl, round(cost, 3) AS cost, round(sum(cost) OVER (PARTITION BY db, bin), 3) AS batch_cost,
+  count(*) OVER (PARTITION BY db, bin)::BIGINT AS batch_tables FROM p""")
 def pack_batches(spark, d):
-    return _packed(spark, d).select("batch_rank", "batch", "db", "tbl", F.round("cost", 3).alias("cost"),
+    return _packed(spark, d).select("batch", "db", "tbl", F.round("cost", 3).alias("cost"),
                                     F.round("batch_cost", 3).alias("batch_cost"), "batch_tables")
 
 
@@ -192,9 +203,9 @@ u AS (SELECT root, CASE WHEN len(s) = 1 THEN '' WHEN len(s) = 2 THEN s[1] ELSE s
 a AS (SELECT root, unit, role, count(*) AS file_count, sum(n) AS size_bytes FROM u GROUP BY ALL),
 b AS (SELECT root, unit, CASE WHEN role = 'loose_files' AND unit <> '' AND NOT EXISTS (SELECT 1 FROM a x WHERE x.root = a.root AND starts_with(x.unit, a.unit||'/')) THEN 'subfolder' ELSE role END AS role,
   file_count, size_bytes FROM a),
-s AS (SELECT root, count(*) FILTER (role <> 'loose_files') = 0 OR count(*) > 8 OR coalesce(max(file_count) FILTER (role = 'loose_files'), 0) > 6 AS whole FROM b GROUP BY 1)
-SELECT root, unit, role, file_count::BIGINT AS file_count, size_bytes::BIGINT AS size_bytes FROM b JOIN s USING (root) WHERE NOT whole
-UNION ALL SELECT root, '', 'whole', sum(file_count)::BIGINT, sum(size_bytes)::BIGINT FROM b JOIN s USING (root) WHERE whole GROUP BY 1""")
+s AS (SELECT root, count(*) FILTER (role <> 'loose_files') = 0 AS whole, count(*) > 8 OR coalesce(max(file_count) FILTER (role = 'loose_files'), 0) > 6 AS over_limit FROM b GROUP BY 1)
+SELECT root, unit, role, file_count::BIGINT AS file_count, size_bytes::BIGINT AS size_bytes, over_limit FROM b JOIN s USING (root) WHERE NOT whole
+UNION ALL SELECT root, '', 'whole', sum(file_count)::BIGINT, sum(size_bytes)::BIGINT, any_value(over_limit) FROM b JOIN s USING (root) WHERE whole GROUP BY 1""")
 def folder_split(spark, d):
     urls = page_urls(spark, d)
     files = urls.select(F.col("host").alias("root"), F.regexp_extract("clean", "^[a-z]+://[^/]*/(.*)$", 1).alias("rel_path"),

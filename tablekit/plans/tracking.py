@@ -324,7 +324,7 @@ def presence(spark, d):
     named = rows.select("o_orderkey", "o_orderstatus", "year", "month")
     lifecycle.write_partitioned(named, root, ["o_orderstatus", "year", "month"])
     marks = named.select("o_orderstatus", F.lit("metadata").alias("value")).distinct()
-    marks.coalesce(1).write.partitionBy("o_orderstatus").mode("append").text(root + "_meta")
+    marks.write.partitionBy("o_orderstatus").mode("append").text(root + "_meta")
     found = files.file_inventory(spark, root)
     tables = files.partition_files(found).withColumn("tbl", F.regexp_extract("spec", "^o_orderstatus=([^/]*)", 1))
     totals = tables.groupBy("tbl").agg(F.count(F.lit(1)).alias("file_count"), F.count_distinct("spec").alias("partitions"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def get_spark(app_name: str = "tablekit", cores: int | str = "*") -> SparkSession:
@@ -50,12 +51,23 @@ def shared_dir(spark: SparkSession) -> str:
     app = _setting(spark, "spark.app.id") or "local"
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="tablekit-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)  # made here, so removed here
     return _local_dirs[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{shared_dir(spark)}/tablekit/{label}-{uuid.uuid4().hex}"
+    """A new, unused path under the shared folder, among the stages of this application."""
+    return f"{_stages(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _stages(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tablekit/{_setting(spark, 'spark.app.id') or 'local'}"
+
+
+def clear_stages(spark: SparkSession) -> bool:
+    """Delete the stages this application has written; call it when no frame made from them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_stages(spark))
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -64,14 +76,3 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only when the frame really has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame is
-    returned as it is and the join shuffles instead.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

@@ -29,12 +29,12 @@ def test_first_fit_matches_brute_force(seed):
     assert list(copyplan.first_fit(np.array(costs, float), 30, 7)) == brute_first_fit(costs, 30, 7)
 
 
-@pytest.mark.parametrize("shard", [20_000, 40])
-def test_packing_keeps_every_table(spark, shard):
+@pytest.mark.parametrize("shards", [1, 4])
+def test_packing_keeps_every_table(spark, shards):
     rng = random.Random(3)
     data = [(f"db{i % 3}" if i % 4 else "hot", f"t{i}", float(rng.choice([0, 10, 50, 99, 400]))) for i in range(300)]
     tables = spark.createDataFrame(data, "db string, tbl string, cost double")
-    got = copyplan.pack_batches(tables, cap=120, max_tables=5, shard_tables=shard).collect()
+    got = copyplan.pack_batches(tables, cap=120, max_tables=5, shards=shards).collect()
     assert sorted((r["db"], r["tbl"]) for r in got) == sorted((d, t) for d, t, _ in data)
     batches = {}
     for r in got:
@@ -63,12 +63,13 @@ def test_split_folders(spark):
         [("r1", p, 1) for p in ("a/x", "a/y/z", "b/x", "top")] + [("r2", "only", 1)] + [("r3", f"f{i}", 1) for i in range(3)]
         + [("r3", "d/x", 1)], "root string, rel_path string, length long")
     got = rows(copyplan.split_folders(files, depth=1, max_loose=2))
-    assert got == [("r1", "", "loose_files", 1, 1), ("r1", "a", "subfolder", 2, 2), ("r1", "b", "subfolder", 1, 1),
-                   ("r2", "", "whole", 1, 1), ("r3", "", "whole", 4, 4)]
-    deep = rows(copyplan.split_folders(files.where("root = 'r1'"), depth=2))
+    assert got == [("r1", "", "loose_files", 1, 1, False), ("r1", "a", "subfolder", 2, 2, False), ("r1", "b", "subfolder", 1, 1, False),
+                   ("r2", "", "whole", 1, 1, False), ("r3", "", "loose_files", 3, 3, True), ("r3", "d", "subfolder", 1, 1, True)]
+    deep = rows(copyplan.split_folders(files.where("root = 'r1'"), depth=2).drop("over_limit"))
     assert deep == [("r1", "", "loose_files", 1, 1), ("r1", "a", "loose_files", 1, 1), ("r1", "a/y", "subfolder", 1, 1),
                     ("r1", "b", "subfolder", 1, 1)]
-    assert rows(copyplan.split_folders(files.where("root = 'r1'"), max_units=2)) == [("r1", "", "whole", 4, 4)]
+    over = copyplan.split_folders(files.where("root = 'r1'"), max_units=2)
+    assert over.count() == 3 and over.where("over_limit").count() == 3
 
 
 def test_resume(spark):
