@@ -50,7 +50,7 @@ PERMANENT_MARKERS = (
 REASON_LABELS = {
     "TABLE_NOT_FOUND": "Table not found in metastore",
     "DATABASE_NOT_FOUND": "Database not found in metastore",
-    "NO_TABLES_MATCHED_PATTERN": "No tables matched the sheet's pattern",
+    "NO_TABLES_MATCHED_PATTERN": "No tables matched the pattern of the sheet",
     "SOURCE_IS_VIEW": "Source object is a view, not a table",
     "ALREADY_ICEBERG": "Table is already Iceberg",
     "SOURCE_NOT_V1_TABLE": "Source is not a Hive V1 table",
