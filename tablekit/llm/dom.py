@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _HIDDEN = frozenset("head script style noscript template iframe object svg canvas math audio video".split())
@@ -24,6 +24,7 @@ _ALWAYS = frozenset("nav navbar navigation menu sidebar breadcrumb breadcrumbs a
                     "skip hidden alert complementary contentinfo".split())
 _OUTSIDE = frozenset("header masthead footer top bottom legal copyright tags meta".split())
 _TOKENS = re.compile(r"[a-z]+")
+_NO_WORDS: frozenset[str] = frozenset()
 #: Elements nested deeper than this are children of the element at this depth.
 _DEEPEST = 150
 
@@ -31,30 +32,42 @@ _DEEPEST = 150
 class Node:
     """An element: its parts in order are texts and nodes."""
 
-    __slots__ = ("tag", "label", "words", "parts", "hidden", "index", "shape", "size")
+    __slots__ = ("tag", "label", "words", "parts", "children", "hidden", "index", "shape", "size")
 
     def __init__(self, tag: str, attrs: dict[str, str | None]):
         self.tag = tag
-        kind = attrs.get("class") or ""
-        self.label = f"{tag}.{kind}"
-        self.words = frozenset(_TOKENS.findall(f"{kind} {attrs.get('id') or ''} {attrs.get('role') or ''}".lower()))
-        self.hidden = tag in _HIDDEN or "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true" or (
-            "display:none" in (attrs.get("style") or "").replace(" ", "").lower())
+        self.label, self.words, self.hidden = tag, _NO_WORDS, tag in _HIDDEN
+        if attrs:
+            kind = attrs.get("class") or ""
+            self.label = f"{tag}.{kind}"
+            self.words = frozenset(_TOKENS.findall(f"{kind} {attrs.get('id') or ''} {attrs.get('role') or ''}".lower()))
+            self.hidden = self.hidden or "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true" or (
+                "display:none" in (attrs.get("style") or "").replace(" ", "").lower())
         self.parts: list[str | Node] = []
+        self.children: list[Node] = []
         self.index, self.shape, self.size = 0, 0, 1
 
-    @property
-    def children(self) -> list[Node]:
-        return [x for x in self.parts if isinstance(x, Node)]
-
     def text(self) -> str:
         """The element's own text, without that of its children."""
         return " ".join(" ".join([x for x in self.parts if isinstance(x, str)]).split())
 
 
-class _Builder(HTMLParser):
+#: Comments and declarations, or a tag: slash, name, attributes; quotes in tags need not be balanced.
+_MARK = re.compile(r"""<!--(?:.*?-->|.*)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>""",
+                   re.S)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+_RAW_ENDS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("script", "style")}
+
+
+def _attributes(text: str) -> dict[str, str | None]:
+    found: dict[str, str | None] = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), unescape(double or single or bare))
+    return found
+
+
+class _Builder:
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.root = Node("#root", {})
         self.open = [self.root]
 
@@ -66,33 +79,55 @@ class _Builder(HTMLParser):
             if self.open[i].tag in fences:
                 return
 
+    def feed(self, html: str) -> None:
+        at = 0
+        while mark := _MARK.search(html, at):
+            if mark.start() > at:
+                self.handle_data(html[at:mark.start()])
+            at = mark.end()
+            slash, tag, attrs = mark.group(1, 2, 3) if mark[2] else mark.group(4, 5, 6)
+            if not tag:
+                continue
+            tag = tag.lower()
+            if slash:
+                self.handle_endtag(tag)
+                continue
+            self.handle_starttag(tag, attrs)
+            if tag in _RAW_ENDS:
+                end = _RAW_ENDS[tag].search(html, at)
+                at = end.end() if end else len(html)
+                self.handle_endtag(tag)
+        if at < len(html):
+            self.handle_data(html[at:])
+
+    def _add(self, tag: str, attrs: str) -> Node:
+        node = Node(tag, _attributes(attrs) if attrs and not attrs.isspace() else {})
+        self.open[-1].parts.append(node)
+        self.open[-1].children.append(node)
+        return node
+
     def handle_starttag(self, tag, attrs):
         if tag in _BLOCK:
             self._close({"p"}, {"td", "th", "button", "table", "article", "section", "div", "body"})
         if tag in _CLOSES:
             self._close(*_CLOSES[tag])
-        node = Node(tag, dict(attrs))
-        self.open[-1].parts.append(node)
-        if tag not in _VOID and len(self.open) < _DEEPEST:
+        node = self._add(tag, attrs)
+        if tag not in _VOID and not attrs.endswith("/") and len(self.open) < _DEEPEST:
             self.open.append(node)
 
-    def handle_startendtag(self, tag, attrs):
-        self.open[-1].parts.append(Node(tag, dict(attrs)))
-
     def handle_endtag(self, tag):
         if tag == "p" or tag not in _VOID:
             fences = {"td", "th", "table", "body"} if tag not in _BLOCK else {"body"} if tag not in ("body", "html") else set()
             self._close({tag}, fences)
 
     def handle_data(self, data):
-        self.open[-1].parts.append(data)
+        self.open[-1].parts.append(unescape(data) if "&" in data else data)
 
 
 def parse(html: str) -> Node:
     """The tree of a page; anything can be parsed."""
     builder = _Builder()
     builder.feed(html)
-    builder.close()
     order = list(walk(builder.root))
     for i, node in enumerate(order):
         node.index = i
@@ -178,8 +213,11 @@ def furniture(node: Node, inside: bool) -> bool:
     return bool(node.words & _ALWAYS) or (not inside and bool(node.words & _OUTSIDE))
 
 
-def blocks(root: Node, dropped: frozenset[int] | set[int]) -> list[str]:
-    """Texts of the blocks under ``root`` in page order, without furniture and the own text of nodes in ``dropped``."""
+def blocks(root: Node, dropped: frozenset[int] | set[int], first: bool = False) -> list[str]:
+    """Texts of the blocks under ``root`` in page order, without furniture and the own text of nodes in ``dropped``.
+
+    With ``first``, only the first of them.
+    """
     found: list[str] = []
     now: list[str] = []
 
@@ -196,6 +234,8 @@ def blocks(root: Node, dropped: frozenset[int] | set[int]) -> list[str]:
             now.append(part)
         elif not opening:
             flush()
+            if first and found:
+                return found
         elif part is root or not furniture(part, True):
             if part.tag in _BLOCK:
                 flush()
@@ -224,8 +264,10 @@ def container(root: Node) -> Node:
             stack.extend(reversed(node.children))
     for wanted in (lambda n: n.tag == "article", lambda n: n.tag == "main" or "main" in n.words and n.tag != "body"):
         held = [n for n in reached if wanted(n)]
-        if held and _length(best := max(held, key=_length)):
-            return best
+        if len(held) > 1:
+            held = [max(held, key=_length)]
+        if held and blocks(held[0], frozenset(), first=True):
+            return held[0]
     now = next((n for n in reached if n.tag == "body"), root)
     total = _length(now)
     while True:

@@ -26,14 +26,21 @@ def _reference(html: str) -> dom.Node:
     return dom.parse(html)
 
 
+@lru_cache(maxsize=64)
+def _reference_texts(html: str) -> dict[int, str]:
+    """Own texts of the reference's nodes that have one."""
+    return {n.index: t for n in dom.walk(_reference(html)) if (t := n.text())}
+
+
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (host, node, same, pages): how many pages had the reference's node, and how many its text; per batch."""
     for batch in batches:
         same: Counter = Counter()
         pages: Counter = Counter()
         for name, html, model in zip(*[batch.column(c).to_pylist() for c in ("host", "html", "model")], strict=True):
+            texts = _reference_texts(model or "")
             for ours, theirs in dom.match(dom.parse(html or ""), _reference(model or "")):
-                text = theirs.text()
+                text = texts.get(theirs.index)
                 if text:
                     pages[name, theirs.index] += 1
                     same[name, theirs.index] += ours.text() == text
