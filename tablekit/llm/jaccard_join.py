@@ -8,6 +8,7 @@ different components: a pair inside a component can add nothing.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tablekit.llm.common import keyed, text_bytes
 from tablekit.llm.components import components
+from tablekit.llm.filters import filter_of, held, read_filter, repeated
 from tablekit.session import materialize
 
 #: Slots of the table of n-gram counts (a power of two). Its size is fixed; n-grams that share a slot share its count,
@@ -53,14 +55,19 @@ def _slots(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(40)).astype(np.int64) & (SLOTS - 1)
 
 
-def _parts(hashes: np.ndarray) -> int:
-    """Sizes of eight parts of a set by hash, each at most 255, packed into one long."""
-    sizes = np.minimum(np.bincount((hashes & np.uint64(7)).astype(np.int64), minlength=8), 255).astype(np.uint8)
-    return int(sizes.view("<i8")[0])
+#: Parts into which the suffix filter cuts a set by hash; each keeps its size, up to 255.
+PARTS = 64
+#: The sizes, eight to a column.
+_PACKED = [f"p{i}" for i in range(PARTS // 8)]
+
+
+def _parts(hashes: np.ndarray) -> np.ndarray:
+    sizes = np.bincount((hashes & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS)
+    return np.minimum(sizes, 255).astype(np.uint8).view("<i8")
 
 
 def _profile(k: int):
-    """Rows (id, n, s1, s2, parts) of documents and, at the end of a partition, its n-gram counts (chunk, counts)."""
+    """Rows (id, n, s1, s2, p0...) of documents and, at the end of a partition, its n-gram counts (chunk, counts)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.int32)
         kind = None
@@ -75,15 +82,15 @@ def _profile(k: int):
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(n, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
-                 pa.array(parts, pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
-                names=["id", "n", "s1", "s2", "parts", "chunk", "counts"])
+                 *[pa.array(x) for x in np.array(parts, np.int64).reshape(rows, len(_PACKED)).T], pa.nulls(rows, pa.int32()),
+                 pa.nulls(rows, pa.binary())], names=["id", "n", "s1", "s2", *_PACKED, "chunk", "counts"])
         if kind is not None:
             chunks = [(i // _CHUNK, counts[i:i + _CHUNK]) for i in range(0, SLOTS, _CHUNK)]
-            full = [(i, c.tobytes()) for i, c in chunks if c.any()]
-            none = [pa.nulls(len(full), t) for t in (kind, *[pa.int64()] * 4)]
+            full = [(i, zlib.compress(c.tobytes(), 1)) for i, c in chunks if c.any()]
+            none = [pa.nulls(len(full), t) for t in (kind, *[pa.int64()] * (3 + len(_PACKED)))]
             yield pa.RecordBatch.from_arrays(
                 [*none, pa.array([i for i, _ in full], pa.int32()), pa.array([c for _, c in full], pa.binary())],
-                names=["id", "n", "s1", "s2", "parts", "chunk", "counts"])
+                names=["id", "n", "s1", "s2", *_PACKED, "chunk", "counts"])
     return run
 
 
@@ -92,33 +99,47 @@ def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts, np.int32).astype(np.int64)
+            sums[chunk] = sums.get(chunk, 0) + np.frombuffer(zlib.decompress(counts), np.int32).astype(np.int64)
     # rarer than four times in the corpus is rare; beyond that the logarithm orders
     ranks = {c: np.minimum(8 * np.log2(np.maximum(s, 1)), 255).astype(np.uint8).tobytes() for c, s in sums.items()}
     yield pa.RecordBatch.from_arrays([pa.array(list(ranks), pa.int32()), pa.array(list(ranks.values()), pa.binary())],
                                      names=["chunk", "ranks"])
 
 
-def _prefixes(k: int, threshold: Fraction, shared_ranks):
-    """Rows (gram, id, n, pos) of the n-grams in each document's prefix, rarest first."""
+def _prefix(own: np.ndarray, threshold: Fraction, ranks: np.ndarray) -> np.ndarray:
+    """The n-grams of a set of which a linked set must have one: rarest first, as many as the threshold spares, and one."""
+    length = len(own) - math.ceil(threshold * len(own)) + 1 if len(own) else 0
+    return own[np.lexsort((own, ranks[_slots(own)]))[:length]]
+
+
+def _prefix_grams(k: int, threshold: Fraction, shared_ranks):
+    """Rows (h) of the n-grams of all prefixes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = np.frombuffer(shared_ranks.value, np.uint8)
         for batch in batches:
-            grams, sizes, places, counts = [], [], [], []
-            for text in text_bytes(batch.column("text")):
+            grams = [_prefix(shingle_set(t, k), threshold, ranks) for t in text_bytes(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64))], names=["h"])
+    return run
+
+
+def _active(k: int, threshold: Fraction, shared_ranks, shared_filter):
+    """Rows (id, text, n, grams, places): documents with n-grams in the filter, these, and their places in the prefix."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = np.frombuffer(shared_ranks.value, np.uint8)
+        table = read_filter(shared_filter.value)
+        for batch in batches:
+            rows, sizes, grams, places = [], [], [], []
+            for i, text in enumerate(text_bytes(batch.column("text"))):
                 own = shingle_set(text, k)
-                n = len(own)
-                length = n - math.ceil(threshold * n) + 1 if n else 0
-                order = np.lexsort((own, ranks[_slots(own)]))[:length]
-                grams.append(own[order].view(np.int64))
-                places.append(np.arange(length))
-                sizes.append(n)
-                counts.append(length)
-            rows = np.repeat(np.arange(batch.num_rows), counts)
+                prefix = _prefix(own, threshold, ranks)
+                shared = np.flatnonzero(held(prefix, table))
+                if len(shared):
+                    rows.append(i), sizes.append(len(own)), grams.append(prefix[shared].view(np.int64)), places.append(shared)
+            at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(grams), pa.int64()), batch.column("id").take(pa.array(rows)),
-                 pa.array(np.repeat(sizes, counts), pa.int32()), pa.array(np.concatenate(places), pa.int32())],
-                names=["gram", "id", "n", "pos"])
+                [batch.column("id").take(at), batch.column("text").take(at), pa.array(sizes, pa.int32()),
+                 pa.array(grams, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
+                names=["id", "text", "n", "grams", "places"])
     return run
 
 
@@ -139,11 +160,15 @@ def _may_link(t: Fraction) -> Column:
 
 
 def _suffix_may_link(t: Fraction) -> Column:
-    """Suffix filter: the sets differ at least by the differences in size of their eight parts."""
-    part = lambda c, i: F.shiftrightunsigned(F.col(c), 8 * i).bitwiseAND(F.lit(255))
-    apart = sum((F.abs(part("parts_a", i) - part("parts_b", i)) for i in range(1, 8)),
-                F.abs(part("parts_a", 0) - part("parts_b", 0)))
-    n_a, n_b = F.col("n_a").cast("long"), F.col("n_b").cast("long")
+    """Suffix filter over a pair met in one n-gram: the sets differ at least by the differences in size of their parts."""
+    def size(column: str, i: int) -> Column:
+        return F.shiftrightunsigned(F.col(column), 8 * i).bitwiseAND(F.lit(255))
+
+    apart = F.lit(0)
+    for c in _PACKED:
+        for i in range(8):
+            apart = apart + F.abs(size(c, i) - size(f"other_{c}", i))
+    n_a, n_b = F.col("n").cast("long"), F.col("other_n").cast("long")
     return apart <= n_a + n_b - 2 * _least_common(n_a, n_b, t)
 
 
@@ -181,9 +206,9 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
     own = keyed(docs, id_col, text_col).select("id", "text")
     id_type = own.schema["id"].dataType.simpleString()
     # one pass over the texts: sizes, set hashes and n-gram counts
-    profile = materialize(own.mapInArrow(_profile(k), f"id {id_type}, n bigint, s1 bigint, s2 bigint, parts bigint, "
-                                                      "chunk int, counts binary"), "jaccard-profile")
-    members = profile.where("chunk IS NULL").select("id", "n", "s1", "s2", "parts")
+    profile = materialize(own.mapInArrow(_profile(k), f"id {id_type}, n bigint, s1 bigint, s2 bigint, "
+                                             + ", ".join(f"{c} bigint" for c in _PACKED) + ", chunk int, counts binary"), "jaccard-profile")
+    members = profile.where("chunk IS NULL").select("id", "n", "s1", "s2", *_PACKED)
     ranks = (profile.where("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk")
              .mapInArrow(_add_counts, "chunk int, ranks binary").collect())  # SLOTS bytes, whatever the corpus
     table = np.zeros(SLOTS, np.uint8)
@@ -194,37 +219,52 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
     # equal sets are linked as they are; the first document stands for them
     named = members.where("id IS NOT NULL AND n > 0")
     firsts = named.groupBy("s1", "s2").agg(F.min("id").alias("rep"))
-    standing = materialize(named.join(firsts, ["s1", "s2"]).select("id", "rep", "n", "parts"), "jaccard-standing")
-
-    prefixes = materialize(own.where("id IS NOT NULL").mapInArrow(
-        _prefixes(k, threshold, shared), f"gram bigint, id {id_type}, n int, pos int"), "jaccard-prefixes")
-    common = prefixes.groupBy("gram").count().where("count > 1").select("gram")
-    shares = prefixes.join(common, "gram").join(standing.where("id = rep").select("id"), "id", "left_semi")
-    shares = materialize(shares, "jaccard-shares")  # only documents that stand for their set, only shared n-grams
-
+    standing = materialize(named.join(firsts, ["s1", "s2"]).select("id", "rep", *_PACKED), "jaccard-standing")
+
+    # n-grams found in two prefixes or more, as a filter of fixed size; it picks the documents that can be linked at all
+    named_texts = own.where("id IS NOT NULL")
+    common = repeated(named_texts.select("text").mapInArrow(_prefix_grams(k, threshold, shared), "h bigint"))
+    picked = spark.sparkContext.broadcast(filter_of(common))
+    active = materialize(named_texts.mapInArrow(
+        _active(k, threshold, shared, picked),
+        f"id {id_type}, text string, n int, grams array<bigint>, places array<int>"), "jaccard-active")
+    texts = active.select("id", "text")
+    shares = materialize(
+        active.select("id", "n", F.explode(F.arrays_zip("grams", "places")).alias("g"))
+        .join(standing.where("id = rep").drop("rep"), "id")
+        .select(F.col("g.grams").alias("gram"), "id", "n", F.col("g.places").alias("pos"), *_PACKED), "jaccard-shares")
+
+    row = F.struct("id", "n", "pos", *_PACKED)
     leaders = shares.groupBy("gram").agg(
-        F.array_distinct(F.array(F.min(F.struct("id", "n", "pos")), F.min_by(F.struct("id", "n", "pos"), F.struct("n", "id")),
-                                 F.max_by(F.struct("id", "n", "pos"), F.struct("n", "id")))).alias("leaders"),
-        F.count("*").alias("size")).where("size > 1").select("gram", "leaders")
-    met = (shares.join(leaders, "gram").select("id", "n", "pos", F.explode("leaders").alias("l"))
-           .select("id", "n", "pos", F.col("l.id").alias("other"), F.col("l.n").alias("other_n"), F.col("l.pos").alias("other_pos")))
-    parts = standing.select(F.col("id").alias("part_id"), "parts", F.col("n").alias("part_n"))
-    texts = materialize(own.join(shares.select("id").distinct(), "id", "left_semi"), "jaccard-texts")
-
-    first = materialize(_candidates(met, parts, threshold), "jaccard-pairs")
+        F.array_distinct(F.array(F.min_by(row, "id"), F.min_by(row, F.struct("n", "id")), F.max_by(row, F.struct("n", "id")))).alias("leaders"),
+        F.count("*").alias("size")).where("size > 1").select("gram", F.explode("leaders").alias("l")).select("gram", "l.*")
+    met = shares.join(_other(leaders), "gram")
+
+    first = materialize(_candidates(met, threshold), "jaccard-pairs")
     links = materialize(_verify(first, texts, k, threshold), "jaccard-links")
     grouped = materialize(components(links), "jaccard-groups")
 
-    # n-grams whose documents are in different components still
-    held = shares.join(grouped, F.col("id") == F.col("node"), "left").withColumn("own", F.coalesce("component", "id"))
-    open_grams = held.groupBy("gram").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high")
-    open_shares = materialize(held.join(open_grams.select("gram"), "gram").select("gram", "id", "n", "pos", "own"),
-                              "jaccard-open")
-    other = open_shares.select("gram", F.col("id").alias("other"), F.col("n").alias("other_n"),
-                               F.col("pos").alias("other_pos"), F.col("own").alias("other_own"))
-    across = open_shares.join(other, "gram").where((F.col("own") != F.col("other_own")) & (F.col("id") > F.col("other")))
-    rest = _candidates(across.select("id", "n", "pos", "other", "other_n", "other_pos"), parts, threshold)
-    more = materialize(_verify(rest.join(first, ["a", "b"], "left_anti"), texts, k, threshold), "jaccard-more")
+    tested = first
+    for last in (False, True):
+        # n-grams whose documents are in different components still: other leaders first, then all pairs across
+        placed = shares.join(grouped, F.col("id") == F.col("node"), "left").withColumn("own", F.coalesce("component", "id"))
+        open_grams = placed.groupBy("gram").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high")
+        open_shares = materialize(placed.join(open_grams.select("gram"), "gram").select(*shares.columns, "own"), "jaccard-open")
+        other = open_shares
+        if not last:
+            row = F.struct(*[c for c in open_shares.columns if c != "gram"])
+            ends = F.array(F.min_by(row, F.xxhash64("id")), F.max_by(row, F.xxhash64("id")))
+            other = open_shares.groupBy("gram").agg(ends.alias("l")).select("gram", F.explode(F.array_distinct("l")).alias("l")).select("gram", "l.*")
+        across = open_shares.join(_other(other), "gram").where(F.col("own") != F.col("other_own"))
+        if last:
+            across = across.where(F.col("id") > F.col("other"))
+        rest = _candidates(across, threshold)
+        rest = materialize(rest.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
+        more = materialize(_verify(rest, texts, k, threshold), "jaccard-links")
+        if not last:
+            tested = tested.unionByName(rest)
+            stars = grouped.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
+            grouped = materialize(components(stars.unionByName(more)), "jaccard-groups")
 
     copies = standing.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     every = components(grouped.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
@@ -233,10 +273,12 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
             .select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")))
 
 
-def _candidates(met: DataFrame, parts: DataFrame, t: Fraction) -> DataFrame:
+def _other(shares: DataFrame) -> DataFrame:
+    """The other side of a join by n-gram: all columns but the n-gram under new names."""
+    return shares.select("gram", *[F.col(c).alias("other" if c == "id" else f"other_{c}") for c in shares.columns if c != "gram"])
+
+
+def _candidates(met: DataFrame, t: Fraction) -> DataFrame:
     """Distinct pairs (a, b), a the larger id, that pass all filters."""
-    pairs = (met.where((F.col("id") != F.col("other")) & _may_link(t))
-             .select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct())
-    one = parts.select(F.col("part_id").alias("a"), F.col("parts").alias("parts_a"), F.col("part_n").alias("n_a"))
-    two = parts.select(F.col("part_id").alias("b"), F.col("parts").alias("parts_b"), F.col("part_n").alias("n_b"))
-    return pairs.join(one, "a").join(two, "b").where(_suffix_may_link(t)).select("a", "b")
+    return (met.where((F.col("id") != F.col("other")) & _may_link(t) & _suffix_may_link(t))
+            .select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct())
