@@ -11,57 +11,84 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablekit.llm.common import keyed, repeat_rows, text_bytes
-from tablekit.llm.windows import Hasher, covered, places
+from tablekit.llm.filters import filter_of, held, read_filter, repeated
+from tablekit.llm.windows import Hasher, Rows, as_check, as_long, covered, distinct, place_hash, place_hashes, places, runs_of
 from tablekit.session import materialize
 
 
-def _words(text: bytes) -> list[bytes]:
-    return text.split()  # bytes: ASCII white space only
-
-
-def _values(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+class _Levels:
+    """The windows of one text, and which of them survive the levels decided so far.
 
+    The first level looks at the run of a quarter of the window that stands for it (``places``), the second at that run
+    extended to twice the length inside the window, to the right if there is room, else to the left.
+    """
 
-def _chosen(hashed: Hasher, length: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of ``length`` values, and for each start of a window the run that stands for it."""
-    runs = hashed.windows(length)
-    return runs, places(runs, window - length + 1)
+    def __init__(self, text: bytes, window: int, filters: list[np.ndarray]):
+        words = text.split()  # bytes: ASCII white space only
+        values = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        self.hashed, self.check = Hasher(values), lambda: Hasher(values, 1)
+        length = window // 4
+        self.runs = self.hashed.windows(length)
+        self.stand = places(self.runs, window - length + 1)
+        room = self.stand - np.arange(len(self.stand)) <= window - 2 * length
+        starts = (self.stand, np.where(room, self.stand, self.stand - length))
+        self.kept = np.ones(len(self.stand), bool)
+        self.next = np.zeros(0, np.uint64)  # hashes of the level that is not decided yet
+        for level, at in enumerate(starts):
+            hashes = self.runs if not level else self.hashed.windows(2 * length)
+            if level == len(filters):
+                self.next = hashes[distinct(at[self.kept])]
+                break
+            self.kept &= held(hashes[at], filters[level])
+
+
+def _candidates(window: int, filters):
+    """Rows (h) of the first level that has no filter yet."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [read_filter(f.value) for f in filters]
+        for batch in batches:
+            found = [_Levels(t, window, tables).next for t in text_bytes(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array(as_long(np.concatenate(found)))], names=["h"])
+    return run
 
 
-def _short_runs(length: int, window: int, positions: bool):
-    """Rows (h[, id, at]) of the runs that stand for windows."""
+def _spans(window: int, filters):
+    """Rows (h, check, run, id, at, n): neighbouring surviving windows with one run that stands for them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [read_filter(f.value) for f in filters]
         for batch in batches:
-            hashes, at, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
+            rows = Rows(np.int64, np.int32, np.int64, np.int64, np.int32)
             for text in text_bytes(batch.column("text")):
-                runs, stand = _chosen(Hasher(_values(_words(text))), length, window)
-                own = np.unique(stand)
-                hashes.append(runs[own]), at.append(own), counts.append(len(own))
-            found = [pa.array(np.concatenate(hashes).view(np.int64))]
-            if positions:
-                found += [repeat_rows(batch.column("id"), np.array(counts, int)), pa.array(np.concatenate(at))]
-            yield pa.RecordBatch.from_arrays(found, names=["h", "id", "at"][: len(found)])
+                found = _Levels(text, window, tables)
+                first, n = runs_of(found.stand, found.kept)
+                if len(first):
+                    stop = first + n - 1 + window
+                    rows.add(as_long(found.hashed.spans(first, stop)), as_check(found.check().spans(first, stop)),
+                             as_long(found.runs[found.stand[first]]), first, n)
+                rows.close_document()
+            h, check, runs, at, n = rows.arrays()
+            yield pa.RecordBatch.from_arrays([h, check, runs, repeat_rows(batch.column("id"), np.array(rows.counts, int)), at, n],
+                                             names=["h", "check", "run", "id", "at", "n"])
     return run
 
 
-def _long_runs(length: int, window: int):
-    """Rows (h, check, id, at) of the windows for which a run in ``alive`` stands; ``check`` widens the hash."""
+def _windows(window: int, filters, wanted):
+    """Rows (h, check, id, at) of the windows of the spans that start at ``wanted`` places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, places_wanted = [read_filter(f.value) for f in filters], read_filter(wanted.value)
         for batch in batches:
-            hashes, checks, at, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
-            for text, alive in zip(text_bytes(batch.column("text")), batch.column("alive"), strict=True):
-                values = _values(_words(text))
-                one, two = Hasher(values), Hasher(values, 1)
-                _, stand = _chosen(one, length, window)
-                own = np.flatnonzero(np.isin(stand, np.asarray(alive.values)))
-                hashes.append(one.windows(window)[own]), checks.append(two.windows(window)[own])
-                at.append(own), counts.append(len(own))
-            check = (np.concatenate(checks) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(check),
-                 repeat_rows(batch.column("id"), np.array(counts, int)), pa.array(np.concatenate(at))],
-                names=["h", "check", "id", "at"])
+            rows = Rows(np.int64, np.int32, np.int64)
+            for text, key in zip(text_bytes(batch.column("text")), batch.column("key").to_pylist(), strict=True):
+                found = _Levels(text, window, tables)
+                first, n = runs_of(found.stand, found.kept)
+                own = held(place_hash(key, first), places_wanted)
+                if own.any():
+                    at = np.flatnonzero(covered(first[own], first[own] + n[own], len(found.stand)))
+                    rows.add(as_long(found.hashed.windows(window)[at]), as_check(found.check().windows(window)[at]), at)
+                rows.close_document()
+            h, check, at = rows.arrays()
+            yield pa.RecordBatch.from_arrays([h, check, repeat_rows(batch.column("id"), np.array(rows.counts, int)), at],
+                                             names=["h", "check", "id", "at"])
     return run
 
 
@@ -69,13 +96,13 @@ def _remove(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, gone, kept = [], [], []
-            for text, starts in zip(text_bytes(batch.column("text")), batch.column("starts"), strict=True):
-                words = _words(text)
+            for text, starts, sizes in zip(text_bytes(batch.column("text")), batch.column("starts"), batch.column("sizes"),
+                                           strict=True):
+                words = text.split()
                 total.append(len(words))
                 if starts.is_valid:
-                    at = np.asarray(starts.values)
-                    at = at[at <= len(words) - window]
-                    out = covered(at, at + window, len(words))
+                    at = np.minimum(np.asarray(starts.values), len(words))
+                    out = covered(at, np.minimum(at + np.asarray(sizes.values) - 1 + window, len(words)), len(words))
                     words = [w for w, o in zip(words, out, strict=True) if not o]
                 gone.append(total[-1] - len(words))
                 kept.append(b" ".join(words).decode())
@@ -89,28 +116,36 @@ def dedup_substrings(docs: DataFrame, window: int = 20, id_col: str = "doc_id",
 
     Earlier is a smaller id, or an earlier start in the same document; rows without id come last and, like rows with
     the same id, are one document: a start found repeated counts in each of them. Kept words are joined by one space.
-    A null text has no words. Windows are judged on the input.
+    A null text has no words. Windows are judged on the input. ``window`` is a multiple of four.
 
-    Two levels: of the runs of half a window's length, those that stand for windows (``places``) are counted; only
-    where such a run is repeated can the window around it be, so only those windows are extended to full length and
-    looked up by a 96-bit hash. There the doubling ends, because the result needs no longer ones.
+    Runs of a quarter and of half the window are counted in turn over all documents; a filter of fixed size keeps those
+    repeated, and the next level looks only at windows that pass all before. Neighbouring windows left with the same
+    run make a span. A span that occurs before settles all its windows; only the first of different spans around the
+    same run are compared window by window. There the doubling ends, because the result needs no longer matches.
     """
-    half = window // 2
+    spark = docs.sparkSession
     own = keyed(docs, id_col, text_col).select("id", "text")
     id_type = own.schema["id"].dataType.simpleString()
-    short = own.select("text").mapInArrow(_short_runs(half, window, False), "h bigint")
-    repeated = materialize(short.groupBy("h").count().where("count > 1").select("h"), "substring-short")
-    placed = own.mapInArrow(_short_runs(half, window, True), f"h bigint, id {id_type}, at bigint")
-    alive = materialize(placed.join(repeated, "h").groupBy("id").agg(F.collect_set("at").alias("alive")),
-                        "substring-alive")
-    extended = materialize(
-        own.join(alive.withColumnRenamed("id", "own"), F.col("id").eqNullSafe(F.col("own")))
-        .select("id", "text", "alive").mapInArrow(_long_runs(half, window),
-                                                  f"h bigint, check int, id {id_type}, at bigint"), "substring-long")
+    filters: list = []
+    for _ in range(2):
+        level = repeated(own.select("text").mapInArrow(_candidates(window, list(filters)), "h bigint"))
+        filters.append(spark.sparkContext.broadcast(filter_of(level)))
+    spans = materialize(own.mapInArrow(_spans(window, filters), f"h bigint, check int, run bigint, id {id_type}, at bigint, n int"),
+                        "substring-spans")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "at")
-    first = materialize(extended.groupBy("h", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                        .where("first < last").select("h", "check", "first"), "substring-first")
-    later = (extended.join(first, ["h", "check"]).where(place != F.col("first"))
-             .groupBy(F.col("id").alias("own")).agg(F.collect_set("at").alias("starts")))
-    return (own.join(later, F.col("id").eqNullSafe(F.col("own")), "left").select("id", "text", "starts")
+    kinds = materialize(spans.groupBy("run", "h", "check").agg(F.min(place).alias("first"), F.count("*").alias("times")),
+                        "substring-kinds")
+    several = kinds.groupBy("run").count().where("count > 1").select("run")
+    firsts = kinds.join(several, "run", "left_semi").select(F.xxhash64("first.id").alias("key"), "first.at")
+    wanted = spark.sparkContext.broadcast(filter_of(firsts.mapInArrow(place_hashes, "h bigint")))
+    entries = materialize(own.withColumn("key", F.xxhash64("id")).mapInArrow(
+        _windows(window, filters, wanted), f"h bigint, check int, id {id_type}, at bigint"), "substring-windows")
+    seen = materialize(entries.groupBy("h", "check").agg(F.min(place).alias("first"), F.count("*").alias("times"))
+                       .where("times > 1").select("h", "check", "first"), "substring-first")
+    again = kinds.where("times > 1").select("run", "h", "check", "first")
+    later = (spans.join(again, ["run", "h", "check"]).where(place != F.col("first")).select("id", "at", "n")
+             .unionByName(entries.join(seen, ["h", "check"]).where(place != F.col("first")).select("id", "at", F.lit(1).alias("n"))))
+    lists = later.groupBy(F.col("id").alias("own")).agg(F.collect_list(F.struct("at", "n")).alias("s")).select(
+        "own", F.col("s.at").alias("starts"), F.col("s.n").alias("sizes"))
+    return (own.join(lists, F.col("id").eqNullSafe(F.col("own")), "left").select("id", "text", "starts", "sizes")
             .mapInArrow(_remove(window), f"id {id_type}, n_words bigint, n_removed bigint, kept string"))
