@@ -5,10 +5,11 @@ them: equal strings are neighbours in this order as in the alphabetic one. An ar
 folder. Documents come in batches; each batch gets its array, is merge-scanned against the arrays of earlier batches,
 and arrays that stand for equally many batches are merged.
 
-Not every suffix needs an entry. Of the strings inside one ``length`` window a shorter run stands for it (``places``),
-and a window can only be repeated where that run is. Neighbouring windows with the same run form a span; a span that is
-repeated as a whole settles all its windows, so only spans that occur once, and one copy of each that they may partly
-match, are indexed window by window.
+Not every suffix needs an entry. A shorter run stands for each window of ``length`` bytes (``places``), and a window can
+only be repeated where that run is; runs of half, seven eighths and nearly all of the length are counted in turn, and
+filters of fixed size keep the windows that pass. Neighbouring windows with the same run form a span; a span that is
+repeated as a whole settles all its windows, so only one copy of each span beside different ones is indexed window by
+window.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablekit.llm.common import keyed, repeat_rows, text_bytes
-from tablekit.llm.windows import Hasher, covered, mixed, places
+from tablekit.llm.filters import filter_of, held, read_filter, repeated
+from tablekit.llm.windows import (Hasher, Rows, as_check, as_long, covered, distinct, mixed, place_hash, place_hashes, places,
+                                  runs_of)
 from tablekit.session import materialize
 
 _BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -36,74 +39,59 @@ def _pieces(text: bytes, length: int) -> Iterator[tuple[int, np.ndarray]]:
         yield at, _BYTE_VALUES[data[at:at + PIECE + length - 1]]
 
 
-def _stand(values: np.ndarray, length: int) -> tuple[Hasher, np.ndarray, np.ndarray]:
-    hashed = Hasher(values)
-    runs = hashed.windows(length // 2)
-    return hashed, runs, places(runs, length - length // 2 + 1)
+def _run_lengths(length: int) -> tuple[int, int, int]:
+    return length // 2, length * 7 // 8, length * 31 // 32
 
 
-class _Rows:
-    """Columns of output rows gathered over the documents of a batch."""
+class _Levels:
+    """The windows of one stretch, and which of them survive the levels decided so far."""
 
-    def __init__(self, *kinds):
-        self.kinds, self.parts, self.counts = kinds, [[] for _ in kinds], []
+    def __init__(self, values: np.ndarray, length: int, filters: list[np.ndarray]):
+        self.hashed = Hasher(values)
+        self.kept = np.ones(max(len(values) - length + 1, 0), bool)
+        self.next = np.zeros(0, np.uint64)  # hashes of the level that is not decided yet
+        self.runs = self.stand = None  # of the second level
+        for level, size in enumerate(_run_lengths(length)):
+            if not self.kept.any():
+                return
+            runs = self.hashed.windows(size)
+            stand = places(runs, length - size + 1)
+            if level == 1:
+                self.runs, self.stand = runs, stand
+            if level == len(filters):
+                self.next = runs[distinct(stand[self.kept])]
+                return
+            first = np.flatnonzero(np.diff(stand, prepend=-1))
+            self.kept &= np.repeat(held(runs[stand[first]], filters[level]), np.diff(np.append(first, len(stand))))
 
-    def add(self, *columns: np.ndarray) -> None:
-        for part, column in zip(self.parts, columns, strict=True):
-            part.append(column)
 
-    def close_document(self) -> None:
-        total = sum(len(x) for x in self.parts[0])
-        self.counts.append(total - sum(self.counts))
-
-    def arrays(self) -> list[pa.Array]:
-        return [pa.array(np.concatenate([np.zeros(0, k), *p]).astype(k)) for k, p in zip(self.kinds, self.parts, strict=True)]
-
-
-def _as_long(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64)
-
-
-def _as_check(x: np.ndarray) -> np.ndarray:
-    return (x >> np.uint64(32)).astype(np.uint32).view(np.int32)
-
-
-def _short_runs(length: int, positions: bool):
-    """Rows (h[, id, at]) of the runs that stand for windows."""
+def _candidates(length: int, filters):
+    """Rows (h) of the first level that has no filter yet."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [read_filter(f.value) for f in filters]
         for batch in batches:
-            rows = _Rows(np.int64, np.int64)
+            found = [np.zeros(0, np.uint64)]
             for text in text_bytes(batch.column("text")):
-                seen = np.zeros(0, np.int64)
-                for offset, values in _pieces(text, length):
-                    _, runs, stand = _stand(values, length)
-                    own = np.unique(stand)
-                    own = own[~np.isin(own + offset, seen)]  # one that also stands for windows of the piece before
-                    seen = own + offset
-                    rows.add(_as_long(runs[own]), seen)
-                rows.close_document()
-            h, at = rows.arrays()
-            found = [h, repeat_rows(batch.column("id"), np.array(rows.counts, int)), at] if positions else [h]
-            yield pa.RecordBatch.from_arrays(found, names=["h", "id", "at"][: len(found)])
+                found += [_Levels(values, length, tables).next for _, values in _pieces(text, length)]
+            yield pa.RecordBatch.from_arrays([pa.array(as_long(np.concatenate(found)))], names=["h"])
     return run
 
 
-def _spans(length: int):
-    """Rows (h, check, run, id, at, n): neighbouring windows from ``at`` on for which one run in ``alive`` stands."""
+def _spans(length: int, filters):
+    """Rows (h, check, run, id, at, n): neighbouring windows that pass the first two levels, with one run."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [read_filter(f.value) for f in filters[:2]]
         for batch in batches:
-            rows = _Rows(np.int64, np.int32, np.int64, np.int64, np.int64)
-            for text, alive in zip(text_bytes(batch.column("text")), batch.column("alive"), strict=True):
-                known = np.asarray(alive.values)
+            rows = Rows(np.int64, np.int32, np.int64, np.int64, np.int32)
+            for text in text_bytes(batch.column("text")):
                 for offset, values in _pieces(text, length):
-                    hashed, runs, stand = _stand(values, length)
-                    first = np.flatnonzero(np.diff(stand, prepend=-1))
-                    n = np.diff(np.append(first, len(stand)))
-                    held = np.isin(stand[first] + offset, known)
-                    first, n = first[held], n[held]
+                    found = _Levels(values, length, tables)
+                    if not found.kept.any():
+                        continue
+                    first, n = runs_of(found.stand, found.kept)
                     stop = first + n - 1 + length
-                    rows.add(_as_long(hashed.spans(first, stop)), _as_check(Hasher(values, 1).spans(first, stop)),
-                             _as_long(runs[stand[first]]), first + offset, n)
+                    rows.add(as_long(found.hashed.spans(first, stop)), as_check(Hasher(values, 1).spans(first, stop)),
+                             as_long(found.runs[found.stand[first]]), first + offset, n)
                 rows.close_document()
             h, check, runs, at, n = rows.arrays()
             yield pa.RecordBatch.from_arrays([h, check, runs, repeat_rows(batch.column("id"), np.array(rows.counts, int)), at, n],
@@ -111,25 +99,38 @@ def _spans(length: int):
     return run
 
 
-def _suffixes(length: int):
-    """Rows (h, check, id, at) of the windows of the spans (starts, sizes) of a text."""
+def _suffixes(length: int, filters, wanted, matches=None):
+    """Rows (h, check[, id, at]) of windows that pass all levels, in spans that start at ``wanted`` places.
+
+    With ``matches``, only windows that pass this filter too, and with their places.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, places_wanted = [read_filter(f.value) for f in filters], read_filter(wanted.value)
+        match_table = read_filter(matches.value) if matches else None
         for batch in batches:
-            rows = _Rows(np.int64, np.int32, np.int64)
-            for text, starts, sizes in zip(text_bytes(batch.column("text")), batch.column("starts"), batch.column("sizes"),
-                                           strict=True):
-                at = np.asarray(starts.values)
-                stops = at + np.asarray(sizes.values)
+            rows = Rows(np.int64, np.int32, np.int64)
+            for text, key in zip(text_bytes(batch.column("text")), batch.column("key").to_pylist(), strict=True):
                 for offset, values in _pieces(text, length):
-                    here = (at >= offset) & (at < offset + PIECE)
-                    wanted = np.flatnonzero(covered(at[here] - offset, stops[here] - offset, len(values) - length + 1))
-                    if len(wanted):
-                        rows.add(_as_long(Hasher(values).windows(length)[wanted]),
-                                 _as_check(Hasher(values, 1).windows(length)[wanted]), wanted + offset)
+                    spans = _Levels(values, length, tables[:2])
+                    if not spans.kept.any():
+                        continue
+                    first, n = runs_of(spans.stand, spans.kept)
+                    own = held(place_hash(key, first + offset), places_wanted)
+                    if not own.any():
+                        continue
+                    at = covered(first[own], first[own] + n[own], len(spans.stand)) & _Levels(values, length, tables).kept
+                    at = np.flatnonzero(at)
+                    hashes = spans.hashed.windows(length)[at]
+                    if match_table is not None:
+                        hit = held(hashes, match_table)
+                        at, hashes = at[hit], hashes[hit]
+                    if len(at):
+                        rows.add(as_long(hashes), as_check(Hasher(values, 1).windows(length)[at]), at + offset)
                 rows.close_document()
             h, check, at = rows.arrays()
-            yield pa.RecordBatch.from_arrays([h, check, repeat_rows(batch.column("id"), np.array(rows.counts, int)), at],
-                                             names=["h", "check", "id", "at"])
+            found = [h, check, repeat_rows(batch.column("id"), np.array(rows.counts, int)), at]
+            wide = 4 if match_table is not None else 2
+            yield pa.RecordBatch.from_arrays(found[:wide], names=["h", "check", "id", "at"][:wide])
     return run
 
 
@@ -152,23 +153,21 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def repeated_suffixes(entries: DataFrame, batches: int = 4) -> DataFrame:
+def repeated_suffixes(batches: list[DataFrame]) -> DataFrame:
     """(h, check) of the strings with more than one entry, by a logarithmic family of suffix arrays.
 
-    ``entries`` has (h, check, id). A batch is made up of the documents with the same remainder of their id's hash. Its
-    array holds each string once, so strings with very many entries are added up before they meet. A batch is compared
-    with at most log2(batches) arrays, and an entry is rewritten as often.
+    Each batch has one row (h, check) per entry. Its array holds each string once, so strings with very many entries are
+    added up before they meet. A batch is compared with at most log2(batches) arrays, and an entry is rewritten as often.
     """
     levels: list[tuple[int, DataFrame]] = []
     matched: list[DataFrame] = []
-    for b in range(batches):
-        own = entries.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == b)
+    for b, own in enumerate(batches):
         array = materialize(own.groupBy("h", "check").count().sortWithinPartitions("h", "check"), "suffix-array")
         matched.append(array.where("count > 1").select("h", "check"))
         array = array.select("h", "check")
         matched += [array.join(level, ["h", "check"], "left_semi") for _, level in levels]
         size = 1
-        while levels and levels[-1][0] == size:
+        while levels and levels[-1][0] == size and b + 1 < len(batches):
             array = materialize(array.unionByName(levels.pop()[1]).distinct().sortWithinPartitions("h", "check"),
                                 "suffix-array")
             size *= 2
@@ -186,36 +185,36 @@ def dedup_bytes(docs: DataFrame, length: int = 400, batches: int = 4, id_col: st
     All places of a repeated string lose it, the first one too, also if both are in one document; strings never go over
     the end of a document and are judged on the input. ``kept`` is binary, since a cut may split a character; ``n_spans``
     counts maximal removed stretches. A null text is empty. Rows with the same id are different documents that share
-    their cuts, so a repeated row loses what its copy loses.
+    their cuts, so a repeated row loses what its copy loses. Documents are dealt to ``batches`` by a hash of their id.
     """
+    spark = docs.sparkSession
     own = keyed(docs, id_col, text_col).select("id", "text")
     id_type = own.schema["id"].dataType.simpleString()
-    short = own.select("text").mapInArrow(_short_runs(length, False), "h bigint")
-    repeated = materialize(short.groupBy("h").count().where("count > 1").select("h"), "suffix-short")
-    placed = own.mapInArrow(_short_runs(length, True), f"h bigint, id {id_type}, at bigint")
-    alive = materialize(placed.join(repeated, "h").groupBy("id").agg(F.collect_set("at").alias("alive")), "suffix-alive")
-
-    def beside(lists: DataFrame, how: str = "inner") -> DataFrame:
-        """The texts beside the lists of their documents."""
-        lists = lists.withColumnRenamed("id", "own")
-        return own.join(lists, F.col("id").eqNullSafe(F.col("own")), how).drop("own")
-
-    spans = materialize(beside(alive).select("id", "text", "alive").mapInArrow(
-        _spans(length), f"h bigint, check int, run bigint, id {id_type}, at bigint, n bigint"), "suffix-spans")
+    filters: list = []
+    for _ in _run_lengths(length):
+        level = repeated(own.select("text").mapInArrow(_candidates(length, list(filters)), "h bigint"))
+        filters.append(spark.sparkContext.broadcast(filter_of(level)))
+    spans = materialize(own.mapInArrow(_spans(length, filters), f"h bigint, check int, run bigint, id {id_type}, at bigint, n int"),
+                        "suffix-spans")
     kinds = materialize(spans.groupBy("run", "h", "check").agg(
-        F.count("*").alias("times"), F.min_by(F.struct("id", "at", "n"), F.struct("id", "at")).alias("one")), "suffix-kinds")
+        F.count("*").alias("times"), F.min_by(F.struct("id", "at"), F.struct(F.xxhash64("id"), F.col("at"))).alias("one")),
+        "suffix-kinds")
     # a run with a span that occurs once, and another span that it may partly match
     partly = kinds.groupBy("run").agg(F.min("times").alias("least"), F.count("*").alias("kinds")).where("least = 1 AND kinds > 1")
-    unsettled = (kinds.join(partly.select("run"), "run", "left_semi").select("one.*", "times"))
-    lists = unsettled.groupBy("id").agg(F.collect_list(F.struct("at", "n")).alias("s")).select(
-        "id", F.col("s.at").alias("starts"), F.col("s.n").alias("sizes"))
-    entries = materialize(beside(lists).select("id", "text", "starts", "sizes").mapInArrow(
-        _suffixes(length), f"h bigint, check int, id {id_type}, at bigint"), "suffix-entries")
-    found = entries.join(repeated_suffixes(entries, batches), ["h", "check"])
+    ones = kinds.join(partly.select("run"), "run", "left_semi").select(F.xxhash64("one.id").alias("key"), "one.at")
+    wanted = spark.sparkContext.broadcast(filter_of(ones.mapInArrow(place_hashes, "h bigint")))
+    keyed_texts = own.withColumn("key", F.xxhash64("id"))
+    arrays = [keyed_texts.where(F.pmod(F.col("key"), F.lit(batches)) == b).mapInArrow(
+        _suffixes(length, filters, wanted), "h bigint, check int") for b in range(batches)]
+    strings = repeated_suffixes(arrays)
+    matches = spark.sparkContext.broadcast(filter_of(strings.select("h")))
+    entries = keyed_texts.mapInArrow(_suffixes(length, filters, wanted, matches),
+                                     f"h bigint, check int, id {id_type}, at bigint")
+    found = entries.join(strings, ["h", "check"])
     cuts = (spans.join(kinds.where("times > 1").select("run", "h", "check"), ["run", "h", "check"])
             .select("id", "at", (F.col("at") + F.col("n") - 1 + length).alias("stop"))
             .unionByName(found.select("id", "at", (F.col("at") + length).alias("stop"))))
-    cuts = cuts.groupBy("id").agg(F.collect_list(F.struct("at", "stop")).alias("s")).select(
-        "id", F.col("s.at").alias("starts"), F.col("s.stop").alias("stops"))
-    return beside(cuts, "left").select("id", "text", "starts", "stops").mapInArrow(
-        _remove, f"id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    cuts = cuts.groupBy(F.col("id").alias("own")).agg(F.collect_list(F.struct("at", "stop")).alias("s")).select(
+        "own", F.col("s.at").alias("starts"), F.col("s.stop").alias("stops"))
+    return (own.join(cuts, F.col("id").eqNullSafe(F.col("own")), "left").select("id", "text", "starts", "stops")
+            .mapInArrow(_remove, f"id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"))
