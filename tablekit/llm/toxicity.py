@@ -23,8 +23,15 @@ from tablekit.session import materialize
 SHAPES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a",
           "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "¡": "i"}
 _SEPARATORS = frozenset(" .-_*·~'/\\,:;^")
-#: Log-probabilities of the channel: a sign for a letter, a separator, a stretched letter, any other sign.
-_SHAPE, _GAP, _AGAIN, _NOISE = math.log(0.3), math.log(0.6), math.log(0.2), math.log(0.001)
+#: Log-probabilities of the channel: a sign for a letter, a separator dropped, one kept as the border of two words, a
+#: stretched letter, any other sign.
+_SHAPE, _GAP, _BORDER, _AGAIN, _NOISE = math.log(0.3), math.log(0.6), math.log(0.2), math.log(0.2), math.log(0.001)
+#: Lattices are built over so many characters at once, and neighbouring ones share so many.
+_PIECE, _SHARED = 2000, 240
+#: A border is likely if the best path with it is at most this much less probable than the best one, as a logarithm.
+_MARGIN = 8.0
+#: So many letters are read after a border, more than any beginning that is looked up has.
+_BEGINNING = 12
 
 #: Signs of the language model: 0 for all that is no letter, a to z, and 37 for the other letters.
 _SIGNS = 64
@@ -71,15 +78,32 @@ def language_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return np.log(0.85 * share(three) + 0.1 * share(two)[None] + 0.04 * share(one) + 0.01 * flat).astype(np.float32)
 
 
+def _ways(odd: str) -> Iterator[list[tuple[str, float]]]:
+    """For each character what it may stand for, with the channel's log-probability; a space is a border of words."""
+    last = ""
+    for char in odd:
+        if char.isalpha():
+            yield [(char, 0.0), ("", _AGAIN)] if char == last else [(char, 0.0)]
+        elif char in SHAPES:
+            yield [*[(x, _SHAPE) for x in SHAPES[char]], ("", _NOISE if char != last else _AGAIN)]
+        else:
+            yield [("", _GAP if char in _SEPARATORS or char.isspace() else _NOISE), (" ", _BORDER)]
+        if not char.isspace():
+            last = char
+
+
 class Restorer:
-    """Plain words for odd ones."""
+    """Plain words for odd ones; several with spaces between them where separators are borders of words."""
 
     def __init__(self, model: np.ndarray, max_cached: int = 200_000):
         self.model = model
         self.known: dict[str, str] = {}
+        self.after: dict[str, set[str]] = {}
         self.max_cached = max_cached
 
     def restore(self, odd: str) -> str:
+        if len(odd) > _SHARED:
+            return self._pieces(odd)
         known = self.known.get(odd)
         if known is None:
             if len(self.known) >= self.max_cached:
@@ -87,36 +111,99 @@ class Restorer:
             known = self.known[odd] = self._best(odd)
         return known
 
+    def _pieces(self, odd: str) -> str:
+        """The words behind a stretch of any length; those cut by the end of a piece are whole in the piece beside it."""
+        found: list[str] = []
+        for at in range(0, max(len(odd) - _SHARED, 1), _PIECE - _SHARED):
+            own = self._best(odd[at:at + _PIECE]).split()
+            if at:
+                own = own[1:]
+            if at + _PIECE < len(odd) and len(own) > 1:
+                own.pop()
+            found += own
+        return " ".join(found)
+
+    def words(self, odd: str) -> set[str]:
+        """The words behind a stretch with separators: those of the best path, and what may follow each likely border."""
+        found = set(self.restore(odd).split())
+        if all(x.isalnum() for x in odd):
+            return found
+        if len(odd) > _PIECE:
+            for at in range(0, len(odd) - _SHARED, _PIECE - _SHARED):
+                found |= self._after_borders(odd[at:at + _PIECE])
+            return found
+        if (known := self.after.get(odd)) is None:
+            known = self._after_borders(odd)
+            if len(odd) <= _SHARED:
+                if len(self.after) >= self.max_cached:
+                    self.after.clear()
+                self.after[odd] = known
+        return found | known
+
+    def _after_borders(self, odd: str) -> set[str]:
+        """For each separator the word after it on the best path that has a border there, if not much worse than any."""
+        model, steps = self.model, list(_ways(odd))
+        ahead: list[dict[tuple[int, int], float]] = [{(0, 0): 0.0}]
+        for ways in steps:
+            after: dict[tuple[int, int], float] = {}
+            for (a, b), score in ahead[-1].items():
+                for letter, cost in ways:
+                    state, found = self._step(a, b, letter, score + cost)
+                    if state and (state not in after or after[state] < found):
+                        after[state] = found
+            ahead.append(after)
+        behind: list[dict] = [{}] * len(steps) + [{(a, b): (float(model[a, b, 0]), "", None) for a, b in ahead[-1]}]
+        for i in range(len(steps) - 1, -1, -1):
+            behind[i] = {}
+            for a, b in ahead[i]:
+                for letter, cost in steps[i]:
+                    state, found = self._step(a, b, letter, cost)
+                    if state and ((a, b) not in behind[i] or behind[i][a, b][0] < found + behind[i + 1][state][0]):
+                        behind[i][a, b] = (found + behind[i + 1][state][0], letter, state)
+        least = behind[0][0, 0][0] - _MARGIN
+        words = set()
+        for i in range(1, len(steps)):
+            if (" ", _BORDER) not in steps[i - 1]:
+                continue
+            score, state = max(((s + behind[i][x][0], x) for x, s in ahead[i].items() if x[1] == 0), default=(-math.inf, None))
+            if score < least:
+                continue
+            letters, at = "", i
+            while at < len(steps) and len(letters.replace(" ", "")) < _BEGINNING:
+                _, letter, state = behind[at][state]
+                letters += letter
+                at += 1
+            # with a border too many the word goes on behind it
+            words |= {letters.split(" ")[0], letters.replace(" ", "")}
+        return words - {""}
+
+    def _step(self, a: int, b: int, letter: str, score: float) -> tuple[tuple[int, int] | None, float]:
+        """The state after a letter, a border (a space) or nothing, and its score; no border follows a border."""
+        if not letter:
+            return (a, b), score
+        sign = _sign(letter)
+        if not sign and not b and letter == " ":
+            return None, score
+        return (b, sign), score + float(self.model[a, b, sign])
+
     def _best(self, odd: str) -> str:
         """The most probable letters behind ``odd``. States are the last two letters."""
         model = self.model
         states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
-        last = ""
-        for char in odd:
-            if char.isalpha():
-                ways = [(char, 0.0), ("", _AGAIN)] if char == last else [(char, 0.0)]
-            elif char in SHAPES:
-                ways = [*[(x, _SHAPE) for x in SHAPES[char]], ("", _NOISE if char != last else _AGAIN)]
-            else:
-                ways = [("", _GAP if char in _SEPARATORS else _NOISE)]
-            last = char
+        for ways in _ways(odd):
             after: dict[tuple[int, int], tuple[float, tuple]] = {}
             for (a, b), (score, path) in states.items():
                 for letter, cost in ways:
-                    if letter:
-                        sign = _sign(letter)
-                        state, found = (b, sign), (score + cost + float(model[a, b, sign]), (path, letter))
-                    else:
-                        state, found = (a, b), (score + cost, path)
-                    if state not in after or after[state][0] < found[0]:
-                        after[state] = found
+                    state, found = self._step(a, b, letter, score + cost)
+                    if state and (state not in after or after[state][0] < found):
+                        after[state] = (found, (path, letter) if letter else path)
             states = after
         _, path = max(((s + float(model[a, b, 0]), p) for (a, b), (s, p) in states.items()), key=lambda x: x[0])
         letters = []
         while path:
             path, letter = path
             letters.append(letter)
-        return "".join(reversed(letters))
+        return "".join(reversed(letters)).strip()
 
 
 _ENDS = ".,;:?\"'()[]{}…«»"
@@ -124,6 +211,7 @@ _JUNK = re.compile(r"([#*$%&|<>!.=~-])\1+$")
 _STRETCHED = re.compile(r"([^\W\d_])\1\1")
 #: Letters or signs for them standing alone: four or more in a row.
 _SPREAD = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+€£])(?:[ \t]+(?:[^\W_]|[@$!|+€£])){3,}(?!\S)")
+_WIDE = re.compile(r"[ \t]{2,}")
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Words beyond this many characters are no words: never lattices, but their letter runs are words.
 _LONGEST = 60
@@ -145,10 +233,12 @@ def words(text: str, restorer: Restorer) -> set[str]:
             odd = n >= 2 and (any(x in SHAPES for x in core) or len(runs) >= 4 and n <= 2 * len(runs)
                               or bool(_STRETCHED.search(core)))
         if odd and 4 <= len(core) <= _LONGEST:
-            found.add(restorer.restore(core))
+            found |= restorer.words(core)
     for spread in _SPREAD.finditer(lower):
-        if len(spread[0]) <= 4 * _LONGEST:
-            found.add(restorer.restore(spread[0]))
+        found |= restorer.words(spread[0])
+        # wider blanks between words, single ones between letters
+        if len(parts := _WIDE.split(spread[0])) > 1:
+            found.update(x for part in parts for x in restorer.restore(part).split())
     return found
 
 

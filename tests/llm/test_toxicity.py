@@ -57,3 +57,21 @@ def test_restoring(spark):
     assert len(restorer.known) <= 5
     found = toxicity.words("An i d i o t and a m-o-r-o-n, 5cumbag!! the*** 12345 well-known", restorer)
     assert {"idiot", "moron", "scumbag", "known"} <= found and "12345" not in found
+
+
+def test_letters_standing_alone_are_several_words(spark):
+    rng = random.Random(4)
+    rows = [(i, words(rng, 40) + " you are an idiot and a moron and a scumbag") for i in range(300)]
+    model = toxicity.language_model(spark.createDataFrame(rows, "doc_id int, text string"))
+    restorer = toxicity.Restorer(model)
+
+    def found(text, word):
+        return any(x.startswith(word) for x in toxicity.words(text, restorer))
+
+    for word in BAD[:3]:
+        assert found("you are a " + " ".join(word), word)
+        assert found(" ".join("youarea" + word + "andmore"), word)
+        assert found("   ".join([" ".join("you"), " ".join("are"), " ".join(word)]), word)
+        assert found(" ".join("theand" * 60 + word + "theand" * 800), word)  # far longer than one lattice
+        assert found(" ".join("theand" * 800 + word), word)
+    assert not found(" ".join("theand" * 800), "idiot")
