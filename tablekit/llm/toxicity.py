@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -208,40 +208,94 @@ class Restorer:
 
 _ENDS = ".,;:?\"'()[]{}…«»"
 _JUNK = re.compile(r"([#*$%&|<>!.=~-])\1+$")
-_STRETCHED = re.compile(r"([^\W\d_])\1\1")
+_DOUBLED = re.compile(r"([^\W\d_])\1")
+_DOUBLES = re.compile(r"([^\W\d_])\1+")
+#: More of one sign in a row than a lattice can tell from fewer.
+_RUN = re.compile(r"(.)\1{3,}", re.S)
 #: Letters or signs for them standing alone: four or more in a row.
 _SPREAD = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+€£])(?:[ \t]+(?:[^\W_]|[@$!|+€£])){3,}(?!\S)")
 _WIDE = re.compile(r"[ \t]{2,}")
 _LETTERS = re.compile(r"[^\W\d_]+")
-#: Words beyond this many characters are no words: never lattices, but their letter runs are words.
-_LONGEST = 60
 
 
-def words(text: str, restorer: Restorer) -> set[str]:
-    """The distinct words of a text, odd ones restored."""
-    lower = text.lower()
+class Beginnings:
+    """Can a stretch be read as a word with one of some beginnings? No lattice is needed where it cannot.
+
+    Follows all readings that a lattice has, whatever their probability, so nothing that it could find is lost.
+    """
+
+    def __init__(self, wanted: Iterable[str]):
+        self.root: dict = {}
+        for word in wanted:
+            node = self.root
+            for char in word.rstrip("$"):
+                node = node.setdefault(char, {})
+            node[""] = {}
+
+    def may_have(self, odd: str) -> bool:
+        now, last = [self.root], ""
+        for char in odd:
+            if char.isalpha() or char in SHAPES:
+                after = [n[x] for n in now for x in SHAPES.get(char, char) if x in n]
+                if any("" in n for n in after):
+                    return True
+                if char == last or char in SHAPES:
+                    after += now
+                now = list({id(n): n for n in after}.values())
+            elif not any(n is self.root for n in now):
+                now = [*now, self.root]
+            if not char.isspace():
+                last = char
+        return False
+
+
+def token_words(token: str, restorer: Restorer, sought: Beginnings | None = None) -> set[str]:
+    """The words of a token in small letters, as it stands and restored."""
+    core = token if token.isalpha() else _JUNK.sub("", token).strip(_ENDS)
+    found: set[str] = set()
+    odd = []
+    if core.isalpha():
+        found.add(core)
+        if _DOUBLED.search(core):
+            odd.append(core)
+    else:
+        runs = _LETTERS.findall(core)
+        found.update(x for x in runs if len(x) > 3)
+        if runs:
+            odd.append(core)
+    # signs at the end may be letters too
+    if core != token and (whole := token.strip(_ENDS)) != core and _LETTERS.search(whole):
+        odd.append(whole)
+    for stretch in odd:
+        stretch = _RUN.sub(r"\1\1\1", stretch)
+        if len(stretch) > 1 and (sought is None or sought.may_have(stretch)):
+            found |= restorer.words(stretch)
+            # each letter once, and no border at all: likely words that the model may rate below others
+            if _DOUBLED.search(stretch):
+                found |= restorer.words(_DOUBLES.sub(r"\1", stretch))
+            if not stretch.isalnum() and len(stretch) <= _SHARED:
+                found.add(restorer.restore(stretch).replace(" ", ""))
+    return found
+
+
+def spread_words(lower: str, restorer: Restorer, sought: Beginnings | None = None) -> set[str]:
+    """The words written as letters standing alone in a text in small letters."""
     found: set[str] = set()
-    for token in set(lower.split()):
-        core = token if token.isalpha() else _JUNK.sub("", token).strip(_ENDS)
-        if core.isalpha():
-            found.add(core)
-            odd = bool(_STRETCHED.search(core))
-        else:
-            runs = _LETTERS.findall(core)
-            found.update(x for x in runs if len(x) > 3)
-            n = sum(map(len, runs))
-            odd = n >= 2 and (any(x in SHAPES for x in core) or len(runs) >= 4 and n <= 2 * len(runs)
-                              or bool(_STRETCHED.search(core)))
-        if odd and 4 <= len(core) <= _LONGEST:
-            found |= restorer.words(core)
     for spread in _SPREAD.finditer(lower):
-        found |= restorer.words(spread[0])
-        # wider blanks between words, single ones between letters
-        if len(parts := _WIDE.split(spread[0])) > 1:
-            found.update(x for part in parts for x in restorer.restore(part).split())
+        if sought is None or sought.may_have(spread[0]):
+            found |= restorer.words(spread[0])
+            # wider blanks between words, single ones between letters
+            if len(parts := _WIDE.split(spread[0])) > 1:
+                found.update(x for part in parts for x in restorer.restore(part).split())
     return found
 
 
+def words(text: str, restorer: Restorer, sought: Beginnings | None = None) -> set[str]:
+    """The distinct words of a text, odd ones as they stand and restored; if given, only such as may be ``sought``."""
+    lower = text.lower()
+    return spread_words(lower, restorer, sought).union(*[token_words(x, restorer, sought) for x in set(lower.split())])
+
+
 #: Lengths of the stems of a word; the whole word is a stem too.
 STEMS = (4, 5, 6, 7, 8)
 
@@ -322,12 +376,35 @@ def fit_stems(docs: DataFrame, labels: DataFrame, model, id_col: str = "doc_id",
 CLEAN_SCORE = 0.02
 
 
-def score_text(text: str, restorer: Restorer, toxic: dict[str, float]) -> float:
-    """The chance that one of the text's words is toxic, taking words for independent."""
-    clean = 1 - CLEAN_SCORE
-    for word in words(text, restorer):
-        clean *= 1 - max((toxic.get(s, 0.0) for s in stems(word)), default=0.0)
-    return 1 - clean
+class Scorer:
+    """The chance that one of a text's words is toxic, taking words for independent."""
+
+    def __init__(self, restorer: Restorer, toxic: dict[str, float], max_cached: int = 200_000):
+        self.restorer, self.toxic, self.max_cached = restorer, toxic, max_cached
+        self.sought = Beginnings(toxic)
+        self.known: dict[str, tuple[tuple[str, float], ...]] = {}
+
+    def weighed(self, found: Iterable[str]) -> tuple[tuple[str, float], ...]:
+        """The toxic ones of some words, and how toxic they are."""
+        weights = ((w, max((self.toxic.get(s, 0.0) for s in stems(w)), default=0.0)) for w in found)
+        return tuple([x for x in weights if x[1]])
+
+    def of_token(self, token: str) -> tuple[tuple[str, float], ...]:
+        known = self.known.get(token)
+        if known is None:
+            known = self.weighed(token_words(token, self.restorer, self.sought))
+            if len(token) <= _SHARED:
+                if len(self.known) >= self.max_cached:
+                    self.known.clear()
+                self.known[token] = known
+        return known
+
+    def score(self, text: str) -> float:
+        lower = text.lower()
+        found = dict(self.weighed(spread_words(lower, self.restorer, self.sought)))
+        for token in set(lower.split()):
+            found.update(self.of_token(token))
+        return 1 - (1 - CLEAN_SCORE) * math.prod(1 - p for p in sorted(found.values()))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -344,9 +421,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     kind = own.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(model.value)
+        scorer = Scorer(Restorer(model.value), toxic.value)
         for batch in batches:
-            scores = [score_text(t.as_py() or "", restorer, toxic.value) for t in batch.column("text")]
+            scores = [scorer.score(t.as_py() or "") for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores, pa.float64())], names=["id", "score"])
 
     return own.mapInArrow(run, f"id {kind}, score double").select("id", held_out("id").alias("held_out"), "score")

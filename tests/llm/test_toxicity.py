@@ -75,3 +75,18 @@ def test_letters_standing_alone_are_several_words(spark):
         assert found(" ".join("theand" * 60 + word + "theand" * 800), word)  # far longer than one lattice
         assert found(" ".join("theand" * 800 + word), word)
     assert not found(" ".join("theand" * 800), "idiot")
+
+
+def test_one_separator_doubled_letters_long_words(spark):
+    rng = random.Random(4)
+    rows = [(i, words(rng, 40) + " you are an idiot and a moron and a scumbag") for i in range(300)]
+    model = toxicity.language_model(spark.createDataFrame(rows, "doc_id int, text string"))
+    scorer = toxicity.Scorer(toxicity.Restorer(model), {"idiot": 0.95, "moron": 0.95, "scumb": 0.95})
+    for odd in ("id.iot", "mo-ron", "i.di.ot", "iddiiot", "m" + 60 * "o" + "ron", "m" + 5000 * "o" + "ron", "scum_bag", "5cuumbag",
+                "well-m0ron", "idiot", "!diot", "idio7", "moron$$$", "m.o.r.o.n." * 300):
+        assert scorer.score("ab " + odd + " cd") > 0.5, odd
+    for plain in ("id.est", "more-on", "dooron", "12.10.2024", "x" * 5000, "well-known", ""):
+        assert scorer.score(plain) < 0.1, plain
+    # what is not sought is not restored, and nothing else is lost by that
+    sought = toxicity.Beginnings(["idiot", "moron"])
+    assert sought.may_have("1.d-10tt") and sought.may_have("a i d i o t") and not sought.may_have("letter.box")
