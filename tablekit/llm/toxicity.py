@@ -212,8 +212,8 @@ _DOUBLED = re.compile(r"([^\W\d_])\1")
 _DOUBLES = re.compile(r"([^\W\d_])\1+")
 #: More of one sign in a row than a lattice can tell from fewer.
 _RUN = re.compile(r"(.)\1{3,}", re.S)
-#: Letters or signs for them standing alone: four or more in a row.
-_SPREAD = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+€£])(?:[ \t]+(?:[^\W_]|[@$!|+€£])){3,}(?!\S)")
+#: Letters or signs for them standing alone: four or more in a row, or three with a letter among them.
+_SPREAD = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+€£])(?:[ \t]+(?:[^\W_]|[@$!|+€£])){2,}(?!\S)")
 _WIDE = re.compile(r"[ \t]{2,}")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -260,7 +260,7 @@ def token_words(token: str, restorer: Restorer, sought: Beginnings | None = None
             odd.append(core)
     else:
         runs = _LETTERS.findall(core)
-        found.update(x for x in runs if len(x) > 3)
+        found.update(x for x in runs if len(x) > 1)
         if runs:
             odd.append(core)
     # signs at the end may be letters too
@@ -282,6 +282,8 @@ def spread_words(lower: str, restorer: Restorer, sought: Beginnings | None = Non
     """The words written as letters standing alone in a text in small letters."""
     found: set[str] = set()
     for spread in _SPREAD.finditer(lower):
+        if len(spread[0].split()) < 4 and not _LETTERS.search(spread[0]):
+            continue
         if sought is None or sought.may_have(spread[0]):
             found |= restorer.words(spread[0])
             # wider blanks between words, single ones between letters
@@ -296,80 +298,118 @@ def words(text: str, restorer: Restorer, sought: Beginnings | None = None) -> se
     return spread_words(lower, restorer, sought).union(*[token_words(x, restorer, sought) for x in set(lower.split())])
 
 
-#: Lengths of the stems of a word; the whole word is a stem too.
+#: Lengths of the stems of a word; the whole word is a stem too, also a shorter one of two letters or more.
 STEMS = (4, 5, 6, 7, 8)
 
 
 def stems(word: str) -> list[str]:
-    if len(word) < min(STEMS):
+    if len(word) < 2:
         return []
     return [word + "$", *[word[:n] for n in STEMS if len(word) >= n]]
 
 
-def _count_stems(model, wanted, explained):
-    """Rows (stem, n): documents with the stem, added up per batch; only ``wanted`` ones if given.
+def _count_stems(model):
+    """Rows (stem, toxic, clean): documents of each kind with the stem, added up per batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer = Restorer(model.value)
+        for batch in batches:
+            total: tuple[Counter, Counter] = (Counter(), Counter())
+            for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
+                total[toxic == 1].update({s for w in words(text.as_py() or "", restorer) for s in stems(w)})
+            found = list(total[0].keys() | total[1].keys())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.string()), *[pa.array([total[k][s] for s in found], pa.int64()) for k in (1, 0)]],
+                names=["stem", "toxic", "clean"])
+    return run
 
-    Documents that have an ``explained`` stem are left out. The empty stem counts the documents.
-    """
+
+def _own_stems(model, wanted):
+    """Rows (stems): the ``wanted`` stems of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model.value)
-        only = wanted.value if wanted else None
         for batch in batches:
-            total: Counter = Counter()
-            for text in batch.column("text"):
-                own = {s for w in words(text.as_py() or "", restorer) for s in stems(w)}
-                if own.isdisjoint(explained):
-                    total[""] += 1
-                    total.update(own if only is None else own & only)
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())],
-                                             names=["stem", "n"])
+            own = [sorted({s for w in words(t.as_py() or "", restorer) for s in stems(w)} & wanted.value) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.string()))], names=["stems"])
     return run
 
 
 #: The classifier is fitted on this many labelled documents at most, taken by a hash of their ids.
 MOST_LABELLED = 20_000
-#: A stem counts if at least this share of the toxic documents (and this many) have it, and this share of its documents
-#: is toxic.
-LEAST_SHARE, LEAST_DOCS, LEAST_TOXIC = 0.02, 5, 0.9
-#: So often are stems looked for, each time among the toxic documents that have none of those found before.
-ROUNDS = 4
+#: A stem counts if at least so many toxic documents have it, and this share of its documents is toxic, smoothed by a
+#: quarter of a clean one; and if at most this share of the stems with such counts could have them by chance.
+LEAST_DOCS, LEAST_TOXIC, MOST_CHANCE = 3, 0.9, 0.1
+_SMOOTH = 0.25
 
 
 def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
+def choose_stems(own: list[frozenset[str]], clean: dict[str, int], n_clean: int, frequencies: dict[int, int]) -> dict[str, float]:
+    """Toxic stems and their smoothed share of toxic documents.
+
+    ``own`` has the stems that come into question of each toxic document, ``clean`` how many of the ``n_clean`` others
+    have them, ``frequencies`` how many stems there are by their number of documents. The most frequent stems are taken
+    first; the toxic documents that have one of them say nothing about other words any more, so the toxic share among
+    the rest falls and rarer stems stand out. It ends when a round finds nothing.
+    """
+    chosen: dict[str, float] = {}
+    left = [x for x in own if x]
+    n_left = len(own)
+    while left:
+        toxic = Counter(s for x in left for s in x)
+        base = min(0.5, n_left / (n_left + n_clean))
+        sure = {s: n / (n + clean.get(s, 0) + _SMOOTH) for s, n in toxic.items() if n >= LEAST_DOCS}
+        sure = {s: p for s, p in sure.items() if p >= LEAST_TOXIC}
+        alike = Counter((toxic[s], clean.get(s, 0)) for s in sure)
+
+        def by_chance(n: int, others: int) -> float:
+            """The expected number of stems with so many toxic documents of n + others, at most (Chernoff)."""
+            share = n / (n + others)
+            if share <= base:
+                return math.inf
+            far = share * math.log(share / base) + (0 if share == 1 else (1 - share) * math.log((1 - share) / (1 - base)))
+            return frequencies.get(n + others, 1) * math.exp(-(n + others) * far)
+
+        fine = {kind for kind, n in alike.items() if by_chance(*kind) <= MOST_CHANCE * n}
+        sure = {s: p for s, p in sure.items() if (toxic[s], clean.get(s, 0)) in fine}
+        if not sure:
+            break
+        most = max(toxic[s] for s in sure)
+        new = {s: p for s, p in sure.items() if 2 * toxic[s] >= most}
+        chosen |= new
+        after = [x for x in left if x.isdisjoint(new)]
+        n_left -= len(left) - len(after)
+        left = after
+    return chosen
+
+
 def fit_stems(docs: DataFrame, labels: DataFrame, model, id_col: str = "doc_id", text_col: str = "text",
               most_labelled: int = MOST_LABELLED) -> dict[str, float]:
-    """Toxic stems and the share of toxic documents among those that have them; held-out ids are never looked at."""
+    """Toxic stems and the share of toxic documents among those that have them; held-out ids are never looked at.
+
+    Equal texts count once, as toxic if one of them is.
+    """
     spark = docs.sparkSession
     rows = (labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
             .groupBy(F.col(id_col).alias("label_id")).agg(F.max("toxic").alias("toxic")))
     n = rows.count()
     rows = rows.where(F.pmod(F.xxhash64("label_id"), F.lit(1_000_000)) < max(1, int(1_000_000 * min(1, most_labelled / max(n, 1)))))
-    texts = materialize(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-                        .join(F.broadcast(rows), F.col("id") == F.col("label_id")).select("text", "toxic"), "toxic-sample")
-
-    def counts(part: DataFrame, least: float, explained: dict[str, float], wanted=None) -> dict[str, int]:
-        found = (part.select("text").mapInArrow(_count_stems(model, wanted, frozenset(explained)), "stem string, n bigint")
-                 .groupBy("stem").agg(F.sum("n").alias("n")))
-        return {r["stem"]: r["n"] for r in found.where((F.col("n") >= least) | (F.col("stem") == "")).collect()}
-
-    found: dict[str, float] = {}
-    left = texts.where("toxic = 1").count()
-    for _ in range(ROUNDS):
-        toxic = counts(texts.where("toxic = 1"), max(LEAST_DOCS, LEAST_SHARE * left), found)
-        left = toxic.pop("", 0)
-        toxic = {s: n for s, n in toxic.items() if n >= max(LEAST_DOCS, LEAST_SHARE * left)}
-        if not toxic:
-            break
-        clean = counts(texts.where("toxic = 0"), 1, {}, spark.sparkContext.broadcast(frozenset(toxic)))
-        new = {s: n / (n + clean.get(s, 0) + 0.5) for s, n in toxic.items()}
-        new = {s: p for s, p in new.items() if p >= LEAST_TOXIC}
-        if not new:
-            break
-        found |= new
-    return found
+    texts = (docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+             .join(F.broadcast(rows), F.col("id") == F.col("label_id")).select("text", "toxic"))
+    texts = materialize(texts.groupBy("text").agg(F.max("toxic").alias("toxic")).where("toxic IN (0, 1)"), "toxic-sample")
+    sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
+    if not sizes.get(1):
+        return {}
+    counts = materialize(texts.mapInArrow(_count_stems(model), "stem string, toxic bigint, clean bigint")
+                         .groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "toxic-stems")
+    frequencies = {r["n"]: r["count"] for r in counts.groupBy((F.col("toxic") + F.col("clean")).alias("n")).count().collect()}
+    # fewer toxic documents in later rounds only lower a stem's share, so no other stem comes into question then
+    wanted = {r["stem"]: r["clean"] for r in counts.where(
+        (F.col("toxic") >= LEAST_DOCS) & (F.col("toxic") >= LEAST_TOXIC * (F.col("toxic") + F.col("clean") + _SMOOTH))).collect()}
+    own = (texts.where("toxic = 1").select("text")
+           .mapInArrow(_own_stems(model, spark.sparkContext.broadcast(frozenset(wanted))), "stems array<string>"))
+    return choose_stems([frozenset(r["stems"]) for r in own.collect()], wanted, sizes.get(0, 0), frequencies)
 
 
 #: The score of a text without any toxic stem.

@@ -90,3 +90,30 @@ def test_one_separator_doubled_letters_long_words(spark):
     # what is not sought is not restored, and nothing else is lost by that
     sought = toxicity.Beginnings(["idiot", "moron"])
     assert sought.may_have("1.d-10tt") and sought.may_have("a i d i o t") and not sought.may_have("letter.box")
+
+
+def test_broad_vocabulary_and_short_words(spark):
+    """Each of 150 terms is in less than 2 % of the toxic documents, a third of them have three letters."""
+    rng = random.Random(8)
+    terms = ["".join(rng.choice("ghkuvwz") for _ in range(n)) for n in (3, 5, 8) for _ in range(50)]
+    rows, labels, toxic = [], [], 2400
+    for i in range(6000):
+        text = words(rng, 30).split()
+        if i < toxic:
+            text.insert(rng.randrange(30), terms[i % len(terms)])
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(i < toxic)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    done = toxicity.score_toxicity(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int")).where("held_out").collect()
+    right = [(r["score"] >= 0.5) == (r["id"] < toxic) for r in done]
+    assert len(right) > 1000 and sum(right) >= 0.97 * len(right)
+
+
+def test_chance_and_rounds():
+    # five terms of falling frequency; a rare word counts where few toxic documents are left, not where chance may make it
+    own = [frozenset({f"t{k}$", f"t{k}x$"[:3 + (i % 2)]}) for k, n in enumerate((400, 180, 80, 30, 6)) for i in range(n)]
+    got = toxicity.choose_stems([*own, frozenset({"rare$"}), frozenset({"rare$"}), frozenset({"rare$"})], {}, 2000, {3: 5000})
+    assert {f"t{k}$" for k in range(5)} <= set(got) and "rare$" in got  # three of three among few that are left
+    got = toxicity.choose_stems([frozenset({"rare$"})] * 3 + [frozenset()] * 700, {}, 700, {3: 5000})
+    assert got == {}
+    assert toxicity.choose_stems([], {}, 10, {}) == {}
