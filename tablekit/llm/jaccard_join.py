@@ -1,8 +1,8 @@
 """N-gram Jaccard join: rare-first prefixes meet, length, positional and suffix filters thin the pairs, each is verified once.
 
-The result is the components of the links, not every link of a group of copies. So a shared n-gram first brings each
-document to a few leaders only, and all remaining pairs of an n-gram are made between documents that are still in
-different components: a pair inside a component can add nothing.
+``near_links`` is the join: every link between different sets is tested and returned. ``near_groups`` has the components
+of the links only. There a shared n-gram first brings each document to a few leaders, and all remaining pairs of an n-gram
+are made between documents that are still in different components: a pair inside a component can add nothing.
 """
 
 from __future__ import annotations
@@ -66,6 +66,11 @@ def _parts(hashes: np.ndarray) -> np.ndarray:
     return np.minimum(sizes, 255).astype(np.uint8).view("<i8")
 
 
+def _name(own: np.ndarray) -> np.ndarray:
+    """Two numbers that name a set: sets with equal ones are equal."""
+    return np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), "<i8")
+
+
 def _profile(k: int):
     """Rows (id, n, s1, s2, p0...) of documents and, at the end of a partition, its n-gram counts (chunk, counts)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,7 +82,7 @@ def _profile(k: int):
             for text in text_bytes(batch.column("text")):
                 own = shingle_set(text, k)
                 np.add.at(counts, _slots(own), 1)
-                a, b = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), "<i8")
+                a, b = _name(own)
                 n.append(len(own)), first.append(a), second.append(b), parts.append(_parts(own))
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
@@ -123,23 +128,25 @@ def _prefix_grams(k: int, threshold: Fraction, shared_ranks):
 
 
 def _active(k: int, threshold: Fraction, shared_ranks, shared_filter):
-    """Rows (id, text, n, grams, places): documents with n-grams in the filter, these, and their places in the prefix."""
+    """Rows (id, s1, s2, text, n, grams, places): documents with n-grams in the filter, these, and their places in the
+    prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = np.frombuffer(shared_ranks.value, np.uint8)
         table = read_filter(shared_filter.value)
         for batch in batches:
-            rows, sizes, grams, places = [], [], [], []
+            rows, names, sizes, grams, places = [], [], [], [], []
             for i, text in enumerate(text_bytes(batch.column("text"))):
                 own = shingle_set(text, k)
                 prefix = _prefix(own, threshold, ranks)
                 shared = np.flatnonzero(held(prefix, table))
                 if len(shared):
-                    rows.append(i), sizes.append(len(own)), grams.append(prefix[shared].view(np.int64)), places.append(shared)
+                    rows.append(i), names.append(_name(own)), sizes.append(len(own)), grams.append(prefix[shared].view(np.int64)), places.append(shared)
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(at), batch.column("text").take(at), pa.array(sizes, pa.int32()),
+                [batch.column("id").take(at), *[pa.array([x[i] for x in names], pa.int64()) for i in (0, 1)],
+                 batch.column("text").take(at), pa.array(sizes, pa.int32()),
                  pa.array(grams, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
-                names=["id", "text", "n", "grams", "places"])
+                names=["id", "s1", "s2", "text", "n", "grams", "places"])
     return run
 
 
@@ -193,15 +200,9 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, t: Fraction) -> DataFram
     return pairs.join(one, "a").join(two, "b").mapInArrow(run, f"a {id_type}, b {id_type}")
 
 
-def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85, 100), id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) of each row: documents linked by a Jaccard likeness of at least ``threshold``.
-
-    A document's set holds its distinct runs of ``k`` words; a shorter one has its whole sequence as one, one without
-    words has none and is linked with nothing. ``component_id`` is the smallest id reachable over links, its own
-    included. Rows without id are left alone: their component is null. Rows with the same id are one node with the
-    links of each of its texts.
-    """
+def _prepare(docs: DataFrame, k: int, threshold: Fraction, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What both operators start from: (id, n, s1, s2, p0...) of each row; (id, rep, s1, s2, p0...) of each with an id and
+    words; and the rows with n-grams that can link them (``_active``)."""
     spark = docs.sparkSession
     own = keyed(docs, id_col, text_col).select("id", "text")
     id_type = own.schema["id"].dataType.simpleString()
@@ -219,7 +220,7 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
     # equal sets are linked as they are; the first document stands for them
     named = members.where("id IS NOT NULL AND n > 0")
     firsts = named.groupBy("s1", "s2").agg(F.min("id").alias("rep"))
-    standing = materialize(named.join(firsts, ["s1", "s2"]).select("id", "rep", *_PACKED), "jaccard-standing")
+    standing = materialize(named.join(firsts, ["s1", "s2"]).select("id", "rep", "s1", "s2", *_PACKED), "jaccard-standing")
 
     # n-grams found in two prefixes or more, as a filter of fixed size; it picks the documents that can be linked at all
     named_texts = own.where("id IS NOT NULL")
@@ -227,11 +228,24 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
     picked = spark.sparkContext.broadcast(filter_of(common))
     active = materialize(named_texts.mapInArrow(
         _active(k, threshold, shared, picked),
-        f"id {id_type}, text string, n int, grams array<bigint>, places array<int>"), "jaccard-active")
+        f"id {id_type}, s1 bigint, s2 bigint, text string, n int, grams array<bigint>, places array<int>"), "jaccard-active")
+    return members, standing, active
+
+
+def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85, 100), id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) of each row: documents linked by a Jaccard likeness of at least ``threshold``.
+
+    A document's set holds its distinct runs of ``k`` words; a shorter one has its whole sequence as one, one without
+    words has none and is linked with nothing. ``component_id`` is the smallest id reachable over links, its own
+    included. Rows without id are left alone: their component is null. Rows with the same id are one node with the
+    links of each of its texts.
+    """
+    members, standing, active = _prepare(docs, k, threshold, id_col, text_col)
     texts = active.select("id", "text")
     shares = materialize(
         active.select("id", "n", F.explode(F.arrays_zip("grams", "places")).alias("g"))
-        .join(standing.where("id = rep").drop("rep"), "id")
+        .join(standing.where("id = rep").drop("rep", "s1", "s2"), "id")
         .select(F.col("g.grams").alias("gram"), "id", "n", F.col("g.places").alias("pos"), *_PACKED), "jaccard-shares")
 
     row = F.struct("id", "n", "pos", *_PACKED)
@@ -273,6 +287,64 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
             .select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")))
 
 
+#: Documents of one n-gram and one length that meet in one task.
+BLOCK = 2000
+
+
+def near_links(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85, 100), id_col: str = "doc_id",
+               text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Every link: (a, b, rep_a, rep_b, n_links) of classes, and their members (id, class, rep).
+
+    Documents with equal sets are a class, named by (s1, s2) of the set; ``rep`` is its smallest id. There is one row for
+    each two classes whose sets have a Jaccard likeness of at least ``threshold``, and ``n_links`` is the number of pairs
+    of documents that it stands for. All documents of a class are linked with one another too; ``count_links`` counts
+    them. A document without id or words is in no class. Rows with the same id and set are one document, an id with
+    several sets is a document for each.
+    """
+    _, standing, active = _prepare(docs, k, threshold, id_col, text_col)
+    kind = F.struct("s1", "s2").alias("class")
+    members = standing.select("id", kind, "rep").distinct()
+    ones = standing.where("id = rep").select("id", "s1", "s2", *_PACKED).distinct()
+    reps = active.dropDuplicates(["id", "s1", "s2"]).join(ones, ["id", "s1", "s2"])
+    reps = materialize(reps.select(kind, "text", "n", "grams", "places", *_PACKED).withColumnRenamed("class", "id"), "jaccard-classes")
+    shares = reps.select("id", "n", F.explode(F.arrays_zip("grams", "places")).alias("g"), *_PACKED).select(
+        F.col("g.grams").alias("gram"), "id", "n", F.col("g.places").alias("pos"), *_PACKED)
+    # sets that link are of one length class or of neighbouring ones; the larger one stays where it is
+    size = F.col("n").cast("bigint")
+    if threshold < 1:
+        size = F.floor(F.log(F.col("n").cast("double")) / math.log(1 / threshold))
+    larger = materialize(shares.withColumn("size", size), "jaccard-shares")
+    crowded = (larger.groupBy("gram", "size").count().where(F.col("count") > BLOCK)
+               .select("gram", "size", F.ceil(F.col("count") / BLOCK).alias("blocks")))
+    smaller = larger.withColumn("size", F.explode(F.array(*[F.col("size") + i for i in range(3)])))
+
+    def dealt(rows: DataFrame, block) -> DataFrame:
+        return (rows.join(F.broadcast(crowded), ["gram", "size"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+                .withColumn("block", block).drop("blocks"))
+
+    # crowded n-grams are cut into blocks: the larger set of a pair is in one of them, the smaller one in all
+    left = dealt(larger, F.pmod(F.xxhash64("id", "gram"), F.col("blocks")))
+    right = dealt(smaller, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    other = right.select("gram", "size", "block", *[F.col(c).alias("other" if c == "id" else f"other_{c}")
+                                                    for c in shares.columns if c != "gram"])
+    met = left.join(other, ["gram", "size", "block"]).where(F.struct("n", "id") > F.struct("other_n", "other"))
+    pairs = materialize(_candidates(met, threshold), "jaccard-pairs")
+    linked = materialize(_verify(pairs, reps.select("id", "text"), k, threshold), "jaccard-links")
+    sizes = members.groupBy("class", "rep").agg(F.count("*").alias("size"))
+    for side in ("a", "b"):
+        linked = linked.join(sizes.select(F.col("class").alias(side), F.col("rep").alias(f"rep_{side}"),
+                                          F.col("size").alias(f"size_{side}")), side)
+    links = linked.select("a", "b", "rep_a", "rep_b", (F.col("size_a") * F.col("size_b")).alias("n_links"))
+    return links, members
+
+
+def count_links(links: DataFrame, members: DataFrame) -> int:
+    """The number of linked pairs of documents: those between classes, and all pairs inside each."""
+    between = links.agg(F.sum("n_links")).first()[0] or 0
+    sizes = members.groupBy("class").agg(F.count("*").cast("decimal(38,0)").alias("n"))
+    return int(between) + int(sizes.agg(F.sum(F.expr("n * (n - 1)"))).first()[0] or 0) // 2
+
+
 def _other(shares: DataFrame) -> DataFrame:
     """The other side of a join by n-gram: all columns but the n-gram under new names."""
     return shares.select("gram", *[F.col(c).alias("other" if c == "id" else f"other_{c}") for c in shares.columns if c != "gram"])
