@@ -65,3 +65,29 @@ def test_tree_matching():
             found = dom.match(a, b)
             assert len(found) == brute_match(a, b)
             assert all(x.label == y.label for x, y in found)
+
+
+def test_layouts_of_one_host(spark):
+    """Two layouts on a host, the smallest ids are pages without any, hosts of two and three pages."""
+    rows, want = [(None, "http://one.example/none", "", "x"), (1, "http://one.example/empty", None, "x"),
+                  (2, "http://one.example/error", "<html><body><h1>Not found</h1></body></html>", "x")], {None: "", 1: "", 2: "Not found"}
+    for i, a in enumerate(ARTICLES):
+        head, one, two = a.split("|")
+        text = f"<h1>{head}</h1><p>{one}</p><p>{two}</p>"
+        bodies = [("one", f"<div class='wrap'><div class='content'>{text}<p>Read our terms.</p></div></div>"),
+                  ("one", f"<section class='story'><div class='tale'><p>Share this story now.</p>{text}</div></section>"),
+                  *[(x, f"<div class='wrap'><div class='content'>{text}<p>Read our terms.</p></div></div>")
+                    for x, n in (("two", 2), ("three", 3)) if i < n]]
+        for k, (name, body) in enumerate(bodies):
+            rows.append((100 + 10 * i + k, f"http://{name}.example/{i}", page(i, body), "x"))
+            want[100 + 10 * i + k] = f"{head} First & long paragraph number {i} with many words in it. Second one {i} on two lines."
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
+    got = {r["id"]: r["text"] for r in html_main.extract_main(frame).collect()}
+    assert got == want
+
+
+def test_two_pages_that_are_nearly_copies_stay(spark):
+    text = "".join(f"<p>Paragraph {i} is on both pages.</p>" for i in range(5))
+    rows = [(i, "http://a.example/x", page(i, f"<article>{text}<p>Version {i}.</p></article>")) for i in range(2)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert all(r["text"].startswith("Paragraph 0") for r in html_main.extract_main(frame).collect())
