@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from html import unescape
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -25,8 +25,6 @@ _ALWAYS = frozenset("nav navbar navigation menu sidebar breadcrumb breadcrumbs a
 _OUTSIDE = frozenset("header masthead footer top bottom legal copyright tags meta".split())
 _TOKENS = re.compile(r"[a-z]+")
 _NO_WORDS: frozenset[str] = frozenset()
-#: Elements nested deeper than this are children of the element at this depth.
-_DEEPEST = 150
 
 
 class Node:
@@ -70,14 +68,17 @@ class _Builder:
     def __init__(self):
         self.root = Node("#root", {})
         self.open = [self.root]
+        #: Places in ``open`` by tag, so that no end tag has to look through a deep nest.
+        self.places: dict[str, list[int]] = {}
+
+    def _last(self, kinds: set[str] | frozenset[str]) -> int:
+        return max((p[-1] for k in kinds if (p := self.places.get(k))), default=0)
 
     def _close(self, kinds: set[str] | frozenset[str], fences: set[str] | frozenset[str]) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in kinds:
-                del self.open[i:]
-                return
-            if self.open[i].tag in fences:
-                return
+        at = self._last(kinds)
+        if at and at >= self._last(fences):
+            while len(self.open) > at:
+                self.places[self.open.pop().tag].pop()
 
     def feed(self, html: str) -> None:
         at = 0
@@ -112,7 +113,8 @@ class _Builder:
         if tag in _CLOSES:
             self._close(*_CLOSES[tag])
         node = self._add(tag, attrs)
-        if tag not in _VOID and not attrs.endswith("/") and len(self.open) < _DEEPEST:
+        if tag not in _VOID and not attrs.endswith("/"):
+            self.places.setdefault(tag, []).append(len(self.open))
             self.open.append(node)
 
     def handle_endtag(self, tag):
@@ -152,10 +154,37 @@ def match(one: Node, two: Node) -> list[tuple[Node, Node]]:
 
     Children of equal shape at either end are paired at once, which no other pairing can beat.
     """
-    return _match(one, two)[1] if one.label == two.label else []
+    return list(_flat(_run(_match(one, two))[1])) if one.label == two.label else []
+
 
+def _run(task: Generator) -> tuple[int, list]:
+    """The result of a task that yields the tasks whose results it needs; trees may be deeper than calls."""
+    stack, result = [task], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(result))
+            result = None
+        except StopIteration as done:
+            stack.pop()
+            result = done.value
+    return result
+
+
+def _flat(pairs: list) -> Iterator[tuple[Node, Node]]:
+    """The pairs in nested lists, in order."""
+    stack = [iter(pairs)]
+    while stack:
+        for x in stack[-1]:
+            if isinstance(x, list):
+                stack.append(iter(x))
+                break
+            yield x
+        else:
+            stack.pop()
 
-def _match(one: Node, two: Node) -> tuple[int, list[tuple[Node, Node]]]:
+
+def _match(one: Node, two: Node) -> Generator:
+    """The number of pairs, and nested lists of them."""
     if one.shape == two.shape:
         return one.size, list(zip(walk(one), walk(two), strict=True))
     left, right = one.children, two.children
@@ -165,29 +194,26 @@ def _match(one: Node, two: Node) -> tuple[int, list[tuple[Node, Node]]]:
     high = 0
     while high < min(len(left), len(right)) - low and left[-1 - high].shape == right[-1 - high].shape:
         high += 1
-    pairs = [(one, two)]
+    pairs: list = [(one, two)]
     score = 1
     for a, b in [*zip(left[:low], right[:low], strict=True), *zip(left[len(left) - high:], right[len(right) - high:], strict=True)]:
-        s, p = _match(a, b)
+        s, p = (a.size, list(zip(walk(a), walk(b), strict=True))) if a.shape == b.shape else (yield _match(a, b))
         score += s
-        pairs += p
+        pairs.append(p)
     left, right = left[low:len(left) - high], right[low:len(right) - high]
     if left and right:
-        known: dict[tuple[int, int], tuple[int, list]] = {}  # equal shapes match alike, so each pair of shapes once
-
-        def weight(a: Node, b: Node) -> int:
-            if a.label != b.label:
-                return 0
-            key = (a.shape, b.shape)
-            if key not in known:
-                known[key] = _match(a, b)
-            return known[key][0]
+        known: dict[tuple[int, int], tuple] = {}  # equal shapes match alike, so each pair of shapes once
 
         best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
         for i, a in enumerate(left):
             row, above = best[i + 1], best[i]
             for j, b in enumerate(right):
-                w = weight(a, b)
+                w = 0
+                if a.label == b.label:
+                    key = (a.shape, b.shape)
+                    if key not in known:
+                        known[key] = (*(yield _match(a, b)), a, b)
+                    w = known[key][0]
                 row[j + 1] = max(row[j], above[j + 1], above[j] + w if w else 0)
         score += best[-1][-1]
         i, j = len(left), len(right)
@@ -198,7 +224,12 @@ def _match(one: Node, two: Node) -> tuple[int, list[tuple[Node, Node]]]:
                 j -= 1
             else:
                 i, j = i - 1, j - 1
-                pairs += _match(left[i], right[j])[1]
+                a, b = left[i], right[j]
+                _, p, was_a, was_b = known[a.shape, b.shape]
+                if a is not was_a or b is not was_b:
+                    ours, theirs = ({x.index: y for x, y in zip(walk(was), walk(now), strict=True)} for was, now in ((was_a, a), (was_b, b)))
+                    p = [(ours[x.index], theirs[y.index]) for x, y in _flat(p)]
+                pairs.append(p)
     return score, pairs
 
 
@@ -248,14 +279,59 @@ def blocks(root: Node, dropped: frozenset[int] | set[int], first: bool = False)
     return found
 
 
-def _length(root: Node) -> int:
-    return sum(map(len, blocks(root, frozenset())))
+def _joined(a: tuple[int, bool, bool], b: tuple[int, bool, bool]) -> tuple[int, bool, bool]:
+    """A text after another: (length without surplus blanks, blank before, blank behind)."""
+    if not a[0] or not b[0]:
+        blank = a[1] or a[2] or b[1] if not a[0] else a[1]
+        return b[0] or a[0], blank, (b[2] if b[0] else a[2] or b[1]) if a[0] or b[0] else blank
+    return a[0] + b[0] + (a[2] or b[1]), a[1], b[2]
+
+
+_NO_TEXT = (0, False, False)
+
+
+def _lengths(root: Node) -> dict[int, int]:
+    """For each node under ``root`` the length of the texts that ``blocks`` finds in it, in one pass."""
+    # what a node puts into its parent: its text up to the first end of a block, the length of whole blocks, the text
+    # after the last end; None for the last two if no block ends in it
+    put: dict[int, tuple] = {}
+    found: dict[int, int] = {}
+    for node in reversed(list(walk(root))):
+        first, whole, last = _NO_TEXT, None, _NO_TEXT
+        for part in node.parts:
+            if isinstance(part, str):
+                size = len(" ".join(part.split()))
+                own = (size, part[:1].isspace(), part[-1:].isspace())
+                begin, more, end = own, None, own
+            else:
+                begin, more, end = put[part.index]
+            if whole is None:
+                first = _joined(first, begin)
+                last = first
+                if more is not None:
+                    whole, last = more, end
+            elif more is None:
+                last = _joined(last, begin)
+            else:
+                whole, last = whole + _joined(last, begin)[0] + more, end
+        total = first[0] if whole is None else first[0] + whole + last[0]
+        found[node.index] = total
+        if furniture(node, True):
+            put[node.index] = (_NO_TEXT, None, _NO_TEXT)
+        elif node.tag in _BLOCK:
+            put[node.index] = (_NO_TEXT, total, _NO_TEXT)
+        elif node.tag == "br":
+            put[node.index] = ((0, True, True), None, (0, True, True))
+        else:
+            put[node.index] = (first, whole, last)
+    return found
 
 
 def container(root: Node) -> Node:
     """The element that holds the article: the longest ``article``, else the main part, else the smallest element that
     holds most of the text outside furniture."""
     reached: list[Node] = []
+    lengths: dict[int, int] = {}
     stack = [root]
     while stack:
         node = stack.pop()
@@ -265,13 +341,15 @@ def container(root: Node) -> Node:
     for wanted in (lambda n: n.tag == "article", lambda n: n.tag == "main" or "main" in n.words and n.tag != "body"):
         held = [n for n in reached if wanted(n)]
         if len(held) > 1:
-            held = [max(held, key=_length)]
+            lengths = lengths or _lengths(root)
+            held = [max(held, key=lambda n: lengths[n.index])]
         if held and blocks(held[0], frozenset(), first=True):
             return held[0]
     now = next((n for n in reached if n.tag == "body"), root)
-    total = _length(now)
+    lengths = lengths or _lengths(root)
+    total = lengths[now.index]
     while True:
-        inner = [c for c in now.children if not furniture(c, False) and _length(c) >= 0.8 * total > 0]
+        inner = [c for c in now.children if not furniture(c, False) and lengths[c.index] >= 0.8 * total > 0]
         if not inner or inner[0].tag in ("p", "h1", "h2", "h3", "li", "td"):
             return now
         now = inner[0]

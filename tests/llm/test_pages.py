@@ -91,3 +91,24 @@ def test_two_pages_that_are_nearly_copies_stay(spark):
     rows = [(i, "http://a.example/x", page(i, f"<article>{text}<p>Version {i}.</p></article>")) for i in range(2)]
     frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     assert all(r["text"].startswith("Paragraph 0") for r in html_main.extract_main(frame).collect())
+
+
+def test_deep_nests():
+    """Text below many open elements keeps its place, and their end tags close nothing else."""
+    deep = "<div>" * 200 + "<div class='advert'>Buy now</div><aside>Side</aside>" + "</div>" * 200
+    html = f"<body><div class='wrap'><article><p>One.</p>{deep}<p>Two.</p></article><div>More.</div></div>"
+    assert dom.blocks(dom.container(dom.parse(html)), frozenset()) == ["One.", "Two."]
+    unclosed = "<body><article><p>One.</p><p>" + "<b>" * 300 + "Bold.</p><div class=comments>No.</div><p>Two.</p></article>"
+    assert dom.blocks(dom.container(dom.parse(unclosed)), frozenset()) == ["One.", "Bold.", "Two."]
+    one, two = (dom.parse("<div>x" * 5000 + end + "</div>" * 5000 + "<p>after") for end in ("a", "<i>b</i>"))
+    assert len(dom.match(one, two)) == 5002
+    assert dom.blocks(one, frozenset())[-1] == "after"
+    dom.parse("<p><table>" + "<b>" * 50000 + "</p></i>" * 50000)
+
+
+def test_lengths():
+    for html in ("<div> a <b>b</b>c<p>d  e</p> f<br>g<nav>n</nav>h <span> i<div>j</div> k</span></div>l", "", " <p> </p> ", "x<br> y<br>z"):
+        root = dom.parse(html)
+        found = dom._lengths(root)
+        for node in dom.walk(root):
+            assert found[node.index] == sum(map(len, dom.blocks(node, frozenset())))
