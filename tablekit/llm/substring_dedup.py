@@ -114,8 +114,9 @@ def _remove(window: int):
 def dedup_substrings(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_removed, kept) of each row: words in windows that also start earlier go.
 
-    Earlier is a smaller id, or an earlier start in the same document; rows without id come last and, like rows with
-    the same id, are one document: a start found repeated counts in each of them. Kept words are joined by one space.
+    Earlier is a smaller id, or an earlier start in the same document; rows without id come last. Rows with the same id,
+    or without, and the same text are one document; with different texts they are documents ordered by a hash of the
+    text. Kept words are joined by one space.
     A null text has no words. Windows are judged on the input. ``window`` is a multiple of four.
 
     Runs of a quarter and of half the window are counted in turn over all documents; a filter of fixed size keeps those
@@ -124,7 +125,8 @@ def dedup_substrings(docs: DataFrame, window: int = 20, id_col: str = "doc_id",
     same run are compared window by window. There the doubling ends, because the result needs no longer matches.
     """
     spark = docs.sparkSession
-    own = keyed(docs, id_col, text_col).select("id", "text")
+    # places are those of an id and a text, so that no list is longer than one document needs
+    own = keyed(docs, id_col, text_col).select(F.struct("id", F.xxhash64("text").alias("of")).alias("id"), "text")
     id_type = own.schema["id"].dataType.simpleString()
     filters: list = []
     for _ in range(2):
@@ -132,7 +134,7 @@ def dedup_substrings(docs: DataFrame, window: int = 20, id_col: str = "doc_id",
         filters.append(spark.sparkContext.broadcast(filter_of(level)))
     spans = materialize(own.mapInArrow(_spans(window, filters), f"h bigint, check int, run bigint, id {id_type}, at bigint, n int"),
                         "substring-spans")
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "at")
+    place = F.struct(F.col("id.id").isNull().alias("no_id"), "id", "at")
     kinds = materialize(spans.groupBy("run", "h", "check").agg(F.min(place).alias("first"), F.count("*").alias("times")),
                         "substring-kinds")
     several = kinds.groupBy("run").count().where("count > 1").select("run")
@@ -148,4 +150,4 @@ def dedup_substrings(docs: DataFrame, window: int = 20, id_col: str = "doc_id",
     lists = later.groupBy(F.col("id").alias("own")).agg(F.collect_list(F.struct("at", "n")).alias("s")).select(
         "own", F.col("s.at").alias("starts"), F.col("s.n").alias("sizes"))
     return (own.join(lists, F.col("id").eqNullSafe(F.col("own")), "left").select("id", "text", "starts", "sizes")
-            .mapInArrow(_remove(window), f"id {id_type}, n_words bigint, n_removed bigint, kept string"))
+            .mapInArrow(_remove(window), f"id {id_type}, n_words bigint, n_removed bigint, kept string").withColumn("id", F.col("id.id")))

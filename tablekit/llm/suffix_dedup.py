@@ -184,11 +184,12 @@ def dedup_bytes(docs: DataFrame, length: int = 400, batches: int = 4, id_col: st
 
     All places of a repeated string lose it, the first one too, also if both are in one document; strings never go over
     the end of a document and are judged on the input. ``kept`` is binary, since a cut may split a character; ``n_spans``
-    counts maximal removed stretches. A null text is empty. Rows with the same id are different documents that share
-    their cuts, so a repeated row loses what its copy loses. Documents are dealt to ``batches`` by a hash of their id.
+    counts maximal removed stretches. A null text is empty. Rows with the same id, or
+    without, are different documents; those with the same text share their cuts, as equal texts do anyway. Documents are dealt to ``batches`` by a hash of their id.
     """
     spark = docs.sparkSession
-    own = keyed(docs, id_col, text_col).select("id", "text")
+    # places are those of an id and a text, so that no list is longer than one document needs
+    own = keyed(docs, id_col, text_col).select(F.struct("id", F.xxhash64("text").alias("of")).alias("id"), "text")
     id_type = own.schema["id"].dataType.simpleString()
     filters: list = []
     for _ in _run_lengths(length):
@@ -217,4 +218,5 @@ def dedup_bytes(docs: DataFrame, length: int = 400, batches: int = 4, id_col: st
     cuts = cuts.groupBy(F.col("id").alias("own")).agg(F.collect_list(F.struct("at", "stop")).alias("s")).select(
         "own", F.col("s.at").alias("starts"), F.col("s.stop").alias("stops"))
     return (own.join(cuts, F.col("id").eqNullSafe(F.col("own")), "left").select("id", "text", "starts", "stops")
-            .mapInArrow(_remove, f"id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"))
+            .mapInArrow(_remove, f"id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+            .withColumn("id", F.col("id.id")))
