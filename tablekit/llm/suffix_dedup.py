@@ -1,9 +1,8 @@
-"""Suffix-array deduplication: a logarithmic family of suffix arrays finds byte strings that start at two places.
+"""Byte strings that start at two places, found by counting hashes of windows.
 
-Only equality of the first ``length`` bytes of suffixes matters, so the arrays are ordered by a 96-bit fingerprint of
-them: equal strings are neighbours in this order as in the alphabetic one. An array is a sorted table in the shared
-folder. Documents come in batches; each batch gets its array, is merge-scanned against the arrays of earlier batches,
-and arrays that stand for equally many batches are merged.
+Only equality of the first ``length`` bytes of suffixes matters, so windows are grouped by a 96-bit hash of them. This
+stands in for a logarithmic family of suffix arrays: no order and no positions are kept, documents are dealt to batches
+inside one call, and nothing stays to which a later batch could be added.
 
 Not every suffix needs an entry. A shorter run stands for each window of ``length`` bytes (``places``), and a window can
 only be repeated where that run is; runs of half, seven eighths and nearly all of the length are counted in turn, and
@@ -154,7 +153,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_suffixes(batches: list[DataFrame]) -> DataFrame:
-    """(h, check) of the strings with more than one entry, by a logarithmic family of suffix arrays.
+    """(h, check) of the strings with more than one entry, counted batch by batch.
 
     Each batch has one row (h, check) per entry. Its array holds each string once, so strings with very many entries are
     added up before they meet. A batch is compared with at most log2(batches) arrays, and an entry is rewritten as often.
