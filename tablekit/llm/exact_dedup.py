@@ -11,6 +11,7 @@ Rows whose digest was met more than once are then compared by their full bytes w
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,12 @@ from tablekit.llm.hot_join import join_groups
 from tablekit.operators.ordered import salted_join
 from tablekit.session import materialize, scratch_path
 
-STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: State on the executors' disks, with snapshots in the checkpoint. Stores may be many and small, so files are not
+#: allocated ahead (some 4 MB a store).
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 #: What one micro-batch reads at most; what a lost driver has to read again.
 BATCH_BYTES = 1 << 38
 
@@ -54,21 +59,29 @@ def ingest(spark: SparkSession, path: str, state_dir: str, id_col: str = "doc_id
     last place. Files that the state has seen are not read again.
     """
     schema = spark.read.parquet(path).schema
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, STORE)
-    try:
+    with _settings(spark, STORE):
         docs = spark.readStream.schema(schema).option("maxBytesPerTrigger", BATCH_BYTES).parquet(_stream_path(path))
         state = _facts(docs, id_col, text_col, digest).groupBy("digest").agg(
             F.max("keep").alias("keep"), F.count(F.lit(1)).alias("size"))
         running = (state.writeStream.format("noop").outputMode("update").trigger(availableNow=True)
                    .option("checkpointLocation", state_dir).start())
         running.awaitTermination()
+        stored = spark.read.format("statestore").load(state_dir)
+        keep, size = stored.schema["value"].dataType.names
+        return materialize(stored.select(F.col("key")["digest"].alias("digest"), F.col("value")[keep].alias("keep"),
+                                         F.col("value")[size].alias("size")), "dedup-groups")
+
+
+@contextmanager
+def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
     finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
-    stored = spark.read.format("statestore").load(state_dir)
-    keep, size = stored.schema["value"].dataType.names
-    return stored.select(F.col("key")["digest"].alias("digest"), F.col("value")[keep].alias("keep"),
-                         F.col("value")[size].alias("size"))
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def _hits(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -101,8 +114,7 @@ def dedup_exact(spark: SparkSession, path: str, state_dir: str | None = None, id
     texts with the same digest, if a digest is weak, are told apart by their bytes. Extra columns are ignored, an empty
     table gives an empty result. ``state_dir`` keeps the state for later calls, in which ``path`` has all files so far.
     """
-    groups = materialize(ingest(spark, path, state_dir or scratch_path(spark, "dedup-state"), id_col, text_col, digest),
-                         "dedup-groups")
+    groups = ingest(spark, path, state_dir or scratch_path(spark, "dedup-state"), id_col, text_col, digest)
     docs = spark.read.parquet(path)
     facts = _facts(docs, id_col, text_col, digest)
     texts = _facts(docs, id_col, text_col, digest, F.coalesce(docs[text_col], F.lit("")).alias("text"))

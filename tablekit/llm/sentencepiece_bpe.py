@@ -32,24 +32,38 @@ Tokens = tuple[tuple[int, ...], str]
 
 
 class _Memo(dict):
-    """Results by key, computed when missing; emptied when it holds ``limit`` of them."""
+    """Results by key, computed when missing, in about ``limit`` bytes.
+
+    Two generations: when the newer one has its half of the bytes, the older one goes. A key that is asked for comes back
+    into the newer one, so the frequent ones stay.
+    """
 
     def __init__(self, compute: Callable[[str], Tokens], limit: int):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.half, self.held, self.older = compute, limit // 2, 0, {}
 
     def __missing__(self, key: str) -> Tokens:
-        found = self.compute(key)
-        if len(self) >= self.limit:
+        found = self.older.pop(key, None)
+        if found is None:
+            found = self.compute(key)
+        self.held += _ENTRY_BYTES + 2 * len(key) + 8 * len(found[0]) + len(found[1])
+        if self.held > self.half:
+            self.older, self.held = dict(self), 0
             self.clear()
         self[key] = found
         return found
 
 
+#: Bytes of a remembered result beside its characters and ids: two texts, two tuples, a place in the table.
+_ENTRY_BYTES = 320
+#: Bytes of the tables of words and of segments inside words, for each pair of tokens that may be remembered.
+_WORD_SHARE, _SEGMENT_SHARE = 1024, 200
+
+
 class BpeCodec:
     """Encoder and decoder for one merge-type model with identity normalisation, dummy prefix and byte fallback."""
 
-    def __init__(self, model_file: str, max_cached: int = 600_000):
+    def __init__(self, model_file: str, max_cached: int = 160_000):
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_file)
         sp = self.library
         special = (sp.is_byte, sp.is_control, sp.is_unknown, sp.is_unused)
@@ -65,8 +79,8 @@ class BpeCodec:
         for piece in self.reached:
             self.matcher.add_word(piece, piece)
         self.matcher.make_automaton()
-        self.segments = _Memo(self.tokens, max_cached)
-        self.words = _Memo(lambda word: self.marked(SPACE + word), max_cached)
+        self.segments = _Memo(self.tokens, max_cached * _SEGMENT_SHARE)
+        self.words = _Memo(self.word, max_cached * _WORD_SHARE)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.shorter: dict[str, str] = {}
 
@@ -141,6 +155,11 @@ class BpeCodec:
             ids.extend([own] if own is not None else [self.bytes[b] for b in piece.encode()])
         return tuple(ids), ",".join(map(str, ids))
 
+    def word(self, word: str) -> Tokens:
+        """Tokens of a word after a space; one that is a single segment is not remembered twice."""
+        found = _SEGMENT.findall(SPACE + word)
+        return self.tokens(found[0]) if len(found) == 1 else self.marked(SPACE + word)
+
     def marked(self, text: str) -> Tokens:
         """Tokens of a text whose spaces are marks already."""
         found = list(map(self.segments.__getitem__, _SEGMENT.findall(text)))
