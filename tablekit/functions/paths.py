@@ -45,6 +45,12 @@ def plain_path(c: Column | str) -> Column:
     return F.when(body == "", F.lit("")).otherwise(F.concat(F.lit("/"), body))
 
 
+def local_path(c: Column | str) -> Column:
+    """A location spelled one way: no ``file:``, one slash after other schemes without an authority, none at the end."""
+    spelled = F.regexp_replace(col(c), r"^([A-Za-z][A-Za-z0-9+.-]*):/(?=//|[^/]|$)(//)?", "$1:/")
+    return drop_trailing_slash(F.regexp_replace(spelled, r"^file:(?=/)", ""))
+
+
 def location_parts(c: Column | str) -> Column:
     """struct(scheme, authority, path) of a location; scheme in lower case."""
     pattern = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/]*))?(.*)$"

@@ -87,22 +87,59 @@ def resolve_cap(tables: DataFrame, lanes: int, backstop_seconds: float, cost: st
         "total_cost", metrics.batch_cap(F.coalesce("total_cost", F.lit(0.0)), lanes, backstop_seconds).alias("cap"))
 
 
+#: Tables that one task packs; a database with more is packed by several.
+SHARD_TABLES = 50_000
+
+
 def pack_batches(tables: DataFrame, cap: float, max_tables: int = 25, group: str = "db", name: str = "tbl",
-                 cost: str = "cost", shards: int = 1) -> DataFrame:
+                 cost: str = "cost", shard_tables: int = SHARD_TABLES) -> DataFrame:
     """Add ``batch`` (text id), ``batch_cost`` and ``batch_rank`` (0 = most expensive).
 
-    First-fit-decreasing within each of a database's ``shards``, cut by a hash of the table name; a task takes one
-    shard, a row of name and cost per table. A shard can leave one more part-filled batch. A table above the cap gets
-    its own batch; none is dropped.
+    First-fit-decreasing within each of a database's shards of about ``shard_tables`` tables, cut by a hash of the table
+    name; a task takes a shard at a time, a row of name and cost per table. The batches that shards leave half empty, one
+    a shard at most, are then packed once more. A table above the cap gets its own batch; none is dropped.
     """
-    sharded = tables.select(
-        F.col(group).cast("string").alias(group), F.col(name).cast("string").alias(name),
-        F.col(cost).cast("double").alias(cost),
-        F.pmod(F.xxhash64(F.col(name).cast("string")), F.lit(shards)).alias("_shard"))
-
+    slim = tables.select(F.col(group).cast("string").alias(group), F.col(name).cast("string").alias(name),
+                         F.col(cost).cast("double").alias(cost), F.lit(1).cast("bigint").alias("_tables"))
+    sizes = slim.groupBy(group).agg(F.ceil(F.count("*") / F.lit(shard_tables)).alias("_shards"))
+    sharded = ordered.salted_join(slim, sizes, [group]).withColumn(
+        "_shard", F.pmod(F.xxhash64(F.col(name)), "_shards")).drop("_shards")
+    batch = F.concat_ws("/", group, F.col("_shard").cast("string"), F.col("_bin").cast("string"))
+    packed = _packed(sharded, cap, max_tables, group, name, cost).select(group, name, cost, "_shard", batch.alias("batch"))
+    members = materialize(packed, "pack-out")
+    batches = members.groupBy(group, "_shard", "batch").agg(
+        F.sum(cost).alias("batch_cost"), F.count(F.lit(1)).alias("batch_tables"))
+    batches = materialize(batches, "pack-batches")
+    merged = materialize(_merged(batches, cap, max_tables, group), "pack-merged")
+    several = batches.join(merged, "batch", "left").withColumn("_to", F.coalesce("_to", "batch"))
+    final = several.groupBy("_to").agg(F.sum("batch_cost").alias("batch_cost"), F.sum("batch_tables").alias("batch_tables"))
+    ranked = rank_batches(final.withColumnRenamed("_to", "batch"), cap)
+    members = members.join(merged, "batch", "left").withColumn("batch", F.coalesce("_to", "batch")).drop("_to", "_shard")
+    return members.join(ranked, "batch")
+
+
+def _merged(batches: DataFrame, cap: float, max_tables: int, group: str) -> DataFrame:
+    """(batch, _to): batches at most half full in cost and number go together, under the first one's name.
+
+    First fit opens a batch only if no open one has room, so a shard has one such batch at most.
+    """
+    half = batches.where((F.col("batch_cost") <= cap / 2) & (F.col("batch_tables") <= max_tables / 2))
+    shards = half.groupBy(group).agg(F.count("*").alias("_n")).where("_n > 1").select(group)
+    loose = half.join(shards, group).select(
+        group, F.col("batch").alias("_item"), F.col("batch_cost").alias("_cost"), F.col("batch_tables").alias("_tables"),
+        F.lit(0).cast("bigint").alias("_shard"))
+    placed = _packed(loose, cap, max_tables, group, "_item", "_cost")
+    heads = placed.groupBy(group, "_bin").agg(F.min("_item").alias("_to"))
+    return placed.join(heads, [group, "_bin"]).select(F.col("_item").alias("batch"), "_to")
+
+
+def _packed(sharded: DataFrame, cap: float, max_tables: int, group: str, name: str, cost: str) -> DataFrame:
+    """(group, name, cost, _shard, _bin) of rows with ``_shard`` and ``_tables``, each shard packed by one task."""
     def bins_of(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-        costs, ends = pdf[cost].to_numpy(dtype=float), [*starts[1:], len(pdf)]
-        return pdf.assign(_bin=np.concatenate([first_fit(costs[i:j], cap, max_tables) for i, j in zip(starts, ends)]))
+        costs, counts = pdf[cost].to_numpy(dtype=float), pdf["_tables"].to_numpy()
+        pieces = [slice(i, j) for i, j in zip(starts, [*starts[1:], len(pdf)])]
+        return pdf.assign(_bin=np.concatenate([first_fit(costs[p], cap, max_tables, counts[p]) for p in pieces])).drop(
+            columns="_tables")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         open_shard = None  # the last shard of a batch may go on in the next one
@@ -121,31 +158,51 @@ def pack_batches(tables: DataFrame, cap: float, max_tables: int = 25, group: str
 
     # Whole shards meet in one task each, sorted by Spark; a task keeps one shard at a time.
     ready = sharded.repartition(group, "_shard").sortWithinPartitions(group, "_shard", F.col(cost).desc(), name)
-    placed = ready.mapInPandas(
+    return ready.select(group, name, cost, "_shard", "_tables").mapInPandas(
         pack, f"`{group}` string, `{name}` string, `{cost}` double, _shard bigint, _bin bigint")
-    batch = F.concat_ws("/", group, F.col("_shard").cast("string"), F.col("_bin").cast("string"))
-    members = materialize(placed.select(group, name, cost, batch.alias("batch")), "pack-out")
-    batches = members.groupBy("batch").agg(F.sum(cost).alias("batch_cost"), F.count(F.lit(1)).alias("batch_tables"))
-    return members.join(rank_batches(batches, cap), "batch")
-
-
-def first_fit(costs: np.ndarray, cap: float, max_items: int) -> np.ndarray:
-    """Bin number per item, items in the order given: the first bin with room, else a new one."""
-    room = np.empty(len(costs))
-    free = np.empty(len(costs), dtype=np.int64)
-    used, bins = 0, np.empty(len(costs), dtype=np.int64)
-    for i, need in enumerate(costs):
-        fits = (room[:used] >= need) & (free[:used] > 0)
-        j = int(fits.argmax()) if used and fits.any() else used
-        if j == used:
-            room[j], free[j] = cap, max_items
-            used += 1
+
+
+def first_fit(costs: np.ndarray, cap: float, max_items: int, counts: np.ndarray | None = None) -> np.ndarray:
+    """Bin number per item, items in the order given: the first bin with room, else a new one.
+
+    A tree over the bins holds the most room below each node, so an item finds its bin in the logarithm of their number.
+    Bins that are not open yet have all their room. An item may stand for several (``counts``).
+    """
+    size = 1 << max(len(costs) - 1, 0).bit_length()
+    most, room = [cap] * (2 * size), [cap] * size
+    free, used = [max_items] * size, 0
+    bins = np.empty(len(costs), dtype=np.int64)
+    numbers = [1] * len(costs) if counts is None else counts.tolist()
+    same = counts is None or bool((counts == 1).all())
+    for i, (need, number) in enumerate(zip(costs.tolist(), numbers)):
+        j = _first_with_room(most, size, need)
+        while not same and j < used and free[j] < number:  # room for the cost, but not for so many
+            j = _next_with_room(room, j + 1, used, need)
+        if need > cap:
+            j = used  # a batch of its own
+        used = max(used, j + 1)
         room[j] -= need
-        free[j] -= 1
+        free[j] -= number
         bins[i] = j
+        node = size + j
+        most[node] = room[j] if free[j] > 0 else -np.inf
+        while node > 1:
+            node //= 2
+            most[node] = max(most[2 * node], most[2 * node + 1])
     return bins
 
 
+def _first_with_room(most: list[float], size: int, need: float) -> int:
+    node = 1
+    while node < size:
+        node = 2 * node if most[2 * node] >= need else 2 * node + 1
+    return node - size
+
+
+def _next_with_room(room: list[float], start: int, used: int, need: float) -> int:
+    return next((j for j in range(start, used) if room[j] >= need), used)
+
+
 def rank_batches(batches: DataFrame, cap: float, steps: int = 4096) -> DataFrame:
     """Number batches from the most expensive, ties in an arbitrary but fixed order.
 

@@ -5,20 +5,20 @@ Statements run once per table on the driver, as catalogs take them; rows are onl
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.paths import col, drop_trailing_slash, object_store_uri, sibling_target
 from ..functions.types import hive_type_to_ddl
-from ..session import materialize
+from ..session import concurrently, materialize
 from ..sources.catalog import table_location
 from ..sources.datasets import FIELD_DELIMITER, NULL_MARKER, read_parquet_tree, text_partition_keys
 from . import partitions as parts
 from . import schemas
+from .journal import Journal
 
 # Name endings of the staging copy and the kept original during a swap.
 STAGING_ENDING = "__ice_staging"
@@ -191,48 +191,10 @@ def table_specs(columns: DataFrame, tables: DataFrame) -> DataFrame:
 
 
 def register_external(spark: SparkSession, specs: DataFrame, recreate: bool = False) -> DataFrame:
-    """Create or repair the external tables of ``table_specs``; one result row per table.
+    """``registering.register_tables`` with the partitions that are on storage."""
+    from .registering import register_tables
 
-    Without columns the schema is inferred from the files. A table that lies elsewhere is refused.
-    """
-    results = []
-    for row in specs.collect():  # one row per table to register
-        name = quoted(row["db"], row["tbl"])
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(row['db'])}")
-        try:
-            action, reason = _register_one(spark, row, name, recreate)
-            results.append((row["db"], row["tbl"], "FAILED" if action == "REFUSE" else "COMPLETED", action, reason))
-        except AnalysisException as err:
-            results.append((row["db"], row["tbl"], "FAILED", "ERROR", str(err)))
-    return spark.createDataFrame(results, "db string, tbl string, status string, action string, error string")
-
-
-def _register_one(spark: SparkSession, row, name: str, recreate: bool) -> tuple[str, str | None]:
-    exists = spark.catalog.tableExists(name)
-    here = table_location(spark, name) if exists else None
-    asked = spark.createDataFrame([(exists, recreate, None, _plain(here), _plain(row["location"]))],
-                                  "e boolean, r boolean, f string, l string, c string")
-    action, reason = asked.select(creation_decision("e", "r", "f", "l", "c").alias("d")).select("d.*").first()
-    if action == "REFUSE":
-        return action, reason
-    if action == "REPAIR":
-        if _is_partitioned(spark, name):
-            sync_partitions(spark, name)
-        spark.sql(f"REFRESH TABLE {name}")
-        return action, None
-    columns = [(c["name"], c["type"]) for c in row["columns"] or []]
-    keys = [(c["name"], c["type"]) for c in row["partition_columns"] or []]
-    if not columns:
-        with text_partition_keys(spark):
-            found = spark.read.format(row["format"].lower()).load(row["location"]).schema.fields
-        named = {k for k, _ in keys}
-        columns = [(f.name, f.dataType.simpleString()) for f in found if f.name not in named]
-    if exists:
-        spark.sql(f"DROP TABLE {name}")  # external: the data stays
-    spark.sql(external_ddl(row["db"], row["tbl"], columns, keys, row["location"], row["format"]))
-    if keys:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-    return action, None
+    return register_tables(spark, specs, recreate)
 
 
 def _plain(location: str | None) -> str:
@@ -240,10 +202,6 @@ def _plain(location: str | None) -> str:
     return "/" + text[len("file:"):].lstrip("/") if text.startswith("file:") else text
 
 
-def _is_partitioned(spark: SparkSession, name: str) -> bool:
-    return any(c.isPartition for c in spark.catalog.listColumns(name))
-
-
 def sync_partitions(spark: SparkSession, name: str) -> None:
     """Register new partition directories and drop registered ones that are gone."""
     spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
@@ -364,48 +322,141 @@ def repair_swap(spark: SparkSession, db: str, tbl: str, expected_location: str |
     return state
 
 
+CONVERTED_DDL = ("db string, tbl string, status string, source_rows bigint, dest_rows bigint, same_content boolean, "
+                 "schema_match boolean, state string, code string")
+
+
 def convert_in_place(spark: SparkSession, db: str, tbl: str, fmt: str = "parquet",
-                     partition_by: list[str] | None = None, keep_backup: bool = True) -> DataFrame:
+                     partition_by: list[str] | None = None, keep_backup: bool = True, journals: str | None = None,
+                     on_step: Callable[[str], None] | None = None) -> DataFrame:
     """Copy a table to a new format under its own name; the original stays as a backup.
 
     The copy is checked twice while the original is still live: the files against the source, then the rows that the
     staging table really gives. Names are swapped only when both agree, so a bad copy changes nothing.
+
+    Every step is noted in a journal under ``journals`` (shared storage). It is read before anything is copied, so a run
+    after an interrupted one goes on with a checked staging table, completes or takes back half a swap, or refuses.
+    ``state`` says what was found, ``code`` why nothing was converted. ``on_step`` is called after each step.
     """
-    partition_by = list(partition_by or [])
-    live, staging = quoted(db, tbl), quoted(db, tbl + STAGING_ENDING)
-    backup = quoted(db, tbl + BACKUP_ENDING)
-    source = spark.table(live)
-    place = sibling_path(spark, table_location(spark, live))
-    verdict = convert_verified(spark, source, place, fmt, partition_by)
-    summary = verdict.agg(
-        F.sum("source_rows").alias("source_rows"), F.sum("dest_rows").alias("dest_rows"),
-        F.coalesce(F.bool_and("same_content"), F.lit(True)).alias("same_content"),
-        F.coalesce(F.bool_and("schema_match"), F.lit(True)).alias("schema_match")).first()
-    same, dest_rows = summary["same_content"], summary["dest_rows"]
-    passed = same and summary["schema_match"]
-    if passed:
+    run = _Conversion(spark, db, tbl, fmt, list(partition_by or []), journals, on_step or (lambda step: None))
+    status, code = run.begin()
+    if status is None:
+        run.resume() if run.state == "RESUMED" else run.convert()
+        status = "COMPLETED" if run.passed else "FAILED"
+    if status == "COMPLETED":
+        run.finish(keep_backup)
+    return spark.createDataFrame([(db, tbl, status, run.source_rows, run.dest_rows, run.same, run.schema_match, run.state, code)],
+                                 CONVERTED_DDL)
+
+
+class _Conversion:
+    """One run of ``convert_in_place``."""
+
+    def __init__(self, spark, db, tbl, fmt, keys, journals, on_step):
+        self.spark, self.db, self.tbl, self.fmt, self.keys, self.on_step = spark, db, tbl, fmt, keys, on_step
+        self.live, self.staging, self.backup = (quoted(db, tbl + e) for e in ("", STAGING_ENDING, BACKUP_ENDING))
+        self.journal = Journal(spark, db, tbl, journals)
+        self.state, self.place = None, None
+        self.source_rows = self.dest_rows = self.same = self.schema_match = None
+
+    @property
+    def passed(self) -> bool:
+        return bool(self.same and self.schema_match)
+
+    def _lies_at(self, name: str, place: str | None) -> bool:
+        return bool(place) and _plain(table_location(self.spark, name)) == _plain(place)
+
+    def begin(self) -> tuple[str | None, str | None]:
+        """Put an interrupted swap right; (status, code) if there is nothing to convert, else (None, None)."""
+        spark, start, staged = self.spark, self.journal.knows("START"), self.journal.knows("STAGED")
+        there = {n: spark.catalog.tableExists(n) for n in (self.live, self.staging, self.backup)}
+        wanted = bool(start) and (start["format"], start["keys"]) == (self.fmt, ",".join(self.keys))
+        checked = wanted and staged is not None
+        done = checked and there[self.live] and self._lies_at(self.live, start["place"])
+        ours = bool(start) and there[self.backup] and self._lies_at(self.backup, start["source"])
+        ready = checked and there[self.staging] and self._lies_at(self.staging, start["place"])
+        view = there[self.live] and spark.catalog.getTable(self.live).tableType == "VIEW"
+        facts = spark.createDataFrame(
+            [(there[self.live], there[self.backup], there[self.staging], done, ours, "VIEW" if view else "TEXT")],
+            "live boolean, backup boolean, staging boolean, done boolean, ours boolean, kind string")
+        # a copy under another name that takes the table's place is what the decision calls the text path
+        found = facts.withColumn("state", swap_state("live", "backup", "staging", "done", "ours")).select(
+            "state", conversion_decision("kind", F.lit("EXTERNAL"), F.lit(True), "state").alias("d")).first()
+        self.state, (path, code, status) = found["state"], found["d"]
+        if self.state == "ROLLED_BACK" and ready:
+            spark.sql(f"ALTER TABLE {self.staging} RENAME TO {self.live}")
+            self.state, path, status = "ROLLED_FORWARD", "DONE", "COMPLETED"
+        elif self.state == "ROLLED_BACK":
+            spark.sql(f"ALTER TABLE {self.backup} RENAME TO {self.live}")
+        elif self.state == "STAGING_CLEARED" and ready and self._unchanged(staged):
+            self.state = "RESUMED"
+        if self.state in ("ROLLED_BACK", "STAGING_CLEARED", "BACKUP_CONFLICT", "ALREADY_MIGRATED"):
+            spark.sql(f"DROP TABLE IF EXISTS {self.staging}")
+        if path == "DONE":
+            self.source_rows = self.dest_rows = staged["row_count"]
+            self.same = self.schema_match = True
+        return status, code
+
+    def _unchanged(self, staged) -> bool:
+        """Whether the source still holds what the staging table was checked against."""
+        return _content(self.spark.table(self.live)) == (staged["row_count"], staged["checksum"])
+
+    def convert(self) -> None:
+        spark, source = self.spark, self.spark.table(self.live)
+        origin = table_location(spark, self.live)
+        self.place = sibling_path(spark, origin)
+        if any(n["place"] == self.place for n in self.journal.notes):
+            _delete(spark, self.place)  # what an interrupted run left; no table lies there any more
+        self._step("START", source=origin, place=self.place, format=self.fmt, keys=",".join(self.keys))
+        checks = convert_verified(spark, source, self.place, self.fmt, self.keys).agg(
+            F.sum("source_rows").alias("source_rows"), F.sum("dest_rows").alias("dest_rows"),
+            F.coalesce(F.bool_and("same_content"), F.lit(True)).alias("same_content"),
+            F.coalesce(F.bool_and("schema_match"), F.lit(True)).alias("schema_match")).first()
+        self.source_rows, self.dest_rows, self.same, self.schema_match = checks
+        if not self.passed:
+            return
+        self._step("COPIED", row_count=self.source_rows)
         typed = {f.name: f.dataType.simpleString() for f in source.schema.fields}
-        # directories lie in the order of partition_by, whatever the order of the columns
-        spark.sql(external_ddl(db, tbl + STAGING_ENDING, [c for c in typed.items() if c[0] not in partition_by],
-                               [(k, typed[k]) for k in partition_by], place, fmt))
-        if partition_by:
-            spark.sql(f"ALTER TABLE {staging} RECOVER PARTITIONS")
-        through = compare_contents(source.withColumn("_all", F.lit(1)),
-                                   spark.table(staging).withColumn("_all", F.lit(1)), ["_all"]).first()
-        dest_rows = through["dest_rows"] if through else 0
-        same = through["same_content"] if through else True  # no row on either side
-        passed = same
-        if passed:
-            spark.sql(f"ALTER TABLE {live} RENAME TO {backup}")
-            spark.sql(f"ALTER TABLE {staging} RENAME TO {live}")
-            if not keep_backup:
-                spark.sql(f"DROP TABLE IF EXISTS {backup}")
-        else:
-            spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    return spark.createDataFrame(
-        [(db, tbl, "COMPLETED" if passed else "FAILED", summary["source_rows"], dest_rows, same, summary["schema_match"])],
-        "db string, tbl string, status string, source_rows bigint, dest_rows bigint, same_content boolean, "
-        "schema_match boolean")
+        # directories lie in the order of the keys, whatever the order of the columns
+        spark.sql(external_ddl(self.db, self.tbl + STAGING_ENDING, [c for c in typed.items() if c[0] not in self.keys],
+                               [(k, typed[k]) for k in self.keys], self.place, self.fmt))
+        if self.keys:
+            spark.sql(f"ALTER TABLE {self.staging} RECOVER PARTITIONS")
+        before, through = _content(source), _content(spark.table(self.staging))
+        self.source_rows, self.dest_rows, self.same = before[0], through[0], before == through
+        if not self.passed:
+            spark.sql(f"DROP TABLE IF EXISTS {self.staging}")
+            return
+        self._step("STAGED", row_count=before[0], checksum=before[1])
+        self._swap()
+
+    def resume(self) -> None:
+        """Go on with a staging table that an earlier run has checked."""
+        staged = self.journal.knows("STAGED")
+        self.source_rows = self.dest_rows = staged["row_count"]
+        self.same = self.schema_match = True
+        self._swap()
+
+    def _swap(self) -> None:
+        self.spark.sql(f"ALTER TABLE {self.live} RENAME TO {self.backup}")
+        self.on_step("BACKED_UP")  # the catalog itself tells that the names were moved
+        self.spark.sql(f"ALTER TABLE {self.staging} RENAME TO {self.live}")
+        self.on_step("SWAPPED")
+
+    def finish(self, keep_backup: bool) -> None:
+        if not keep_backup:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.backup}")
+        if self.journal.knows("DONE") is None:
+            self._step("DONE", row_count=self.source_rows)
+
+    def _step(self, step: str, **facts) -> None:
+        self.journal.note(step, **facts)
+        self.on_step(step)
+
+
+def _content(df: DataFrame) -> tuple:
+    """(rows, checksum) of a table, its columns by name."""
+    return tuple(fingerprint(df).first())
 
 
 def sibling_path(spark: SparkSession, location: str) -> str:
@@ -414,27 +465,34 @@ def sibling_path(spark: SparkSession, location: str) -> str:
     return row["p"] or location.rstrip("/") + STAGING_ENDING
 
 
-def cleanup_tables(spark: SparkSession, names: list[str], is_converted, dry_run: bool = True) -> DataFrame:
-    """Drop the catalog entries of converted tables, data kept; a dry run only says what would happen."""
-    rows = []
-    for name in names:
-        exists = spark.catalog.tableExists(name)
-        rows.append((name, exists, bool(exists and is_converted(name)), table_location(spark, name) if exists else None))
-    plan = spark.createDataFrame(rows, "name string, found boolean, converted boolean, location string")
+def cleanup_tables(spark: SparkSession, names: list[str], is_converted, dry_run: bool = True, width: int = 8) -> DataFrame:
+    """Drop the catalog entries of converted tables, data kept; a dry run only says what would happen.
+
+    Looking up and dropping go on ``width`` names at a time; a table that cannot be dropped does not stop the others.
+    """
+    def look(session: SparkSession, name: str) -> tuple:
+        exists = session.catalog.tableExists(name)
+        return name, exists, bool(exists and is_converted(name)), table_location(session, name) if exists else None
+
+    plan = spark.createDataFrame(list(concurrently(spark, names, look, width)),
+                                 "name string, found boolean, converted boolean, location string")
     plan = plan.select("name", "location", cleanup_decision("found", "converted", dry_run).alias("status"))
     if dry_run:
         return plan
-    done = []
-    for row in plan.collect():  # one row per named table
+
+    def drop(session: SparkSession, row) -> tuple:
         status, error = row["status"], None
         if status == "CLEANED":
             try:
-                spark.sql(f"DROP TABLE IF EXISTS {row['name']}")
-                _delete(spark, row["location"].rstrip("/") + "/metadata")
+                session.sql(f"DROP TABLE IF EXISTS {row['name']}")
+                if row["location"]:
+                    _delete(session, row["location"].rstrip("/") + "/metadata")
             except Exception as err:  # noqa: BLE001 - one bad table must not stop the others
                 status, error = "FAILED", str(err)
-        done.append((row["name"], row["location"], status, error))
-    return spark.createDataFrame(done, "name string, location string, status string, error string")
+        return row["name"], row["location"], status, error
+
+    return spark.createDataFrame(list(concurrently(spark, plan.toLocalIterator(), drop, width)),
+                                 "name string, location string, status string, error string")
 
 
 def _delete(spark: SparkSession, folder: str) -> bool:

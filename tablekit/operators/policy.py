@@ -342,6 +342,9 @@ def spread_ids(objects: DataFrame, applied: DataFrame) -> DataFrame:
     policy_id and principal (one row per group or user). Policies fill by name (companions too),
     groups and mappings by principal, roles from their mappings, role groups from roles, and directory
     groups from group mappings. An object that already has both values keeps them.
+
+    A principal's policies are a list with a name; equal lists share one. The chain hands on names of lists only, and
+    the policies behind them are put in at the end, once per object.
     """
     named = applied.where(
         (F.trim(F.coalesce("policy_name", F.lit(""))) != "") & (F.trim(F.coalesce("policy_id", F.lit(""))) != ""))
@@ -350,28 +353,80 @@ def spread_ids(objects: DataFrame, applied: DataFrame) -> DataFrame:
         policies.select(F.concat("policy_name", F.lit(ROWFILTER_ENDING)).alias("_name"), "policy_name", "policy_id"))
     by_person = named.where(F.trim(F.coalesce("principal", F.lit(""))) != "").select(
         F.col("principal").alias("_name"), "policy_name", "policy_id").distinct()
+    lists, members = _interned(by_person)
 
     def of(*types: str) -> DataFrame:
         return objects.where(F.col("object_type").isin(*types))
 
-    def names_from(filled: DataFrame, name: Column) -> DataFrame:
-        known = filled.where(F.coalesce("policy_name", F.lit("")) != "")
-        return known.select(name.alias("_name"), "policy_name", "policy_id").where(F.col("_name") != "").distinct()
-
     object_name = F.col("object_name")
-    mappings = materialize(_assign(of("mapping"), by_person, mapping_principal("object_name")), "mappings")
-    by_role = names_from(mappings, mapping_role("object_name"))
-    roles = materialize(_assign(of("role"), by_role, object_name), "roles")
-    role_groups = _assign(of("ranger_group"), by_person, object_name)
-    role_groups = _assign(role_groups, names_from(roles, object_name), object_name)
-    directory = _assign(of("keycloak_group"), by_person, object_name)
-    directory = _assign(directory, names_from(mappings, mapping_principal("object_name", "group")), object_name)
-    steps = [_assign(of("policy"), by_policy, object_name), mappings, roles, role_groups, directory]
+    policy_rows = _assign(of("policy"), by_policy, object_name)
+    mappings = materialize(_give_lists(of("mapping"), lists, mapping_principal("object_name"), one_each=True), "mappings")
+    roles = materialize(_give_lists(of("role"), _lists_by(mappings, mapping_role("object_name")), object_name), "roles")
+    role_groups = _give_lists(of("ranger_group"), lists, object_name, one_each=True)
+    role_groups = _give_lists(role_groups, _lists_by(roles, object_name), object_name)
+    directory = _give_lists(of("keycloak_group"), lists, object_name, one_each=True)
+    directory = _give_lists(directory, _lists_by(mappings, mapping_principal("object_name", "group")), object_name)
+    chained = mappings.unionByName(roles).unionByName(role_groups).unionByName(directory)
+    chained = materialize(chained.distinct(), "object-lists")
     rest = objects.where(~F.col("object_type").isin("policy", "mapping", "role", "ranger_group", "keycloak_group"))
-    out = rest.select("object_type", "object_name", "policy_name", "policy_id")
-    for step in steps:
-        out = out.unionByName(step)
-    return out
+    columns = ["object_type", "object_name", "policy_name", "policy_id"]
+    known = chained.where("_list is not null").select("object_type", "object_name", "_list")
+    listed = ordered.salted_join(known, members, ["_list"]).select(*columns)
+    own = chained.where("_list is null").select(*columns, "_own_name", "_own_id")
+    own = own.select("object_type", "object_name", F.coalesce("_own_name", "policy_name").alias("policy_name"),
+                     F.coalesce("_own_id", "policy_id").alias("policy_id"))
+    return rest.select(*columns).unionByName(policy_rows).unionByName(listed.unionByName(own).distinct())
+
+
+def _interned(by_person: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((_name, _list) of every principal, (_list, policy_name, policy_id)): equal policy lists share one name.
+
+    Lists are compared by their count and two sums of hashes, 128 bits, added up before the shuffle; a list is named
+    after its smallest principal, and only that one's policies are kept.
+    """
+    def total(*columns) -> Column:
+        return F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+
+    marks = by_person.groupBy("_name").agg(
+        F.count("*").alias("_n"), total("policy_name", "policy_id").alias("_a"),
+        total(F.lit("list"), "policy_id", "policy_name").alias("_b"))
+    marks = materialize(marks, "list-marks")
+    heads = marks.groupBy("_n", "_a", "_b").agg(F.min("_name").alias("_list"))
+    lists = materialize(marks.join(heads, ["_n", "_a", "_b"]).select("_name", "_list"), "list-names")
+    first = lists.where("_name = _list")
+    members = ordered.salted_join(by_person, first, ["_name"]).select("_list", "policy_name", "policy_id")
+    return lists, materialize(members, "list-members")
+
+
+def _give_lists(objects: DataFrame, names: DataFrame, key: Column, one_each: bool = False) -> DataFrame:
+    """Objects with a blank name or id and no list get those under their key.
+
+    ``names`` has _name and _list, or, for what an object had of its own, _own_name and _own_id. Where a name has one
+    list (``one_each``), a principal with very many objects is split.
+    """
+    for c in ("_list", "_own_name", "_own_id"):
+        if c not in objects.columns:
+            objects = objects.withColumn(c, F.lit(None).cast("string"))
+        if c not in names.columns:
+            names = names.withColumn(c, F.lit(None).cast("string"))
+    blank = (F.coalesce("policy_id", F.lit("")) == "") | (F.coalesce("policy_name", F.lit("")) == "")
+    open_row = blank & F.col("_list").isNull() & F.col("_own_name").isNull()
+    given = names.select("_name", F.col("_list").alias("_l"), F.col("_own_name").alias("_on"), F.col("_own_id").alias("_oi"))
+    asking = objects.withColumn("_name", F.when(open_row, key))
+    met = ordered.salted_join(asking, given, ["_name"], "left") if one_each else asking.join(given, "_name", "left")
+    return met.select("object_type", "object_name", "policy_name", "policy_id", F.coalesce("_list", "_l").alias("_list"),
+                      F.coalesce("_own_name", "_on").alias("_own_name"), F.coalesce("_own_id", "_oi").alias("_own_id"))
+
+
+def _lists_by(filled: DataFrame, name: Column) -> DataFrame:
+    """Lists of filled objects, and the values that objects had themselves, under a name taken from them."""
+    had = F.col("_list").isNull()
+    rows = filled.select(
+        name.alias("_name"), "_list",
+        F.when(had, F.coalesce("_own_name", "policy_name")).alias("_own_name"),
+        F.when(had, F.coalesce("_own_id", "policy_id")).alias("_own_id"))
+    known = F.col("_list").isNotNull() | (F.coalesce("_own_name", F.lit("")) != "")
+    return rows.where(known & (F.col("_name") != "")).distinct()
 
 
 def _assign(objects: DataFrame, names: DataFrame, key: Column) -> DataFrame:

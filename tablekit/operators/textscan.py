@@ -10,9 +10,11 @@ import ast
 import json
 import re
 import warnings
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -142,6 +144,86 @@ def scan_lines(lines: DataFrame, rules: list[Rule], path: str = "path") -> DataF
         strip("line").alias("excerpt"), F.lit(1).alias("pass"))
 
 
+def scan_by_literals(lines: DataFrame, rules: list[Rule], path: str = "path") -> DataFrame:
+    """The issues of ``scan_lines`` for rule sets of any size.
+
+    One automaton over the literals that the rules' matches must contain says which rules a line can match at all, and
+    only those patterns are tried. Its cost is that of reading the line once, whatever the number of rules. Rules
+    without such a literal are tried on every line.
+    """
+    rules = [r for r in check_rules(rules) if not r.multiline]
+    free = [r for r in rules if not required_literal(r)]
+    held = [r for r in rules if required_literal(r)]
+    found = scan_lines(lines, free, path)
+    if not held:
+        return found
+    has_code = "is_code" in lines.columns
+    slim = lines.select(F.col(path).alias("path"), "line_no", "line",
+                        (F.coalesce("is_code", F.lit(True)) if has_code else F.lit(True)).alias("is_code"))
+    candidates = slim.mapInArrow(_candidates([required_literal(r) for r in held]),
+                                 "path string, line_no int, line string, is_code boolean, rule int")
+    rows = [(i, r.rule_id, r.java(), list(r.endings), r.code_only) for i, r in enumerate(held)]
+    table = lines.sparkSession.createDataFrame(
+        rows, "rule int, rule_id string, pattern string, endings array<string>, code_only boolean")
+    tried = candidates.join(F.broadcast(table), "rule").where(  # as many rows as the driver holds rules
+        F.exists("endings", lambda e: F.endswith(F.col("path"), e)) & (~F.col("code_only") | F.col("is_code"))
+        & F.rlike("line", F.col("pattern")))
+    return found.unionByName(tried.select("path", "rule_id", "line_no", strip("line").alias("excerpt"), F.lit(1).alias("pass")))
+
+
+def _candidates(literals: list[str]):
+    """Rows (path, line_no, line, is_code, rule) for each line and each rule whose literal it has, letter case aside."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        by_text: dict[str, list[int]] = {}
+        for i, text in enumerate(literals):
+            by_text.setdefault(text, []).append(i)
+        automaton = ahocorasick.Automaton()
+        for text, owners in by_text.items():
+            automaton.add_word(text, owners)
+        automaton.make_automaton()
+        for batch in batches:
+            at, rule = [], []
+            for i, line in enumerate(batch.column("line").to_pylist()):
+                hit = {o for _, owners in automaton.iter(_lower(line)) for o in owners} if line else ()
+                at += [i] * len(hit)
+                rule += sorted(hit)
+            taken = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(rule, pa.int32())],
+                                             names=["path", "line_no", "line", "is_code", "rule"])
+
+    return find
+
+
+def _lower(text: str) -> str:
+    """ASCII letters in lower case, the only ones that Java's case-insensitive patterns fold."""
+    return text.translate(_ASCII_LOWER)
+
+
+_ASCII_LOWER = {ord(a): ord(a.lower()) for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def required_literal(rule: Rule) -> str:
+    """A text, ASCII letters in lower case, that every match of a rule contains: what it ``needs``, else the longest run of
+    characters that its pattern has outside of choices and optional parts; '' if there is none of two or more."""
+    return _lower(_held(rule))
+
+
+def _held(rule: Rule) -> str:
+    if rule.needs:
+        return rule.needs
+    runs, run = [], []
+    for op, value in re._parser.parse(rule.pattern):
+        if str(op) == "LITERAL":
+            run.append(chr(value))
+            continue
+        runs.append("".join(run))
+        run = []
+    best = max([*runs, "".join(run)], key=len)
+    return best if len(best) > 1 else ""
+
+
 def line_totals(lines: DataFrame, rules: list[Rule], path: str = "path") -> DataFrame:
     """Files and lines scanned, files with issues, and issues of the single-line rules, in one pass over the lines."""
     tests = _line_tests(lines, rules, path)
@@ -181,15 +263,16 @@ def scan_multiline(files: DataFrame, rules: list[Rule], path: str = "path", text
     rules = [r for r in check_rules(rules) if r.multiline]
     if not rules:
         return files.sparkSession.createDataFrame([], ISSUE_DDL)
-    slim = files.where(F.col(text).isNotNull()).select(F.col(path).alias("path"), F.col(text).alias("text"))
+    slim = files.where(F.col(text).isNotNull()).select(  # equal rows stay apart
+        F.col(path).alias("path"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("file"))
     found = []
     for rule in rules:
         pattern = f"(?s{'i' if rule.ignore_case else ''})(?:{rule.pattern})"
-        hit = _ends_with(F.col("path"), rule.endings) & _holds(F.col("text"), rule.needs, rule.ignore_case)
+        hit = _ends_with(F.col("path"), rule.endings) & _holds(F.col("text"), _held(rule), rule.ignore_case)
         zipped = F.arrays_zip(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("m"),
                               F.split("text", pattern, -1).alias("p"))
         found.append(F.when(hit & F.col("text").rlike(pattern), F.struct(F.lit(rule.rule_id).alias("rule_id"), zipped.alias("at"))))
-    each = slim.select("path", F.xxhash64("text").alias("file"), F.explode(F.array_compact(F.array(*found))).alias("r"))
+    each = slim.select("path", "file", F.explode(F.array_compact(F.array(*found))).alias("r"))
     rows = each.select("path", "file", "r.rule_id", F.posexplode("r.at").alias("k", "at")).where("at.m IS NOT NULL")
     def feeds(part: str) -> Column:
         return F.length(F.col(f"at.{part}")) - F.length(F.replace(F.col(f"at.{part}"), F.lit("\n")))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import drop_trailing_slash, folder_target, object_store_uri
 from ..functions.text import bad_boolean_word, blank_to_null, boolean_word, glob_regex, list_cell
+from ..session import materialize
 from . import ordered
 
 # Name endings of backups and staging copies, the lead of an exclusion cell, the ending of a
@@ -167,41 +168,79 @@ def match_tokens(tokens: DataFrame, catalog: DataFrame) -> DataFrame:
     return plain.select("db", "token", "tbl").unionByName(globbed.select("db", "token", "tbl"))
 
 
+#: Bits of the filter of anchors, and rows of one piece of a hot anchor.
+_FILTER_BITS = 1 << 16
+_PIECE = 50_000
+
+
 def match_globs(globs: DataFrame, names: DataFrame) -> DataFrame:
     """Globs (db, _tok, ...) with the names (db, _name, ...) they match.
 
-    A glob meets only the names that share its anchor: its first characters if it starts with a
-    literal, else its last ones, else three characters from its longest inner literal. Globs made of
-    wildcards alone meet a database's names directly; they reduce to a few length conditions.
+    Anchors are three-character pieces of the literals of a glob (shorter ones where it has none so long), with marks for
+    the name's start and end. Names are taken apart into the anchors that globs use, those are counted, and each glob
+    meets the names under its rarest one. An anchor that many names have is cut into pieces. Globs made of wildcards
+    alone meet a database's names directly; they reduce to a few length conditions.
     """
-    head, tail = F.regexp_extract("_tok", r"^[^*?]+", 0), F.regexp_extract("_tok", r"[^*?]+$", 0)
-    inner = F.filter(F.split("_tok", r"[*?]+"), lambda x: x != "")
-    longest = F.array_max(F.transform(inner, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))["x"]
-
-    def lead(kind: str, text: Column) -> Column:
-        return F.concat(F.lit(kind), text)
-
-    anchor = (
-        F.when(head != "", lead("head:", F.substring(head, 1, 3)))
-        .when(tail != "", lead("tail:", F.substring(tail, -3, 3)))
-        .when(F.size(inner) > 0, lead("gram:", F.substring(longest, 1, 3)))
-        .otherwise(F.lit("any:"))
-    )
-    left = globs.withColumn("_anchor", anchor)
-    right = names.withColumn("_anchor", F.explode(_anchors("_name")))
-    hits = left.join(right, ["db", "_anchor"]).where(F.rlike("_name", glob_regex("_tok")))
-    return hits.drop("_anchor")
-
-
-def _anchors(name: str) -> Column:
-    """Every anchor a name can be met by: heads, tails and inner grams of up to three characters."""
-    return F.expr(f"""array_distinct(concat(
-        array('any:', concat('head:', substring({name}, 1, 1)), concat('head:', substring({name}, 1, 2)),
-              concat('head:', substring({name}, 1, 3)), concat('tail:', substring({name}, -1, 1)),
-              concat('tail:', substring({name}, -2, 2)), concat('tail:', substring({name}, -3, 3))),
-        transform(sequence(1, length({name})), i -> concat('gram:', substring({name}, i, 1))),
-        transform(sequence(1, length({name})), i -> concat('gram:', substring({name}, i, 2))),
-        transform(sequence(1, length({name})), i -> concat('gram:', substring({name}, i, 3)))))""")
+    whole = F.concat(F.lit("^"), F.col("_tok"), F.lit("$"))
+    literals = F.filter(F.split(whole, r"[*?]+"), lambda x: ~x.isin("", "^", "$"))
+    longest = F.least(F.lit(3), F.coalesce(F.array_max(F.transform(literals, F.length)), F.lit(0)))
+    asked = globs.select("*", literals.alias("_literals"), longest.alias("_long"))
+    anchored = asked.where("_long > 0").withColumn("_anchors", F.expr("""array_distinct(flatten(transform(
+        filter(_literals, x -> length(x) >= _long),
+        x -> transform(sequence(1, length(x) - _long + 1), i -> substring(x, i, _long)))))"""))
+    anchored = materialize(anchored.drop("_literals"), "globs")  # a row per glob
+    free = asked.where("_long = 0").drop("_literals", "_long")
+    candidates = anchored.select("db", "_tok", "_long", F.explode("_anchors").alias("_anchor"))
+    used = candidates.select("_long", _slot("db", "_anchor").alias("slot")).groupBy(
+        "_long", F.shiftright("slot", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 AS INT))")).alias("bits")).collect()  # 3 x 1024 rows at most
+    met = names.withColumn("_anchor", F.explode(_used_anchors("_name", used)))
+    met = materialize(met.select(*names.columns, "_anchor"), "anchors")
+    counts = materialize(met.groupBy("db", "_anchor").agg(F.count("*").alias("_n")), "anchor-counts")
+    rarest = candidates.join(counts, ["db", "_anchor"]).groupBy("db", "_tok").agg(
+        F.min(F.struct("_n", "_anchor")).alias("_rare"))
+    pieces = F.ceil(F.col("_rare._n") / F.lit(_PIECE))
+    chosen = anchored.drop("_anchors", "_long").join(rarest, ["db", "_tok"]).withColumn("_anchor", F.col("_rare._anchor")).withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1))).drop("_rare")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = counts.where((F.col("_n") > _PIECE) & (F.col("_n") * 1000 > total))  # fewer than a thousand
+    hot = hot.select("db", "_anchor", F.ceil(F.col("_n") / F.lit(_PIECE)).alias("_pieces"))
+    met = met.join(F.broadcast(hot), ["db", "_anchor"], "left").withColumn(
+        "_piece", F.when(F.col("_pieces").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("_name"), "_pieces")))
+    cold = chosen.join(F.broadcast(hot.select("db", "_anchor")), ["db", "_anchor"], "left_anti").drop("_piece").distinct().withColumn(
+        "_piece", F.lit(0).cast("bigint"))
+    split = chosen.join(F.broadcast(hot.select("db", "_anchor")), ["db", "_anchor"], "left_semi")
+    met = met.drop("_pieces").withColumn("_piece", F.col("_piece").cast("bigint"))
+    hits = cold.unionByName(split).join(met, ["db", "_anchor", "_piece"]).drop("_anchor", "_piece")
+    every = ordered.salted_join(names, free, ["db"]).select(*hits.columns)
+    return hits.unionByName(every).where(F.rlike("_name", glob_regex("_tok")))
+
+
+def _slot(db: str, anchor: str) -> Column:
+    return F.xxhash64(db, anchor).bitwiseAND(F.lit(_FILTER_BITS - 1))
+
+
+def _used_anchors(name: str, used: list) -> Column:
+    """The anchors of a name that some glob may use, by a filter of fixed size for each length of anchors."""
+    found = F.array().cast("array<string>")
+    for length in sorted({r["_long"] for r in used}):
+        words = [0] * (_FILTER_BITS // 64)
+        for r in used:
+            if r["_long"] == length:
+                words[r["word"]] = r["bits"]
+        marked, last = f"concat('^', {name}, '$')", f"length({name}) + {3 - length}"
+        pieces = F.expr(f"transform(sequence(1, greatest({last}, 1)), i -> substring({marked}, i, {length}))")
+        found = F.concat(found, F.filter(pieces, _in_filter(F.lit(words).cast("array<bigint>"))))
+    return F.array_distinct(found)
+
+
+def _in_filter(table: Column):
+    def asked(piece: Column) -> Column:
+        slot = F.xxhash64("db", piece).bitwiseAND(F.lit(_FILTER_BITS - 1))
+        word = F.element_at(table, (F.shiftright(slot, 6) + 1).cast("int"))
+        return F.call_function("getbit", word, slot.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    return asked
 
 
 def resolve_tables(manifest: DataFrame, catalog: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import copying, deciding, governing, moving, scanning, tracking
+from . import converting, copying, deciding, governing, moving, scanning, tracking
 
-MODULES = (moving, copying, tracking, governing, scanning, deciding)
+MODULES = (moving, copying, tracking, governing, scanning, deciding, converting)
 
 
 def all_queries() -> dict:

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import paths
-from ..operators import locations, partitions, reconcile, schemas, tokens
+from ..operators import counting, lifecycle, locations, partitions, reconcile, schemas, tokens
 from ..functions.types import comparable_type, hive_type_to_ddl, partition_transform
-from ..session import materialize
+from ..session import materialize, scratch_path
 from .base import month_spec, read, text
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -106,16 +106,21 @@ SELECT t.table_name, count(c.spec)::BIGINT AS row_count
 FROM (VALUES ('line_A'), ('line_N'), ('line_R'), ('line_none')) t(table_name)
 LEFT JOIN lines l ON l.tbl = t.table_name LEFT JOIN chosen c ON c.tbl = l.tbl AND c.spec = l.spec GROUP BY 1""")
 def partition_scoped_count(spark, d):
+    """Three partitioned Parquet trees and one without any file, counted within their selected partitions by one scan."""
+    path = scratch_path(spark, "lines")
     lines = line_items(spark, d)
+    lifecycle.write_partitioned(lines.select("tbl", "year", "month", "l_quantity"), path, ["tbl", "year", "month"])
     chosen = partitions.select_partitions(line_partitions(spark, d), "last_n_partitions=6, year=1996/*")
     names = ("line_A", "line_N", "line_R", "line_none")
-    frames = {n: (lines.where(F.col("tbl") == n), ["year", "month"]) for n in names}
-    return reconcile.scoped_counts(frames, chosen)
+    tables = spark.createDataFrame([(n, f"{path}/tbl={n}", "parquet") for n in names], "table_name string, location string, format string")
+    return counting.count_selected(spark, tables, chosen.select(F.col("tbl").alias("table_name"), "spec"))
 
 
 @query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*)::BIGINT AS row_count FROM {t}" for t in TABLES))
 def table_row_counts(spark, d):
-    return reconcile.count_tables({t: read(spark, d, t) for t in TABLES})
+    """All sample tables by one scan."""
+    tables = spark.createDataFrame([(t, f"{d}/{t}.parquet", "parquet") for t in TABLES], "table_name string, location string, format string")
+    return counting.count_locations(spark, tables)
 
 
 REGISTERED = """

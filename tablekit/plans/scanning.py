@@ -91,20 +91,37 @@ def scan_totals(spark, d):
     return textscan.line_totals(textscan.file_lines(document_files(spark, d)), LINE_RULES)
 
 
+# A large rule set: beginnings of words, put together from two lists.
+HEADS = ("tho", "tht", "tha", "thi", "thn", "ere", "tio", "que", "ene", "men", "sch", "ble", "ing", "one", "ein", "oft", "die", "ent", "ers", "ono")
+TAILS = ("the", "thre", "erin", "tion", "than", "ther", "ent", "ing", "nden", "que")
+MANY_RULES = [Rule(f"W-{a}-{b}", rf"(^| ){a}{b}[a-z]*", "info", "words", f"{a}{b}", "none", TEXT) for a in HEADS for b in TAILS]
+
+
+@query(f"""{LINES.replace(_rules_sql(LINE_RULES), _rules_sql(LINE_RULES + MANY_RULES))}
+SELECT path, rule_id, line_no::BIGINT AS line_no, excerpt FROM i""")
+def scan_many_rules(spark, d):
+    """Two hundred and six rules over all lines, those that a line cannot match never tried."""
+    found = textscan.scan_by_literals(textscan.file_lines(document_files(spark, d)), LINE_RULES + MANY_RULES)
+    return found.select("path", "rule_id", F.col("line_no").cast("bigint").alias("line_no"), "excerpt")
+
+
 def _multi_sql(rule: Rule) -> str:
     return f"""SELECT '{rule.rule_id}' AS rule_id, path, regexp_extract_all(text, '{rule.pattern}', 0, 's') AS ms,
   string_split_regex(text, '(?s){rule.pattern}') AS ps FROM f WHERE regexp_matches(text, '{rule.pattern}', 's')"""
 
 
 @query(f"""
-WITH f AS (SELECT {DOC_PATH} AS path, text FROM documents),
+WITH f AS (SELECT {DOC_PATH} AS path, text FROM documents UNION ALL SELECT {DOC_PATH}, text FROM documents WHERE lang = 'de'),
 m AS ({' UNION ALL '.join(_multi_sql(r) for r in MULTI_RULES)}),
 x AS (SELECT rule_id, path, unnest(ms) AS hit, generate_subscripts(ms, 1) AS k, ms, ps FROM m),
 y AS (SELECT rule_id, path, hit, k, 1 + list_sum(list_transform(ps[1:k], lambda s: length(s) - length(replace(s, chr(10), ''))))
   + coalesce(list_sum(list_transform(ms[1:k - 1], lambda s: length(s) - length(replace(s, chr(10), '')))), 0) AS line_no FROM x)
 SELECT path, rule_id, line_no::BIGINT AS line_no, min(replace(hit, chr(10), ' ')) AS excerpt FROM y GROUP BY 1, 2, 3""")
 def scan_multiline(spark, d):
-    found = textscan.one_per_line(textscan.scan_multiline(document_files(spark, d), MULTI_RULES))
+    """Rules over whole documents; those of one language come twice, as equal rows."""
+    files = document_files(spark, d)
+    files = files.unionByName(files.where(F.split("path", "/")[1] == "de"))
+    found = textscan.one_per_line(textscan.scan_multiline(files, MULTI_RULES))
     return found.select("path", "rule_id", F.col("line_no").cast("bigint").alias("line_no"), "excerpt")
 
 

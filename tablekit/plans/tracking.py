@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -400,6 +402,47 @@ def checkpoint_files(spark, d):
         F.max("attempt").cast("bigint").alias("attempt"), F.count(F.lit(1)).alias("records"))
 
 
+@query("""
+WITH s AS (SELECT s_suppkey AS k, row_number() OVER (ORDER BY s_suppkey) - 1 AS row_index FROM supplier)
+SELECT row_index::BIGINT AS row_index, 'db'||(k % 7) AS database,
+  CASE k % 5 WHEN 0 THEN 'a "quoted" name, '||k WHEN 1 THEN 'first'||chr(10)||'second, '||k WHEN 2 THEN '""'||k||chr(10)||chr(10)||'"' WHEN 3 THEN k||' 5" wide' ELSE 't'||k END AS "table",
+  CASE WHEN k % 3 <> 0 THEN 'line'||chr(10)||'break' END AS dest_database FROM s""")
+def sheet_with_line_breaks(spark, d):
+    """supplier as several CSV sheets whose cells hold line breaks, commas and quotes, cut into small pieces."""
+    k = F.col("s_suppkey")
+    def word(*pieces):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in pieces])
+
+    cell = (F.when(k % 5 == 0, word('a "quoted" name, ', k)).when(k % 5 == 1, word("first\nsecond, ", k))
+            .when(k % 5 == 2, word('""', k, '\n\n"')).when(k % 5 == 3, word(k, ' 5" wide')).otherwise(word("t", k)))
+    rows = read(spark, d, "supplier").select(k.alias("k"), word("db", k % 7).alias("db"), cell.alias("tbl"), F.when(
+        k % 3 != 0, F.lit("line\nbreak")).alias("dest"))
+    quoted = [F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in ("db", "tbl")]
+    line = F.concat_ws(",", quoted[0], F.when(F.col("k") % 5 == 3, F.col("tbl")).otherwise(quoted[1]),
+                       F.coalesce(F.concat(F.lit('"'), "dest", F.lit('"')), F.lit("")), F.lit("bucket"))
+    head = F.lit("Database,Table,Dest Database,Bucket")
+    path = scratch_path(spark, "sheets")
+    files = rows.select(F.floor(F.col("k") / 400).alias("part"), "k", line.alias("line"))  # a file of bounded size each
+    files.groupBy("part").agg(F.concat_ws("\n", head, F.transform(F.sort_array(F.collect_list(F.struct("k", "line"))), lambda x: x["line"])).alias("value")).select(
+        F.lpad(F.col("part").cast("string"), 9, "0").alias("file"), "value").repartitionByRange("file").write.partitionBy("file").text(path)
+    with small_pieces(spark):
+        return sheets.read_manifest(spark, path, "table_copy").select("row_index", "database", "table", "dest_database")
+
+
+@contextmanager
+def small_pieces(spark, size: str = "8k"):
+    """Files cut into pieces of this size."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, size)
+    try:
+        yield
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+
+
 @query("""
 SELECT c_mktsegment AS database, count(*)::BIGINT AS rows, count(*) FILTER (c_acctbal >= 0)::BIGINT AS with_dest FROM customer GROUP BY 1""")
 def sheet_round_trip(spark, d):

@@ -7,9 +7,17 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Item = TypeVar("Item")
+Result = TypeVar("Result")
+
 
 def get_spark(app_name: str = "tablekit", cores: int | str = "*") -> SparkSession:
     """A local session for tests and the bench; on a cluster use the session given to you."""
@@ -76,3 +84,26 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def concurrently(spark: SparkSession, items: Iterable[Item], run: Callable[[SparkSession, Item], Result],
+                 width: int = 8) -> Iterator[Result]:
+    """``run(session, item)`` for every item, ``width`` at a time, results in the order of the items.
+
+    For statements that a catalog takes one by one. Items may come from an iterator; only a few are held. Each runs in a
+    session of its own (same catalog, own settings) and in one of ``width`` scheduler pools, which share the cluster
+    evenly under the FAIR scheduler.
+    """
+    def one(place: int, item: Item) -> Result:
+        session = spark.newSession()
+        session.sparkContext.setLocalProperty("spark.scheduler.pool", f"tablekit-{place % width}")
+        return run(session, item)
+
+    with ThreadPoolExecutor(width) as threads:
+        waiting: deque = deque()
+        for place, item in enumerate(items):
+            waiting.append(threads.submit(inheritable_thread_target(spark)(one), place, item))
+            if len(waiting) >= 2 * width:
+                yield waiting.popleft().result()
+        while waiting:
+            yield waiting.popleft().result()

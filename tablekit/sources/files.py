@@ -74,3 +74,8 @@ def read_sources(spark: SparkSession, root: str) -> DataFrame:
     """Source files under a root as (path, text), one row per file."""
     files = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+
+
+def make_directory(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder))
