@@ -2,7 +2,8 @@
 
 ``near_links`` is the join: every link between different sets is tested and returned. ``near_groups`` has the components
 of the links only. There a shared n-gram first brings each document to a few leaders, and all remaining pairs of an n-gram
-are made between documents that are still in different components: a pair inside a component can add nothing.
+are made between documents that are still in different components: a pair inside a component can add nothing. While it
+is leaders that are met, each document tries the closest one only; what it leaves out is tried across components.
 """
 
 from __future__ import annotations
@@ -156,18 +157,21 @@ def _least_common(n_a: Column, n_b: Column, t: Fraction) -> Column:
     return F.floor(((n_a + n_b).cast("long") * up + (down - 1)) / F.lit(down)).cast("long")
 
 
-def _may_link(t: Fraction) -> Column:
-    """Length and positional filter over a pair met in one n-gram: (id, n, pos) and (other, other_n, other_pos)."""
+def _may_link(t: Fraction, first: bool = False) -> Column:
+    """Length and positional filter over a pair met in one n-gram: (id, n, pos) and (other, other_n, other_pos).
+
+    Where all pairs of an n-gram meet, the ``first`` n-gram that two sets share is enough: nothing before it is common.
+    """
     n_a, n_b = F.col("n").cast("long"), F.col("other_n").cast("long")
-    left = F.least(F.col("n") - F.col("pos"), F.col("other_n") - F.col("other_pos"))
-    # grams before this one in either prefix may be common too, up to the smaller of both places
-    most = F.least(F.col("pos"), F.col("other_pos")) + left
+    most = F.least(F.col("n") - F.col("pos"), F.col("other_n") - F.col("other_pos"))
+    if not first:  # grams before this one in either prefix may be common too, up to the smaller of both places
+        most = most + F.least(F.col("pos"), F.col("other_pos"))
     return ((n_a * t.denominator >= n_b * t.numerator) & (n_b * t.denominator >= n_a * t.numerator)
             & (most >= _least_common(n_a, n_b, t)))
 
 
-def _suffix_may_link(t: Fraction) -> Column:
-    """Suffix filter over a pair met in one n-gram: the sets differ at least by the differences in size of their parts."""
+def _apart() -> Column:
+    """By how much the sets of a pair differ at least: the differences in size of their parts."""
     def size(column: str, i: int) -> Column:
         return F.shiftrightunsigned(F.col(column), 8 * i).bitwiseAND(F.lit(255))
 
@@ -175,8 +179,13 @@ def _suffix_may_link(t: Fraction) -> Column:
     for c in _PACKED:
         for i in range(8):
             apart = apart + F.abs(size(c, i) - size(f"other_{c}", i))
+    return apart
+
+
+def _suffix_may_link(t: Fraction) -> Column:
+    """Suffix filter over a pair met in one n-gram."""
     n_a, n_b = F.col("n").cast("long"), F.col("other_n").cast("long")
-    return apart <= n_a + n_b - 2 * _least_common(n_a, n_b, t)
+    return _apart() <= n_a + n_b - 2 * _least_common(n_a, n_b, t)
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, k: int, t: Fraction) -> DataFrame:
@@ -195,11 +204,26 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, t: Fraction) -> DataFram
                 keep.append(t.denominator * common >= t.numerator * (len(known) + len(other) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    texts = _in_pairs(texts, pairs)
     one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(one, "a").join(two, "b").mapInArrow(run, f"a {id_type}, b {id_type}")
 
 
+def _in_pairs(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``texts`` of the documents in the pairs, and few others: a filter of fixed size keeps the rest from the shuffle."""
+    hashes = pairs.select(F.explode(F.array(F.xxhash64("a"), F.xxhash64("b"))).alias("h"))
+    table = texts.sparkSession.sparkContext.broadcast(filter_of(hashes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = read_filter(table.value)
+        for batch in batches:
+            yield batch.filter(pa.array(held(batch.column("h").to_numpy().view(np.uint64), bits)))
+
+    rows = texts.withColumn("h", F.xxhash64("id"))
+    return rows.mapInArrow(run, rows.schema).drop("h")
+
+
 def _prepare(docs: DataFrame, k: int, threshold: Fraction, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What both operators start from: (id, n, s1, s2, p0...) of each row; (id, rep, s1, s2, p0...) of each with an id and
     words; and the rows with n-grams that can link them (``_active``)."""
@@ -254,7 +278,7 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
         F.count("*").alias("size")).where("size > 1").select("gram", F.explode("leaders").alias("l")).select("gram", "l.*")
     met = shares.join(_other(leaders), "gram")
 
-    first = materialize(_candidates(met, threshold), "jaccard-pairs")
+    first = materialize(_closest(met, threshold), "jaccard-pairs")
     links = materialize(_verify(first, texts, k, threshold), "jaccard-links")
     grouped = materialize(components(links), "jaccard-groups")
 
@@ -271,8 +295,9 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
             other = open_shares.groupBy("gram").agg(ends.alias("l")).select("gram", F.explode(F.array_distinct("l")).alias("l")).select("gram", "l.*")
         across = open_shares.join(_other(other), "gram").where(F.col("own") != F.col("other_own"))
         if last:
-            across = across.where(F.col("id") > F.col("other"))
-        rest = _candidates(across, threshold)
+            rest = _candidates(across.where(F.col("id") > F.col("other")), threshold)
+        else:
+            rest = _closest(across, threshold)
         rest = materialize(rest.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
         more = materialize(_verify(rest, texts, k, threshold), "jaccard-links")
         if not last:
@@ -351,6 +376,13 @@ def _other(shares: DataFrame) -> DataFrame:
 
 
 def _candidates(met: DataFrame, t: Fraction) -> DataFrame:
-    """Distinct pairs (a, b), a the larger id, that pass all filters."""
-    return (met.where((F.col("id") != F.col("other")) & _may_link(t) & _suffix_may_link(t))
+    """Distinct pairs (a, b), a the larger id, that pass all filters, from all pairs of each n-gram."""
+    return (met.where((F.col("id") != F.col("other")) & _may_link(t, first=True) & _suffix_may_link(t))
             .select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct())
+
+
+def _closest(met: DataFrame, t: Fraction) -> DataFrame:
+    """For each document the pair (a, b), a the larger id, with the least difference, of those that pass the filters."""
+    best = (met.where((F.col("id") != F.col("other")) & _may_link(t) & _suffix_may_link(t))
+            .groupBy("id").agg(F.min(F.struct(_apart().alias("apart"), "other")).alias("best")))
+    return best.select(F.greatest("id", "best.other").alias("a"), F.least("id", "best.other").alias("b")).distinct()
