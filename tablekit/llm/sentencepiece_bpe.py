@@ -63,7 +63,7 @@ _WORD_SHARE, _SEGMENT_SHARE = 1024, 200
 class BpeCodec:
     """Encoder and decoder for one merge-type model with identity normalisation, dummy prefix and byte fallback."""
 
-    def __init__(self, model_file: str, max_cached: int = 160_000):
+    def __init__(self, model_file: str, max_cached: int = 120_000):
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_file)
         sp = self.library
         special = (sp.is_byte, sp.is_control, sp.is_unknown, sp.is_unused)
