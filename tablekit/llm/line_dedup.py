@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablekit.llm.common import BLANKS, keyed, repeat_rows, text_bytes
+from tablekit.llm.hot_join import join_groups
+from tablekit.session import materialize
 
 #: A code point has at most four bytes in UTF-8.
 _WIDEST = 4
@@ -34,9 +36,9 @@ def _line_hashes(min_chars: int):
                 found.extend(own)
                 counts.append(len(own))
             pair = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [repeat_rows(batch.column("id"), np.array(counts, int)), pa.array(pair[:, 0]), pa.array(pair[:, 1])],
-                names=["id", "h1", "h2"])
+            own_rows = [repeat_rows(batch.column(c), np.array(counts, int)) for c in ("id", "own")]
+            yield pa.RecordBatch.from_arrays([*own_rows, pa.array(pair[:, 0]), pa.array(pair[:, 1])],
+                                             names=["id", "own", "h1", "h2"])
     return run
 
 
@@ -46,25 +48,28 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col:
 
     Returns (id, n_lines, n_dropped, kept, row), one row per input row; ``row`` is the input row as a struct.
     A null or empty text is one empty line. Rows with the same id are one document, each with its own text. Rows
-    without id form one document that comes after all others. Line order is kept; a text of which every line goes
+    without id form one document that comes after all others; each loses the lines of its own text only. Line order is kept; a text of which every line goes
     is empty.
     """
-    own = keyed(docs, id_col, text_col)
+    own = keyed(docs, id_col, text_col).withColumn("own", F.xxhash64("text"))  # rows that share an id stay apart
     id_type = own.schema["id"].dataType.simpleString()
-    lines = own.select("id", "text").mapInArrow(_line_hashes(min_chars), f"id {id_type}, h1 bigint, h2 bigint")
+    lines = materialize(own.select("id", "own", "text").mapInArrow(
+        _line_hashes(min_chars), f"id {id_type}, own bigint, h1 bigint, h2 bigint"), "line-hashes")
     if min_docs <= 2:  # two documents differ in the smallest and largest id; no distinct count is needed
-        groups = lines.groupBy("h1", "h2").agg(F.min("id").alias("keeper"), F.max("id").alias("last"),
+        groups = lines.groupBy("h1", "h2").agg(F.min("id").alias("keeper"), F.max("id").alias("last"), F.count("*").alias("rows"),
                                                F.max(F.col("id").isNull()).alias("nameless"))
         several = (F.col("keeper") < F.col("last")) | (F.col("nameless") & F.col("keeper").isNotNull())
         repeated = groups.where(several if min_docs == 2 else F.lit(True))
     else:
-        repeated = (lines.groupBy("h1", "h2", "id").agg(F.lit(1).alias("one")).groupBy("h1", "h2")
-                    .agg(F.min("id").alias("keeper"), F.count("one").alias("holders"))
+        repeated = (lines.groupBy("h1", "h2", "id").agg(F.count("*").alias("n")).groupBy("h1", "h2")
+                    .agg(F.min("id").alias("keeper"), F.count("*").alias("holders"), F.sum("n").alias("rows"))
                     .where(F.col("holders") >= min_docs))
-    drops = (lines.join(repeated.select("h1", "h2", "keeper"), ["h1", "h2"])
+    repeated = materialize(repeated.select("h1", "h2", "keeper", "rows"), "line-keepers")
+    drops = (join_groups(lines, repeated, ["h1", "h2"], "rows")
              .where(~F.col("id").eqNullSafe(F.col("keeper")))
-             .groupBy("id").agg(F.collect_set(F.struct("h1", "h2")).alias("found"))
-             .select(F.col("id").alias("drop_id"), F.col("found.h1").alias("d1"), F.col("found.h2").alias("d2")))
+             .groupBy("id", "own").agg(F.collect_set(F.struct("h1", "h2")).alias("found"))  # the lines of one text
+             .select(F.col("id").alias("drop_id"), F.col("own").alias("drop_own"), F.col("found.h1").alias("d1"),
+                     F.col("found.h2").alias("d2")))
 
     @F.pandas_udf("kept string, n_lines bigint, n_dropped bigint")
     def reassemble(text: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.DataFrame:
@@ -79,6 +84,6 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col:
             kept.append("\n".join(parts))
         return pd.DataFrame({"kept": kept, "n_lines": total, "n_dropped": gone})
 
-    joined = own.join(drops, F.col("id").eqNullSafe(F.col("drop_id")), "left")
+    joined = own.join(drops, F.col("id").eqNullSafe(F.col("drop_id")) & (F.col("own") == F.col("drop_own")), "left")
     done = joined.select("id", "row", reassemble("text", "d1", "d2").alias("out"))
     return done.select("id", "out.n_lines", "out.n_dropped", "out.kept", "row")
