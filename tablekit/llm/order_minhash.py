@@ -2,15 +2,18 @@
 
 The k-mers are runs of words, numbered by occurrence, so that a repeated run counts each time. One hash deals them to
 bins; of each bin the smallest are chosen, put back in text order and hashed together. Two texts agree in a bin if the
-same runs were chosen in the same order, which edits and moves both disturb.
+same runs were chosen in the same order, which edits and moves both disturb. A bin that holds one k-mer only has no order to
+keep: texts of under some 128 words are told apart by which k-mers they have more than by their order.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tablekit.llm.common import word_array
+from tablekit.session import materialize
 
 #: Words to a k-mer, bins (a power of two), k-mers chosen of each bin.
 K, BINS, CHOSEN = 3, 64, 2
@@ -83,31 +86,38 @@ def likeness(one: str, other: str) -> Column:
     return F.when(filled == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(one, other)) / filled)
 
 
-#: Documents to a bucket of ids, buckets to a group of buckets.
-BUCKET, GROUP = 256, 4096
+#: Numbers to a bucket of ids.
+BUCKET = 256
 
 
-def _bucket(id_col: Column) -> Column:
-    """Ids of a bucket follow one another; rows without id come last of all."""
-    return F.coalesce(F.floor(id_col / BUCKET).cast("long"), F.lit((1 << 62) - 1))
+def _bucket(docs: DataFrame) -> Column:
+    """Ids of a bucket follow one another; rows without id come last of all. Ids that are no numbers are buckets of
+    their own."""
+    if isinstance(docs.schema["id"].dataType, NumericType):
+        return F.coalesce(F.floor(F.col("id") / BUCKET).cast("long"), F.lit((1 << 62) - 1))
+    return F.coalesce(F.concat(F.lit("="), F.col("id").cast("string")), F.lit("~"))
 
 
 def _previous(buckets: DataFrame) -> DataFrame:
-    """(bucket, previous): the bucket before each, the last before the first; never more than one group in a task."""
-    grouped = buckets.select("bucket", F.floor(F.col("bucket") / GROUP).alias("group"))
-    groups = grouped.groupBy("group").agg(F.max("bucket").alias("last"))
-    every = Window.orderBy("group")  # one row per GROUP * BUCKET ids
-    before = groups.select(F.col("group").alias("own"), F.coalesce(
+    """(bucket, previous): the bucket before each, the last before the first.
+
+    Buckets are dealt out by ranges, so a task has its share of them in order; only the ranges' ends meet.
+    """
+    ranged = materialize(buckets.repartitionByRange("bucket").sortWithinPartitions("bucket")
+                         .withColumn("part", F.spark_partition_id()), "fingerprint-buckets")
+    ends = ranged.groupBy("part").agg(F.max("bucket").alias("last"))
+    every = Window.orderBy("part")  # one row per range
+    before = ends.select(F.col("part").alias("own"), F.coalesce(
         F.lag("last").over(every),
         F.last("last").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("before"))
-    own = Window.partitionBy("group").orderBy("bucket")
-    return (grouped.withColumn("inside", F.lag("bucket").over(own)).join(before, F.col("group") == F.col("own"))
+    own = Window.partitionBy("part").orderBy("bucket")
+    return (ranged.withColumn("inside", F.lag("bucket").over(own)).join(before, F.col("part") == F.col("own"))
             .select("bucket", F.coalesce("inside", "before").alias("previous")))
 
 
 def with_guests(docs: DataFrame) -> DataFrame:
     """(id, text, bucket, guest): the rows of ``docs`` and, as a guest at the end of each bucket, the next one's first."""
-    own = docs.withColumn("bucket", _bucket(F.col("id"))).withColumn("guest", F.lit(0))
+    own = docs.withColumn("bucket", _bucket(docs)).withColumn("guest", F.lit(0))
     order = F.struct(F.col("id").isNull(), F.col("id"), F.col("text"))
     heads = own.groupBy("bucket").agg(F.min_by(F.struct("id", "text"), order).alias("head"))
     moved = heads.join(_previous(heads.select("bucket")).withColumnRenamed("bucket", "from"), F.col("bucket") == F.col("from"))
@@ -124,7 +134,7 @@ def edit_probe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """How fingerprints follow an edit: each text, and the same with its last quarter taken from the next document.
 
     Returns (id, n_chars, edited, signature, edited_signature, next_signature). Null texts are empty. The last document
-    is followed by the first; a single one by itself. Rows without id come last, rows with the same id in the order of
+    is followed by the first; a single one by itself. Ids are numbers, or texts in the order of their bytes. Rows without id come last, rows with the same id in the order of
     their texts.
     """
     base = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
