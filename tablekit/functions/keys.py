@@ -44,3 +44,19 @@ def bounded_json(record: Column, long_field: str, limit: int = 4000) -> Column:
     shorter = render(F.when(keep > 0, F.concat(F.substring(text, F.lit(1), keep), F.lit("..."))))
     without = render(F.lit(None).cast("string"))
     return F.when(F.length(whole) <= limit, whole).when(F.length(shorter) <= limit, shorter).otherwise(without)
+
+
+def json_pieces(record: Column, long_field: str, limit: int = 4000) -> Column:
+    """A struct as an array of JSON texts of at most about ``limit`` characters, nothing left out.
+
+    Each piece has all fields; of the one that can grow it has the next characters, and ``piece`` and ``pieces`` say which.
+    """
+    text = F.coalesce(record[long_field], F.lit(""))
+    pieces = F.greatest(F.ceil(F.length(text) / F.lit(limit)), F.lit(1)).cast("int")
+
+    def piece(i: Column) -> Column:
+        part = F.when(record[long_field].isNotNull(), F.substring(text, i * limit + 1, F.lit(limit)))
+        whole = record.withField(long_field, part).withField("piece", i).withField("pieces", pieces)
+        return F.to_json(whole, {"ignoreNullFields": "false"})
+
+    return F.transform(F.sequence(F.lit(0), pieces - 1), piece)

@@ -264,9 +264,16 @@ def merge_labels(current: DataFrame, desired: DataFrame) -> DataFrame:
     return current.select("policy", "label").union(desired.select("policy", "label")).distinct()
 
 
-def merge_rowfilters(current: DataFrame, desired: DataFrame) -> DataFrame:
-    """Desired row filter replaces the current one of the same policy and group."""
+def merge_rowfilters(current: DataFrame, desired: DataFrame, updated: DataFrame | None = None) -> DataFrame:
+    """Desired row filter replaces the current one of the same policy and group.
+
+    A policy among the ``updated`` ones (policy) that is not given any row filter is a plain access policy from then on:
+    its old row filters go.
+    """
     keys = ["policy", "grp"]
+    if updated is not None:
+        plain = updated.select("policy").distinct().join(desired.select("policy"), "policy", "left_anti")
+        current = current.join(plain, "policy", "left_anti")
     old = current.select(*keys, F.col("rowfilter").alias("_old"))
     new = desired.select(*keys, F.col("rowfilter").alias("_new"))
     return old.join(new, keys, "full_outer").select(*keys, F.coalesce("_new", "_old").alias("rowfilter"))
@@ -332,6 +339,34 @@ def final_statuses(grants: DataFrame, results: DataFrame, part_size: int = 10_00
                       status.alias("status"), "applied_roles", message.alias("error_message"))
 
 
+def final_status_facts(facts: DataFrame, grants: DataFrame, results: DataFrame) -> DataFrame:
+    """Final status of each policy in long form: (policy, policy_id, status, error_message, fact, value).
+
+    One row per user, permission, group and row filter of the policy, and per role left out of it (fact ``excluded``). Its
+    groups are the applied roles, or all its roles if none was applied. ``results`` as for ``final_statuses``; a policy
+    with different row filters fails. No list is put together, so a policy may have any number of entries.
+    """
+    base = F.regexp_replace("policy", ROWFILTER_ENDING + "$", "")
+    is_base = ~F.col("policy").endswith(ROWFILTER_ENDING)
+    own = results.groupBy(base.alias("policy")).agg(
+        F.max(F.when(is_base, F.col("policy_id"))).alias("policy_id"),
+        F.max_by(F.struct("status", "error_message"), is_base.cast("int")).alias("_r"))
+    clashes = rowfilter_conflicts(facts, by=("policy",)).select("policy", F.concat(
+        F.lit("different row filters: "), "one", F.lit(" and "), "other").alias("_clash"))
+    states = grants.groupBy("policy").agg(F.max(F.col("state") == "applied").alias("_applied"))
+    roles = grants.join(states, "policy").where((F.col("state") == "applied") | ~F.col("_applied")).select(
+        "policy", F.lit("group").alias("fact"), F.col("role").alias("value"))
+    left_out = grants.where("state = 'excluded'").select("policy", F.lit("excluded").alias("fact"), F.col("role").alias("value"))
+    entries = facts.where(F.col("kind").isin("user", "permission", "rowfilter")).select(
+        "policy", F.col("kind").alias("fact"), "value")
+    entries = entries.unionByName(roles).unionByName(left_out).distinct()
+    status = F.when(F.col("_clash").isNotNull(), F.lit("FAILED")).otherwise(F.coalesce("_r.status", F.lit("RUNNING")))
+    message = F.concat_ws(" | ", F.when(F.coalesce("_r.error_message", F.lit("")) != "", F.col("_r.error_message")), F.col("_clash"))
+    heads = states.join(own, "policy", "left").join(clashes, "policy", "left").select(
+        "policy", F.coalesce("policy_id", "policy").alias("policy_id"), status.alias("status"), message.alias("error_message"))
+    return ordered.salted_join(entries, heads, ["policy"]).select("policy", "policy_id", "status", "error_message", "fact", "value")
+
+
 # ------------------------------------------------------------------ spreading ids
 
 

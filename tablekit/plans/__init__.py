@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import converting, copying, deciding, governing, moving, scanning, tracking
+from . import converting, copying, deciding, governing, moving, reporting, scanning, tracking
 
-MODULES = (moving, copying, tracking, governing, scanning, deciding, converting)
+MODULES = (moving, copying, tracking, governing, scanning, deciding, converting, reporting)
 
 
 def all_queries() -> dict:
