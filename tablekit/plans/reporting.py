@@ -95,15 +95,14 @@ def issue_report(spark, d):
 
 
 @query("""
-SELECT lang, count(*)::BIGINT AS files, sum(length(text))::BIGINT AS chars FROM documents WHERE text <> '' AND lang <> 'de' GROUP BY 1""")
+SELECT lang, count(DISTINCT source)::BIGINT AS files, (sum(length(text)) + count(*))::BIGINT AS chars FROM documents WHERE text <> '' AND lang <> 'de' GROUP BY 1""")
 def source_tree(spark, d):
-    """documents as source files in a tree, walked without the skipped folders."""
+    """documents as source files in a tree, one a source and language, walked without the skipped folders."""
     path = scratch_path(spark, "tree")
     docs = read(spark, d, "documents").where("text <> ''")
     folder = F.when(F.col("lang") == "de", F.lit("build")).otherwise(F.lit("src"))
-    # a file per document: rows are dealt to files by a limit on their number
-    docs.select(folder.alias("folder"), "lang", "text").write.option("maxRecordsPerFile", 1).option("lineSep", "").partitionBy(
-        "folder", "lang").text(path)
+    docs.select(folder.alias("folder"), "lang", "source", "text").repartition("lang", "source").write.partitionBy(
+        "folder", "lang", "source").text(path)
     found = files.read_sources(spark, path)
     kept = found.where(textscan.scannable(F.regexp_replace(F.col("path"), "folder=", ""), endings=(".txt",)))
     return kept.groupBy(F.regexp_extract("path", "lang=([^/]*)/", 1).alias("lang")).agg(
@@ -129,7 +128,7 @@ def spec_maps(spark, d):
     """Partition specs with an escaped value as maps, an entry a row."""
     rows = read(spark, d, "lineitem").select((F.col("l_orderkey") % 50).alias("id"), F.date_format("l_shipdate", "yyyy/MM").alias("short"), F.concat(
         month_spec("l_shipdate"), F.lit("/note=a%20b%2Fc")).alias("spec")).distinct()
-    return rows.select("id", F.col("short").alias("spec"), F.explode(partitions.spec_map("spec")).alias("k", "v"))
+    return rows.select("id", "short", F.explode(partitions.spec_map("spec")).alias("k", "v")).withColumnRenamed("short", "spec")
 
 
 @query("""
