@@ -92,16 +92,17 @@ SHARD_TABLES = 50_000
 
 
 def pack_batches(tables: DataFrame, cap: float, max_tables: int = 25, group: str = "db", name: str = "tbl",
-                 cost: str = "cost", shard_tables: int = SHARD_TABLES) -> DataFrame:
+                 cost: str = "cost", shards: int | None = None, shard_tables: int = SHARD_TABLES) -> DataFrame:
     """Add ``batch`` (text id), ``batch_cost`` and ``batch_rank`` (0 = most expensive).
 
-    First-fit-decreasing within each of a database's shards of about ``shard_tables`` tables, cut by a hash of the table
-    name; a task takes a shard at a time, a row of name and cost per table. The batches that shards leave half empty, one
+    First-fit-decreasing within each of a database's shards of about ``shard_tables`` tables (or ``shards`` of them,
+    whatever its size), cut by a hash of the table name; a task takes a shard at a time, a row of name and cost per table. The batches that shards leave half empty, one
     a shard at most, are then packed once more. A table above the cap gets its own batch; none is dropped.
     """
     slim = tables.select(F.col(group).cast("string").alias(group), F.col(name).cast("string").alias(name),
                          F.col(cost).cast("double").alias(cost), F.lit(1).cast("bigint").alias("_tables"))
-    sizes = slim.groupBy(group).agg(F.ceil(F.count("*") / F.lit(shard_tables)).alias("_shards"))
+    enough = F.ceil(F.count("*") / F.lit(shard_tables)) if shards is None else F.max(F.lit(shards)).cast("bigint")
+    sizes = slim.groupBy(group).agg(enough.alias("_shards"))
     sharded = ordered.salted_join(slim, sizes, [group]).withColumn(
         "_shard", F.pmod(F.xxhash64(F.col(name)), "_shards")).drop("_shards")
     batch = F.concat_ws("/", group, F.col("_shard").cast("string"), F.col("_bin").cast("string"))
