@@ -40,7 +40,7 @@ def _roots(squares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _squares(points: np.ndarray, point: np.ndarray) -> np.ndarray:
     gap = points - point
-    return (gap * gap).sum(axis=1)
+    return (gap * gap).sum(axis=-1) if gap.dtype == object else np.einsum("...j,...j->...", gap, gap)
 
 
 class Gnat:
@@ -51,29 +51,23 @@ class Gnat:
         first = {}
         for i, p in enumerate(points.tolist()):
             first.setdefault(tuple(p), i)  # of equal points the lowest index wins every tie
-        self.root = self._build(sorted(first.values()))
+        gaps = _squares(points[:, None, :], points[None, :, :])
+        self.root = self._build(np.array(sorted(first.values())), gaps, *_roots(gaps))
 
-    def _build(self, members: list[int]) -> _Node:
-        points = self.points
-        splits, far = [members[0]], _squares(points[members], points[members[0]])
+    def _build(self, members: np.ndarray, gaps: np.ndarray, downs: np.ndarray, ups: np.ndarray) -> _Node:
+        splits, far = [int(members[0])], gaps[members[0], members]
         while len(splits) < min(SPLITS, len(members)):
-            splits.append(members[int(np.argmax(far))])  # the point farthest from the splits so far
-            far = np.minimum(far, _squares(points[members], points[splits[-1]]))
-        rest = [m for m in members if m not in splits]
-        held = [[] for _ in splits]
-        gaps = np.array([_squares(points[splits], points[m]) for m in rest]) if rest else np.zeros((0, len(splits)))
-        for m, row in zip(rest, gaps):
-            held[int(np.argmin(row))].append(m)
-        low, high = np.zeros((len(splits),) * 2), np.zeros((len(splits),) * 2)
-        for i, s in enumerate(splits):
-            for j, t in enumerate(splits):
-                branch = held[j] if i == j else [t, *held[j]]
-                if not branch:
-                    low[i, j], high[i, j] = np.inf, -np.inf
-                    continue
-                down, up = _roots(_squares(points[branch], points[s]))
-                low[i, j], high[i, j] = down.min(), up.max()
-        return _Node(splits, low, high, [self._build(h) if h else None for h in held])
+            splits.append(int(members[int(np.argmax(far))]))  # the point farthest from the splits so far
+            far = np.minimum(far, gaps[splits[-1], members])
+        rest = members[~np.isin(members, splits)]
+        with_split = np.argmin(gaps[np.ix_(rest, splits)], axis=1) if len(rest) else rest
+        held = [rest[with_split == j] for j in range(len(splits))]
+        low, high = np.full((len(splits),) * 2, np.inf), np.full((len(splits),) * 2, -np.inf)
+        for j, t in enumerate(splits):
+            branch = np.append(held[j], t)
+            low[:, j], high[:, j] = downs[np.ix_(splits, branch)].min(axis=1), ups[np.ix_(splits, branch)].max(axis=1)
+            low[j, j], high[j, j] = downs[t, held[j]].min(initial=np.inf), ups[t, held[j]].max(initial=-np.inf)
+        return _Node(splits, low, high, [self._build(h, gaps, downs, ups) if len(h) else None for h in held])
 
     def nearest(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of the nearest point and the squared distance, of equal distances the lowest index."""
