@@ -18,7 +18,10 @@ _ENTRY = pa.schema([("root", pa.string()), ("path", pa.string()), ("rel_path", p
 
 
 def _entries(folder: str) -> Iterator[tuple[str, str, int, int, bool]]:
-    """(path, name, length, mtime in microseconds, is_dir) of a directory; nothing if it is gone or a file."""
+    """(path, name, length, mtime in microseconds, is_dir) of a directory; nothing if it is gone or a file.
+
+    Links are entries of their own and not followed, so a listing ends.
+    """
     local = folder.removeprefix("file:") if folder.startswith("file:") else folder
     if "://" not in local:
         try:
@@ -27,8 +30,11 @@ def _entries(folder: str) -> Iterator[tuple[str, str, int, int, bool]]:
             return
         with found:
             for entry in found:
-                about = entry.stat()
-                yield f"{folder}/{entry.name}", entry.name, about.st_size, about.st_mtime_ns // 1000, entry.is_dir()
+                try:
+                    about, is_dir = entry.stat(follow_symlinks=False), entry.is_dir(follow_symlinks=False)
+                except FileNotFoundError:  # gone since the directory was opened
+                    continue
+                yield f"{folder}/{entry.name}", entry.name, about.st_size, about.st_mtime_ns // 1000, is_dir
         return
     from pyarrow import fs
 
