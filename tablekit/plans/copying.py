@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import metrics
 from ..functions.text import mapping_name, mapping_principal, mapping_role
 from ..operators import copyplan, reconcile, state
+from ..session import materialize
 from .base import read, text
 from .moving import page_urls
 
@@ -117,17 +118,31 @@ c AS (SELECT *, CASE WHEN failed THEN 0.0 WHEN active AND paths = 0 THEN 30.0 WH
   ELSE 30.0::DOUBLE + eb::DOUBLE / (150 * 1048576.0::DOUBLE) + 45 * ej + 24 * ep + ef * 0.002::DOUBLE END::DOUBLE AS cost FROM e)"""
 
 
+#: Lines that one task adds up, so that its memory stays the same however many there are.
+LINES_A_TASK = 100_000
+
+
 def table_volumes(spark: SparkSession, d: str) -> DataFrame:
     """lineitem as one table per supplier and month; flag A stands for the selected partitions."""
     chosen = F.col("l_returnflag") == "A"
     size = F.col("l_quantity").cast("bigint") * 104_857_600
-    return read(spark, d, "lineitem").groupBy(
-        F.concat(F.lit("sup_"), text("l_suppkey")).alias("db"), F.date_format("l_shipdate", "yyyy-MM").alias("tbl")).agg(
-        F.count(F.lit(1)).alias("file_count"), F.sum(size).alias("size_bytes"),
-        F.count_if(chosen).alias("filtered_files"), F.coalesce(F.sum(F.when(chosen, size)), F.lit(0)).alias("filtered_bytes"),
-        F.count_distinct(F.when(chosen, F.col("l_shipdate"))).alias("selected_paths"),
-        F.count_distinct(F.when(chosen & (F.col("l_quantity") > 10), F.col("l_shipdate"))).alias("nonempty_paths"),
-        F.max(F.col("l_returnflag") == "N").alias("filter_active"), (F.min("l_quantity") >= 49).alias("failed"))
+    lines = read(spark, d, "lineitem").select("l_suppkey", "l_shipdate", "l_quantity", "l_returnflag")
+    tasks = lines.count() // LINES_A_TASK + 1
+    # a row per path first: distinct paths side by side would be counted over three copies of each row
+    paths = lines.repartition(tasks, "l_suppkey", "l_shipdate").groupBy("l_suppkey", "l_shipdate").agg(
+        F.count(F.lit(1)).alias("files"), F.sum(size).alias("bytes"),
+        F.count_if(chosen).alias("chosen_files"), F.sum(F.when(chosen, size)).alias("chosen_bytes"),
+        F.max(chosen & (F.col("l_quantity") > 10)).alias("nonempty"),
+        F.max(F.col("l_returnflag") == "N").alias("active"), F.min("l_quantity").alias("least"))
+    dated = F.col("l_shipdate").isNotNull()
+    tables = paths.withColumn("db", F.concat(F.lit("sup_"), text("l_suppkey"))).withColumn(
+        "tbl", F.date_format("l_shipdate", "yyyy-MM"))
+    return tables.repartition(tasks, "db", "tbl").groupBy("db", "tbl").agg(
+        F.sum("files").alias("file_count"), F.sum("bytes").alias("size_bytes"),
+        F.sum("chosen_files").alias("filtered_files"), F.coalesce(F.sum("chosen_bytes"), F.lit(0)).alias("filtered_bytes"),
+        F.count_if(dated & (F.col("chosen_files") > 0)).alias("selected_paths"),
+        F.count_if(dated & F.col("nonempty")).alias("nonempty_paths"),
+        F.max("active").alias("filter_active"), (F.min("least") >= 49).alias("failed"))
 
 
 @query(f"{VOLUMES} SELECT db, tbl, eb::BIGINT AS effective_bytes, ef::BIGINT AS effective_files, round(cost, 3) AS cost FROM c")
@@ -186,7 +201,7 @@ def pack_totals(spark, d):
 k AS (SELECT db, tbl FROM c WHERE cost > 500 UNION ALL SELECT DISTINCT db, 'none' FROM c)
 SELECT k.db, k.tbl, c.tbl IS NOT NULL AS answered, round(c.cost, 3) AS cost FROM k LEFT JOIN c USING (db, tbl)""")
 def batch_members(spark, d):
-    costed = copyplan.with_cost(table_volumes(spark, d)).select("db", "tbl", F.round("cost", 3).alias("cost"))
+    costed = materialize(copyplan.with_cost(table_volumes(spark, d)).select("db", "tbl", F.round("cost", 3).alias("cost")), "costs")
     keys = costed.where(F.col("cost") > 500).select("db", "tbl").unionByName(
         costed.select("db", F.lit("none").alias("tbl")).distinct())
     found, unmatched = copyplan.batch_members(keys, costed, ["db", "tbl"])
