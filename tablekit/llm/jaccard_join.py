@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tablekit.llm.common import keyed, text_bytes
 from tablekit.llm.components import components
 from tablekit.llm.filters import filter_of, held, read_filter, repeated
-from tablekit.session import materialize
+from tablekit.session import materialize, release
 
 #: Slots of the table of n-gram counts (a power of two). Its size is fixed; n-grams that share a slot share its count,
 #: which orders them but decides nothing.
@@ -253,6 +253,8 @@ def _prepare(docs: DataFrame, k: int, threshold: Fraction, id_col: str, text_col
     active = materialize(named_texts.mapInArrow(
         _active(k, threshold, shared, picked),
         f"id {id_type}, s1 bigint, s2 bigint, text string, n int, grams array<bigint>, places array<int>"), "jaccard-active")
+    shared.destroy()
+    picked.destroy()
     return members, standing, active
 
 
@@ -273,10 +275,11 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
         .select(F.col("g.grams").alias("gram"), "id", "n", F.col("g.places").alias("pos"), *_PACKED), "jaccard-shares")
 
     row = F.struct("id", "n", "pos", *_PACKED)
-    leaders = shares.groupBy("gram").agg(
+    by_gram = shares.repartition("gram")  # one shuffle for the leaders and for those who meet them
+    leaders = by_gram.groupBy("gram").agg(
         F.array_distinct(F.array(F.min_by(row, "id"), F.min_by(row, F.struct("n", "id")), F.max_by(row, F.struct("n", "id")))).alias("leaders"),
         F.count("*").alias("size")).where("size > 1").select("gram", F.explode("leaders").alias("l")).select("gram", "l.*")
-    met = shares.join(_other(leaders), "gram")
+    met = by_gram.join(_other(leaders), "gram")
 
     first = materialize(_closest(met, threshold), "jaccard-pairs")
     links = materialize(_verify(first, texts, k, threshold), "jaccard-links")
@@ -288,23 +291,25 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
         placed = shares.join(grouped, F.col("id") == F.col("node"), "left").withColumn("own", F.coalesce("component", "id"))
         open_grams = placed.groupBy("gram").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high")
         open_shares = materialize(placed.join(open_grams.select("gram"), "gram").select(*shares.columns, "own"), "jaccard-open")
-        other = open_shares
+        by_gram = other = open_shares.repartition("gram")
         if not last:
             row = F.struct(*[c for c in open_shares.columns if c != "gram"])
             ends = F.array(F.min_by(row, F.xxhash64("id")), F.max_by(row, F.xxhash64("id")))
-            other = open_shares.groupBy("gram").agg(ends.alias("l")).select("gram", F.explode(F.array_distinct("l")).alias("l")).select("gram", "l.*")
-        across = open_shares.join(_other(other), "gram").where(F.col("own") != F.col("other_own"))
+            other = by_gram.groupBy("gram").agg(ends.alias("l")).select("gram", F.explode(F.array_distinct("l")).alias("l")).select("gram", "l.*")
+        across = by_gram.join(_other(other), "gram").where(F.col("own") != F.col("other_own"))
         if last:
             rest = _candidates(across.where(F.col("id") > F.col("other")), threshold)
         else:
             rest = _closest(across, threshold)
         rest = materialize(rest.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
         more = materialize(_verify(rest, texts, k, threshold), "jaccard-links")
+        release(open_shares)
         if not last:
             tested = tested.unionByName(rest)
             stars = grouped.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
             grouped = materialize(components(stars.unionByName(more)), "jaccard-groups")
 
+    release(active, shares)
     copies = standing.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     every = components(grouped.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
                        .unionByName(more.select("a", "b")).unionByName(copies))
