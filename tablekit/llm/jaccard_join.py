@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tablekit.llm.common import keyed, text_bytes
 from tablekit.llm.components import components
-from tablekit.llm.filters import filter_of, held, read_filter, repeated
+from tablekit.llm.filters import filter_of, held, read_filter
 from tablekit.session import materialize, release
 
 #: Slots of the table of n-gram counts (a power of two). Its size is fixed; n-grams that share a slot share its count,
@@ -118,16 +118,40 @@ def _prefix(own: np.ndarray, threshold: Fraction, ranks: np.ndarray) -> np.ndarr
     return own[np.lexsort((own, ranks[_slots(own)]))[:length]]
 
 
+def _size_bits(sizes: np.ndarray, t: Fraction) -> np.ndarray:
+    """One of 64 bits for each size of a set: sizes that may link have the same one or neighbours, the last being next to
+    the first."""
+    if t >= 1:
+        at = sizes
+    elif t <= 0:
+        at = np.zeros(len(sizes))
+    else:  # a little wider than the threshold, so that rounding parts no sizes that may link
+        at = np.floor(np.log(np.maximum(sizes, 1)) / (math.log(1 / t) * (1 + 1e-9)))
+    return (np.uint64(1) << (at % 64).astype(np.uint64)).view(np.int64)
+
+
 def _prefix_grams(k: int, threshold: Fraction, shared_ranks):
-    """Rows (h) of the n-grams of all prefixes."""
+    """Rows (h, size) of the n-grams of all prefixes and the bits of their sets' sizes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = np.frombuffer(shared_ranks.value, np.uint8)
         for batch in batches:
-            grams = [_prefix(shingle_set(t, k), threshold, ranks) for t in text_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64))], names=["h"])
+            sizes, grams = [], []
+            for text in text_bytes(batch.column("text")):
+                own = shingle_set(text, k)
+                sizes.append(len(own)), grams.append(_prefix(own, threshold, ranks))
+            bits = np.repeat(_size_bits(np.array(sizes, np.int64), threshold), [len(g) for g in grams])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64)), pa.array(bits)], names=["h", "size"])
     return run
 
 
+def _meeting(grams: DataFrame) -> DataFrame:
+    """The n-grams (h) that two sets have of which the sizes allow a link; others bring no pair together."""
+    sizes = F.col("sizes")
+    beside = F.shiftleft(sizes, 1).bitwiseOR(F.shiftrightunsigned(sizes, 63))
+    found = grams.groupBy("h").agg(F.count("*").alias("n"), F.bit_or("size").alias("sizes"))
+    return found.where((F.bit_count(sizes) < F.col("n")) | (sizes.bitwiseAND(beside) != 0)).select("h")
+
+
 def _active(k: int, threshold: Fraction, shared_ranks, shared_filter):
     """Rows (id, s1, s2, text, n, grams, places): documents with n-grams in the filter, these, and their places in the
     prefix."""
@@ -246,9 +270,10 @@ def _prepare(docs: DataFrame, k: int, threshold: Fraction, id_col: str, text_col
     firsts = named.groupBy("s1", "s2").agg(F.min("id").alias("rep"))
     standing = materialize(named.join(firsts, ["s1", "s2"]).select("id", "rep", "s1", "s2", *_PACKED), "jaccard-standing")
 
-    # n-grams found in two prefixes or more, as a filter of fixed size; it picks the documents that can be linked at all
+    # n-grams found in two prefixes or more, of sets whose sizes allow a link, as a filter of fixed size; it picks the
+    # documents that can be linked at all
     named_texts = own.where("id IS NOT NULL")
-    common = repeated(named_texts.select("text").mapInArrow(_prefix_grams(k, threshold, shared), "h bigint"))
+    common = _meeting(named_texts.select("text").mapInArrow(_prefix_grams(k, threshold, shared), "h bigint, size bigint"))
     picked = spark.sparkContext.broadcast(filter_of(common))
     active = materialize(named_texts.mapInArrow(
         _active(k, threshold, shared, picked),
