@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablekit.session import materialize
+from tablekit.session import in_few_files, materialize
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -37,11 +37,11 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     that grows with the logarithm of the graph. Each round is written to the shared folder. Smallest ids come from
     aggregates with partial sums, so nodes with very many neighbours are no bottleneck. Ids must not be null.
     """
-    now = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                      .where(F.col("a") != F.col("b")).distinct(), label)
+    now = materialize(in_few_files(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                                   .where(F.col("a") != F.col("b")).distinct()), label)
     state = _summary(now)
     while True:
-        now = materialize(_stars(_stars(now, large=True), large=False), label)
+        now = materialize(in_few_files(_stars(_stars(now, large=True), large=False)), label)
         before, state = state, _summary(now)
         if state == before:
             break

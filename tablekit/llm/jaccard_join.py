@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tablekit.llm.common import keyed, text_bytes
 from tablekit.llm.components import components
 from tablekit.llm.filters import filter_of, held, read_filter
-from tablekit.session import materialize, release
+from tablekit.session import in_few_files, materialize, release
 
 #: Slots of the table of n-gram counts (a power of two). Its size is fixed; n-grams that share a slot share its count,
 #: which orders them but decides nothing.
@@ -306,9 +306,9 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
         F.count("*").alias("size")).where("size > 1").select("gram", F.explode("leaders").alias("l")).select("gram", "l.*")
     met = by_gram.join(_other(leaders), "gram")
 
-    first = materialize(_closest(met, threshold), "jaccard-pairs")
+    first = materialize(in_few_files(_closest(met, threshold)), "jaccard-pairs")
     links = materialize(_verify(first, texts, k, threshold), "jaccard-links")
-    grouped = materialize(components(links), "jaccard-groups")
+    grouped = materialize(in_few_files(components(links)), "jaccard-groups")
 
     tested = first
     for last in (False, True):
@@ -326,13 +326,13 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
             rest = _candidates(across.where(F.col("id") > F.col("other")), threshold)
         else:
             rest = _closest(across, threshold)
-        rest = materialize(rest.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
+        rest = materialize(in_few_files(rest.join(tested, ["a", "b"], "left_anti")), "jaccard-pairs")
         more = materialize(_verify(rest, texts, k, threshold), "jaccard-links")
         release(open_shares)
         if not last:
             tested = tested.unionByName(rest)
             stars = grouped.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
-            grouped = materialize(components(stars.unionByName(more)), "jaccard-groups")
+            grouped = materialize(in_few_files(components(stars.unionByName(more))), "jaccard-groups")
 
     release(active, shares)
     copies = standing.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
