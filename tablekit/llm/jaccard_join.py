@@ -310,12 +310,14 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
     links = materialize(_verify(first, texts, k, threshold), "jaccard-links")
     grouped = materialize(in_few_files(components(links)), "jaccard-groups")
 
-    tested = first
+    tested, remaining = first, shares
     for last in (False, True):
         # n-grams whose documents are in different components still: other leaders first, then all pairs across
-        placed = shares.join(grouped, F.col("id") == F.col("node"), "left").withColumn("own", F.coalesce("component", "id"))
+        placed = remaining.join(grouped, F.col("id") == F.col("node"), "left").withColumn("own", F.coalesce("component", "id"))
         open_grams = placed.groupBy("gram").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high")
         open_shares = materialize(placed.join(open_grams.select("gram"), "gram").select(*shares.columns, "own"), "jaccard-open")
+        release(remaining)
+        remaining = open_shares.drop("own")  # components only grow, so an n-gram that is not open stays so
         by_gram = other = open_shares.repartition("gram")
         if not last:
             row = F.struct(*[c for c in open_shares.columns if c != "gram"])
@@ -328,13 +330,12 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
             rest = _closest(across, threshold)
         rest = materialize(in_few_files(rest.join(tested, ["a", "b"], "left_anti")), "jaccard-pairs")
         more = materialize(_verify(rest, texts, k, threshold), "jaccard-links")
-        release(open_shares)
         if not last:
             tested = tested.unionByName(rest)
             stars = grouped.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
             grouped = materialize(in_few_files(components(stars.unionByName(more))), "jaccard-groups")
 
-    release(active, shares)
+    release(active, remaining)
     copies = standing.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     every = components(grouped.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
                        .unionByName(more.select("a", "b")).unionByName(copies))
