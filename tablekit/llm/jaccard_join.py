@@ -12,6 +12,8 @@ import math
 import zlib
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -56,15 +58,17 @@ def _slots(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(40)).astype(np.int64) & (SLOTS - 1)
 
 
-#: Parts into which the suffix filter cuts a set by hash; each keeps its size, up to 255.
-PARTS = 64
-#: The sizes, eight to a column.
-_PACKED = [f"p{i}" for i in range(PARTS // 8)]
+#: Parts into which the suffix filter cuts a set by hash; each keeps its size modulo 32.
+PARTS = 60
+_FIELD, _FIELDS = 6, 10  # bits for a size, the highest one spare, and sizes to a column
+_PACKED = [f"p{i}" for i in range(PARTS // _FIELDS)]
+_SHIFTS = np.arange(_FIELDS) * _FIELD
+_EACH = sum(1 << int(i) for i in _SHIFTS)  # a one in every field
 
 
 def _parts(hashes: np.ndarray) -> np.ndarray:
-    sizes = np.bincount((hashes & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS)
-    return np.minimum(sizes, 255).astype(np.uint8).view("<i8")
+    sizes = np.bincount((hashes % np.uint64(PARTS)).astype(np.int64), minlength=PARTS) & 31
+    return (sizes.reshape(len(_PACKED), _FIELDS) << _SHIFTS).sum(axis=1)
 
 
 def _name(own: np.ndarray) -> np.ndarray:
@@ -73,30 +77,29 @@ def _name(own: np.ndarray) -> np.ndarray:
 
 
 def _profile(k: int):
-    """Rows (id, n, s1, s2, p0...) of documents and, at the end of a partition, its n-gram counts (chunk, counts)."""
+    """Rows (id, n, s1, s2) of documents and, at the end of a partition, its n-gram counts (chunk, counts)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.int32)
         kind = None
         for batch in batches:
             kind = batch.column("id").type
-            n, first, second, parts = [], [], [], []
+            n, first, second = [], [], []
             for text in text_bytes(batch.column("text")):
                 own = shingle_set(text, k)
                 np.add.at(counts, _slots(own), 1)
                 a, b = _name(own)
-                n.append(len(own)), first.append(a), second.append(b), parts.append(_parts(own))
+                n.append(len(own)), first.append(a), second.append(b)
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(n, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
-                 *[pa.array(x) for x in np.array(parts, np.int64).reshape(rows, len(_PACKED)).T], pa.nulls(rows, pa.int32()),
-                 pa.nulls(rows, pa.binary())], names=["id", "n", "s1", "s2", *_PACKED, "chunk", "counts"])
+                 pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=["id", "n", "s1", "s2", "chunk", "counts"])
         if kind is not None:
             chunks = [(i // _CHUNK, counts[i:i + _CHUNK]) for i in range(0, SLOTS, _CHUNK)]
             full = [(i, zlib.compress(c.tobytes(), 1)) for i, c in chunks if c.any()]
-            none = [pa.nulls(len(full), t) for t in (kind, *[pa.int64()] * (3 + len(_PACKED)))]
+            none = [pa.nulls(len(full), t) for t in (kind, *[pa.int64()] * 3)]
             yield pa.RecordBatch.from_arrays(
                 [*none, pa.array([i for i, _ in full], pa.int32()), pa.array([c for _, c in full], pa.binary())],
-                names=["id", "n", "s1", "s2", *_PACKED, "chunk", "counts"])
+                names=["id", "n", "s1", "s2", "chunk", "counts"])
     return run
 
 
@@ -153,25 +156,27 @@ def _meeting(grams: DataFrame) -> DataFrame:
 
 
 def _active(k: int, threshold: Fraction, shared_ranks, shared_filter):
-    """Rows (id, s1, s2, text, n, grams, places): documents with n-grams in the filter, these, and their places in the
-    prefix."""
+    """Rows (id, s1, s2, text, n, grams, places, p0...): documents with n-grams in the filter, these, their places in the
+    prefix, and the sizes of the set's parts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = np.frombuffer(shared_ranks.value, np.uint8)
         table = read_filter(shared_filter.value)
         for batch in batches:
-            rows, names, sizes, grams, places = [], [], [], [], []
+            rows, names, sizes, grams, places, parts = [], [], [], [], [], []
             for i, text in enumerate(text_bytes(batch.column("text"))):
                 own = shingle_set(text, k)
                 prefix = _prefix(own, threshold, ranks)
                 shared = np.flatnonzero(held(prefix, table))
                 if len(shared):
                     rows.append(i), names.append(_name(own)), sizes.append(len(own)), grams.append(prefix[shared].view(np.int64)), places.append(shared)
+                    parts.append(_parts(own))
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(at), *[pa.array([x[i] for x in names], pa.int64()) for i in (0, 1)],
                  batch.column("text").take(at), pa.array(sizes, pa.int32()),
-                 pa.array(grams, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
-                names=["id", "s1", "s2", "text", "n", "grams", "places"])
+                 pa.array(grams, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32())),
+                 *[pa.array(x) for x in np.array(parts, np.int64).reshape(len(rows), len(_PACKED)).T]],
+                names=["id", "s1", "s2", "text", "n", "grams", "places", *_PACKED])
     return run
 
 
@@ -195,15 +200,21 @@ def _may_link(t: Fraction, first: bool = False) -> Column:
 
 
 def _apart() -> Column:
-    """By how much the sets of a pair differ at least: the differences in size of their parts."""
-    def size(column: str, i: int) -> Column:
-        return F.shiftrightunsigned(F.col(column), 8 * i).bitwiseAND(F.lit(255))
+    """By how much the sets of a pair differ at least: the differences in size of their parts, the short way round 32.
 
-    apart = F.lit(0)
-    for c in _PACKED:
-        for i in range(8):
-            apart = apart + F.abs(size(c, i) - size(f"other_{c}", i))
-    return apart
+    All fields of a column are worked on together; code of one step per part is too long to be compiled at run time.
+    """
+    def fields(c: str) -> Column:
+        apart = (F.col(c).bitwiseOR(F.lit(_EACH << 5)) - F.col(f"other_{c}")).bitwiseAND(F.lit(_EACH * 31))
+        far = F.shiftright(apart, 4).bitwiseAND(F.lit(_EACH))  # 16 and more: the other way round is as short or shorter
+        return apart.bitwiseXOR(far * 31) + far
+
+    wide = F.lit(sum(63 << 2 * _FIELD * i for i in range(_FIELDS // 2)))
+    total = F.lit(0)
+    for i in range(0, len(_PACKED), 3):  # three differences of at most 16 fit a field, all together a field of double width
+        three = fields(_PACKED[i]) + fields(_PACKED[i + 1]) + fields(_PACKED[i + 2])
+        total = total + three.bitwiseAND(wide) + F.shiftright(three, _FIELD).bitwiseAND(wide)
+    return total % ((1 << 2 * _FIELD) - 1)  # the sum of the fields
 
 
 def _suffix_may_link(t: Fraction) -> Column:
@@ -236,28 +247,31 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, t: Fraction) -> DataFram
 
 def _in_pairs(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """``texts`` of the documents in the pairs, and few others: a filter of fixed size keeps the rest from the shuffle."""
-    hashes = pairs.select(F.explode(F.array(F.xxhash64("a"), F.xxhash64("b"))).alias("h"))
-    table = texts.sparkSession.sparkContext.broadcast(filter_of(hashes))
+    return _passing(texts, F.xxhash64("id"), pairs.select(F.explode(F.array(F.xxhash64("a"), F.xxhash64("b"))).alias("h")))
+
+
+def _passing(rows: DataFrame, h: Column, hashes: DataFrame) -> DataFrame:
+    """``rows`` with ``h`` among the ``hashes`` (h), and few others: a filter of fixed size stands for the hashes."""
+    table = rows.sparkSession.sparkContext.broadcast(filter_of(hashes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = read_filter(table.value)
         for batch in batches:
             yield batch.filter(pa.array(held(batch.column("h").to_numpy().view(np.uint64), bits)))
 
-    rows = texts.withColumn("h", F.xxhash64("id"))
+    rows = rows.withColumn("h", h)
     return rows.mapInArrow(run, rows.schema).drop("h")
 
 
 def _prepare(docs: DataFrame, k: int, threshold: Fraction, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """What both operators start from: (id, n, s1, s2, p0...) of each row; (id, rep, s1, s2, p0...) of each with an id and
-    words; and the rows with n-grams that can link them (``_active``)."""
+    """What both operators start from: (id, n, s1, s2) of each row; (id, rep, s1, s2) of each with an id and words; and the rows with n-grams that can link them (``_active``)."""
     spark = docs.sparkSession
     own = keyed(docs, id_col, text_col).select("id", "text")
     id_type = own.schema["id"].dataType.simpleString()
     # one pass over the texts: sizes, set hashes and n-gram counts
-    profile = materialize(own.mapInArrow(_profile(k), f"id {id_type}, n bigint, s1 bigint, s2 bigint, "
-                                             + ", ".join(f"{c} bigint" for c in _PACKED) + ", chunk int, counts binary"), "jaccard-profile")
-    members = profile.where("chunk IS NULL").select("id", "n", "s1", "s2", *_PACKED)
+    profile = materialize(own.mapInArrow(_profile(k), f"id {id_type}, n bigint, s1 bigint, s2 bigint, chunk int, counts binary"),
+                          "jaccard-profile")
+    members = profile.where("chunk IS NULL").select("id", "n", "s1", "s2")
     ranks = (profile.where("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk")
              .mapInArrow(_add_counts, "chunk int, ranks binary").collect())  # SLOTS bytes, whatever the corpus
     table = np.zeros(SLOTS, np.uint8)
@@ -268,7 +282,7 @@ def _prepare(docs: DataFrame, k: int, threshold: Fraction, id_col: str, text_col
     # equal sets are linked as they are; the first document stands for them
     named = members.where("id IS NOT NULL AND n > 0")
     firsts = named.groupBy("s1", "s2").agg(F.min("id").alias("rep"))
-    standing = materialize(named.join(firsts, ["s1", "s2"]).select("id", "rep", "s1", "s2", *_PACKED), "jaccard-standing")
+    standing = materialize(named.join(firsts, ["s1", "s2"]).select("id", "rep", "s1", "s2"), "jaccard-standing")
 
     # n-grams found in two prefixes or more, of sets whose sizes allow a link, as a filter of fixed size; it picks the
     # documents that can be linked at all
@@ -277,7 +291,8 @@ def _prepare(docs: DataFrame, k: int, threshold: Fraction, id_col: str, text_col
     picked = spark.sparkContext.broadcast(filter_of(common))
     active = materialize(named_texts.mapInArrow(
         _active(k, threshold, shared, picked),
-        f"id {id_type}, s1 bigint, s2 bigint, text string, n int, grams array<bigint>, places array<int>"), "jaccard-active")
+        f"id {id_type}, s1 bigint, s2 bigint, text string, n int, grams array<bigint>, places array<int>, "
+        + ", ".join(f"{c} bigint" for c in _PACKED)), "jaccard-active")
     shared.destroy()
     picked.destroy()
     return members, standing, active
@@ -295,12 +310,12 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
     members, standing, active = _prepare(docs, k, threshold, id_col, text_col)
     texts = active.select("id", "text")
     shares = materialize(
-        active.select("id", "n", F.explode(F.arrays_zip("grams", "places")).alias("g"))
-        .join(standing.where("id = rep").drop("rep", "s1", "s2"), "id")
+        active.drop("text").join(standing.where("id = rep"), ["id", "s1", "s2"], "left_semi")
+        .select("id", "n", F.explode(F.arrays_zip("grams", "places")).alias("g"), *_PACKED)
         .select(F.col("g.grams").alias("gram"), "id", "n", F.col("g.places").alias("pos"), *_PACKED), "jaccard-shares")
 
     row = F.struct("id", "n", "pos", *_PACKED)
-    by_gram = shares.repartition("gram")  # one shuffle for the leaders and for those who meet them
+    by_gram = _by_gram(shares)  # one shuffle for the leaders and for those who meet them
     leaders = by_gram.groupBy("gram").agg(
         F.array_distinct(F.array(F.min_by(row, "id"), F.min_by(row, F.struct("n", "id")), F.max_by(row, F.struct("n", "id")))).alias("leaders"),
         F.count("*").alias("size")).where("size > 1").select("gram", F.explode("leaders").alias("l")).select("gram", "l.*")
@@ -315,10 +330,12 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
         # n-grams whose documents are in different components still: other leaders first, then all pairs across
         placed = remaining.join(grouped, F.col("id") == F.col("node"), "left").withColumn("own", F.coalesce("component", "id"))
         open_grams = placed.groupBy("gram").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high")
-        open_shares = materialize(placed.join(open_grams.select("gram"), "gram").select(*shares.columns, "own"), "jaccard-open")
+        # a closed n-gram that passes the filter brings no pair across
+        open_shares = materialize(_passing(placed.select(*shares.columns, "own"), F.col("gram"), open_grams.select(F.col("gram").alias("h"))),
+                                  "jaccard-open")
         release(remaining)
         remaining = open_shares.drop("own")  # components only grow, so an n-gram that is not open stays so
-        by_gram = other = open_shares.repartition("gram")
+        by_gram = other = _by_gram(open_shares)
         if not last:
             row = F.struct(*[c for c in open_shares.columns if c != "gram"])
             ends = F.array(F.min_by(row, F.xxhash64("id")), F.max_by(row, F.xxhash64("id")))
@@ -360,7 +377,7 @@ def near_links(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85, 1
     _, standing, active = _prepare(docs, k, threshold, id_col, text_col)
     kind = F.struct("s1", "s2").alias("class")
     members = standing.select("id", kind, "rep").distinct()
-    ones = standing.where("id = rep").select("id", "s1", "s2", *_PACKED).distinct()
+    ones = standing.where("id = rep").select("id", "s1", "s2").distinct()
     reps = active.dropDuplicates(["id", "s1", "s2"]).join(ones, ["id", "s1", "s2"])
     reps = materialize(reps.select(kind, "text", "n", "grams", "places", *_PACKED).withColumnRenamed("class", "id"), "jaccard-classes")
     shares = reps.select("id", "n", F.explode(F.arrays_zip("grams", "places")).alias("g"), *_PACKED).select(
@@ -401,6 +418,12 @@ def count_links(links: DataFrame, members: DataFrame) -> int:
     return int(between) + int(sizes.agg(F.sum(F.expr("n * (n - 1)"))).first()[0] or 0) // 2
 
 
+def _by_gram(shares: DataFrame) -> DataFrame:
+    """``shares`` shuffled by n-gram. Nothing in them is null; where that is said, all readers share one shuffle, as none
+    of them filters nulls before it."""
+    return shares.where(reduce(and_, [F.col(c).isNotNull() for c in shares.columns])).repartition("gram")
+
+
 def _other(shares: DataFrame) -> DataFrame:
     """The other side of a join by n-gram: all columns but the n-gram under new names."""
     return shares.select("gram", *[F.col(c).alias("other" if c == "id" else f"other_{c}") for c in shares.columns if c != "gram"])
