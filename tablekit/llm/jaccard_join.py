@@ -155,9 +155,9 @@ def _meeting(grams: DataFrame) -> DataFrame:
     return found.where((F.bit_count(sizes) < F.col("n")) | (sizes.bitwiseAND(beside) != 0)).select("h")
 
 
-def _active(k: int, threshold: Fraction, shared_ranks, shared_filter):
-    """Rows (id, s1, s2, text, n, grams, places, p0...): documents with n-grams in the filter, these, their places in the
-    prefix, and the sizes of the set's parts."""
+def _active(k: int, threshold: Fraction, shared_ranks, shared_filter, with_text: bool):
+    """Rows (id, s1, s2[, text], n, grams, places, p0...): documents with n-grams in the filter, these, their places in
+    the prefix, and the sizes of the set's parts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = np.frombuffer(shared_ranks.value, np.uint8)
         table = read_filter(shared_filter.value)
@@ -173,10 +173,10 @@ def _active(k: int, threshold: Fraction, shared_ranks, shared_filter):
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(at), *[pa.array([x[i] for x in names], pa.int64()) for i in (0, 1)],
-                 batch.column("text").take(at), pa.array(sizes, pa.int32()),
+                 *([batch.column("text").take(at)] if with_text else []), pa.array(sizes, pa.int32()),
                  pa.array(grams, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32())),
                  *[pa.array(x) for x in np.array(parts, np.int64).reshape(len(rows), len(_PACKED)).T]],
-                names=["id", "s1", "s2", "text", "n", "grams", "places", *_PACKED])
+                names=["id", "s1", "s2", *(["text"] if with_text else []), "n", "grams", "places", *_PACKED])
     return run
 
 
@@ -239,7 +239,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, t: Fraction) -> DataFram
                 keep.append(t.denominator * common >= t.numerator * (len(known) + len(other) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    texts = _in_pairs(texts, pairs)
+    texts = _in_pairs(texts, pairs).repartition("id")  # one pass and one shuffle for both sides
     one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(one, "a").join(two, "b").mapInArrow(run, f"a {id_type}, b {id_type}")
@@ -263,7 +263,8 @@ def _passing(rows: DataFrame, h: Column, hashes: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, rows.schema).drop("h")
 
 
-def _prepare(docs: DataFrame, k: int, threshold: Fraction, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _prepare(docs: DataFrame, k: int, threshold: Fraction, id_col: str, text_col: str,
+             with_text: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What both operators start from: (id, n, s1, s2) of each row; (id, rep, s1, s2) of each with an id and words; and the rows with n-grams that can link them (``_active``)."""
     spark = docs.sparkSession
     own = keyed(docs, id_col, text_col).select("id", "text")
@@ -290,8 +291,8 @@ def _prepare(docs: DataFrame, k: int, threshold: Fraction, id_col: str, text_col
     common = _meeting(named_texts.select("text").mapInArrow(_prefix_grams(k, threshold, shared), "h bigint, size bigint"))
     picked = spark.sparkContext.broadcast(filter_of(common))
     active = materialize(named_texts.mapInArrow(
-        _active(k, threshold, shared, picked),
-        f"id {id_type}, s1 bigint, s2 bigint, text string, n int, grams array<bigint>, places array<int>, "
+        _active(k, threshold, shared, picked, with_text),
+        f"id {id_type}, s1 bigint, s2 bigint, {'text string, ' if with_text else ''}n int, grams array<bigint>, places array<int>, "
         + ", ".join(f"{c} bigint" for c in _PACKED)), "jaccard-active")
     shared.destroy()
     picked.destroy()
@@ -307,10 +308,10 @@ def near_groups(docs: DataFrame, k: int = 4, threshold: Fraction = Fraction(85,
     included. Rows without id are left alone: their component is null. Rows with the same id are one node with the
     links of each of its texts.
     """
-    members, standing, active = _prepare(docs, k, threshold, id_col, text_col)
-    texts = active.select("id", "text")
+    members, standing, active = _prepare(docs, k, threshold, id_col, text_col, with_text=False)
+    texts = keyed(docs, id_col, text_col).select("id", "text").where("id IS NOT NULL")  # read again, not written
     shares = materialize(
-        active.drop("text").join(standing.where("id = rep"), ["id", "s1", "s2"], "left_semi")
+        active.join(standing.where("id = rep"), ["id", "s1", "s2"], "left_semi")
         .select("id", "n", F.explode(F.arrays_zip("grams", "places")).alias("g"), *_PACKED)
         .select(F.col("g.grams").alias("gram"), "id", "n", F.col("g.places").alias("pos"), *_PACKED), "jaccard-shares")
 

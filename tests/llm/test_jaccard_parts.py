@@ -46,3 +46,15 @@ def test_leaders_and_those_who_meet_them_share_a_shuffle(spark, monkeypatch):
     assert {r["id"]: r["component_id"] for r in done.collect()} == {1: 1, 2: 1, 3: 1, 10: 10, 11: 11, 12: 12}
     shuffles = [sum("Exchange hashpartitioning(gram" in x and "Reused" not in x for x in plan.splitlines()) for plan in plans]
     assert shuffles[0] == 1 and max(shuffles) == 1
+
+
+def test_texts_are_not_written_again(spark, monkeypatch):
+    written = {}
+    write = jaccard_join.materialize
+    monkeypatch.setattr(jaccard_join, "materialize", lambda frame, label: written.update({label: frame.columns}) or write(frame, label))
+    text = words(random.Random(5), 120)
+    frame = spark.createDataFrame([(1, text), (2, text + " end"), (3, "other words that nothing else has"), (3, text), (None, text)],
+                                  "doc_id int, text string")
+    done = jaccard_join.near_groups(frame).collect()
+    assert sorted((r["id"] or 0, r["component_id"] or 0) for r in done) == [(0, 0), (1, 1), (2, 1), (3, 1), (3, 1)]
+    assert "jaccard-active" in written and not [label for label, columns in written.items() if "text" in columns]
